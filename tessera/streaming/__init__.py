@@ -1,0 +1 @@
+"""Nothing yet: the operators that this engine stands in for have no streams, watermarks or windows in time."""

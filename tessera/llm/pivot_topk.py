@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import written
+from .support import hashed_sample, written
 
 SCALE = 256
 PIVOTS = 16
@@ -111,10 +111,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     base = written(table(vectors).distinct().withColumn("n", first).where(F.col("n") <= k + 1).drop("n"), "vectors")
     asked = written(table(queries).distinct(), "queries")
-    facts = base.agg(F.max("norm").alias("norm"), F.max("width").alias("width")).first()
+    facts = base.agg(F.max("norm").alias("norm"), F.max("width").alias("width"), F.count("*").alias("n")).first()
     width = max(facts["width"] or 0, (asked.agg(F.max("width").alias("width")).first()["width"] or 0), 1)
     top = facts["norm"] or 0
-    sample = base.orderBy(F.xxhash64("v"), "id").limit(SAMPLE).collect()
+    sample = hashed_sample(base, SAMPLE, ["v", "id"], facts["n"])
     if sample:
         rows = _matrix([np.frombuffer(r["v"], "<i4") for r in sample], width)
         points, point_extra = choose_pivots(rows, np.sqrt(np.array([top - r["norm"] for r in sample], float)), pivots)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .support import hashed_sample
+
 
 TREES, DEPTH = 40, 8
 #: Bound of the labelled findings that the forest is grown on.
@@ -280,7 +282,8 @@ def fit(findings: DataFrame | None = None, rows: int = SAMPLE_FINDINGS) -> Fores
     from ``labelled_findings()``."""
     if findings is None:
         return grow(labelled_findings())
-    known = findings.where("value is not null and label is not null").orderBy(F.xxhash64("value", "before"), "value").limit(rows).collect()
+    labelled = findings.where("value is not null and label is not null")
+    known = hashed_sample(labelled, rows, ["value", "before"], labelled.count())
     return grow([(r["value"], r["path"], r["before"] or "", r["kind"] or "assigned", int(r["label"])) for r in known])
 
 

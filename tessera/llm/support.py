@@ -61,3 +61,16 @@ def bucket(column: str, modulus: int):
 def salt(column, seed: int, modulus: int):
     """A reproducible number below ``modulus`` from any column."""
     return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(modulus)).cast("int")
+
+
+def hashed_sample(df: DataFrame, rows: int, keys: list[str], total: int, seed: int = 3) -> list:
+    """About ``rows`` rows in the order of a hash of ``keys``, at the driver: those below the share ``rows / total``.
+
+    The share is applied where rows are read, so tasks send what is wanted and no more, however many they are.
+    """
+    if not total:
+        return []
+    share = min(1.0, (1.25 * rows + 20) / total)
+    mark = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 40)) / float(1 << 40)
+    found = df.withColumn("__mark", mark).where(F.col("__mark") < share).collect()
+    return sorted(found, key=lambda r: r["__mark"])[:rows]

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .simhash import fingerprints_of
+from .support import hashed_sample
 
 #: Bounds of the training sample: rows of each label, in the order of a hash of their id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2_500, 5_000
@@ -228,8 +229,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_rows: int = SAMPLE_TOXIC, clean_rows: int = SAMPLE_CLEAN) -> Lexicon:
     """Learn from a sample of labelled rows, bounded for each label; the whole texts of the sampled rows are read."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
-    order = F.xxhash64("id", F.lit(9))
-    chosen = [r for y, n in ((1, toxic_rows), (0, clean_rows)) for r in known.where(F.col("toxic") == y).orderBy(order, "id").limit(n).collect()]
+    totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().where("toxic in (0, 1)").collect()}
+    chosen = [r for y, n in ((1, toxic_rows), (0, clean_rows)) for r in hashed_sample(known.where(F.col("toxic") == y), n, ["id"], totals.get(y, 0))]
     spark = docs.sparkSession
     picked = spark.createDataFrame([(r["id"], r["toxic"]) for r in chosen], known.schema) if chosen else known.limit(0)
     # at most toxic_rows + clean_rows rows: a proven bound

@@ -15,7 +15,7 @@ def _best(histogram: DataFrame, value: Column, keys: list[str]) -> DataFrame:
     n1, n2 = F.col("n1").cast("double"), (F.col("nn") - F.col("n1")).cast("double")
     gap = F.col("s1") * n2 - (F.col("ss") - F.col("s1")) * n1
     rated = s.where("n1 < nn").select(*keys, value.alias("t"), "b", (gap * gap / (n1 * n2)).alias("between"))
-    return rated.groupBy(*keys).agg(F.max_by("t", F.struct("between", -F.col("b"))).alias("threshold"))
+    return rated.groupBy(*keys).agg(F.max_by("t", F.struct("between", -F.col("b"))).alias("threshold")).where("threshold is not null")
 
 
 def otsu_integers(px: DataFrame, keys: list[str] | None = None, column: str = "v") -> DataFrame:

@@ -16,7 +16,7 @@ from tessera.llm.entries import tokenizer_path
 from tessera.llm.support import load, written
 
 #: Language scores below this reject a document, as ``und`` does.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def _sized(docs: DataFrame) -> DataFrame:

@@ -157,3 +157,19 @@ def resize_nearest(px: DataFrame, size: tuple[int, int], to: tuple[int, int]) ->
             spread = px.withColumn("t", F.explode(F.sequence(F.greatest(first - 1, F.lit(0)), F.least(first + -(-new // old) + 1, F.lit(new - 1)))))
             px = spread.where(F.floor((2 * F.col("t") + 1) * old / (2 * new)) == F.col(axis)).withColumn(axis, F.col("t")).drop("t")
     return px
+
+
+def resize_linear(px: DataFrame, size: tuple[int, int], to: tuple[int, int]) -> DataFrame:
+    """Bilinear resize: target t lies at (t + 0.5) * old / new - 0.5 between its two neighbours, edges repeated.
+
+    To shrink without aliasing, smooth first with a sigma of (old / new - 1) / 2.
+    """
+    for axis, old, new in zip(YX, size, to, strict=True):
+        ratio = old / new
+        keys = [c for c in px.columns if c not in (axis, "v")]
+        first = F.floor((F.col(axis) - 0.5) / ratio - 0.5).cast("int") - 1
+        spread = px.withColumn("t", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.least(F.ceil((F.col(axis) + 1.5) / ratio - 0.5).cast("int") + 1, F.lit(new - 1)))))
+        at = F.least(F.greatest((F.col("t") + 0.5) * ratio - 0.5, F.lit(0.0)), F.lit(float(old - 1)))
+        spread = spread.withColumn("w", 1 - F.abs(at - F.col(axis))).where("w > 0")
+        px = spread.groupBy(*keys, F.col("t").alias(axis)).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+    return px

@@ -137,6 +137,17 @@ def nuclei_local(pmap: DataFrame, size: tuple[int, int], config: SegmentConfig,
     return components.relabelled(regions.keep(labels, kept), size[1])
 
 
+def legacy_filter(labels: DataFrame, image: DataFrame, size: tuple[int, int], config: SegmentConfig) -> DataFrame:
+    """The older order of tests: intensity above the objects' Otsu threshold first, numbers anew, then size and solidity."""
+    objects = regions.measure(labels, image)
+    limit = threshold.otsu_bins(objects, column="mean_intensity")
+    bright = objects.join(F.broadcast(limit)).where("mean_intensity > threshold")  # one row
+    first = _held(components.relabelled(regions.keep(labels, bright), size[1]))
+    low, high = regions.area_limits(config.log_sigma)
+    round_ = shapes.solidity(first).where(regions.area_between(low, high) & (F.col("solidity") > 0.8))
+    return regions.relabel(first, regions.numbered(round_))
+
+
 def nuclei_bypass(labels: DataFrame, size: tuple[int, int], config: SegmentConfig = SegmentConfig()) -> DataFrame:
     """Labels given: those of the right size, then numbered by components, so that touching ones merge."""
     low, high = regions.area_limits(config.log_sigma)

@@ -444,8 +444,9 @@ def w6_deviation3(spark, d):
 
 
 def _peaks_sql(source: str, size: tuple[str, str]) -> str:
-    return f"""(SELECT p.y, p.x, p.v FROM {source} p CROSS JOIN (SELECT * FROM (VALUES {SQUARE}) v(dy, dx)) o JOIN {source} q ON q.y = p.y+o.dy AND q.x = p.x+o.dx
-        WHERE p.y >= 1 AND p.y < {size[0]}-1 AND p.x >= 1 AND p.x < {size[1]}-1 GROUP BY ALL HAVING p.v = max(q.v) AND p.v > (SELECT min(v) FROM {source}))"""
+    return f"""(WITH s AS MATERIALIZED (SELECT CAST(y AS INT) y, CAST(x AS INT) x, v FROM {source}), z AS MATERIALIZED (SELECT {size[0]} h, {size[1]} w, min(v) least FROM s),
+        t AS (SELECT s.y+o.dy y, s.x+o.dx x, max(s.v) top FROM s CROSS JOIN (SELECT * FROM (VALUES {SQUARE}) v(dy, dx)) o GROUP BY 1, 2)
+        SELECT s.y, s.x, s.v FROM s JOIN t ON t.y = s.y AND t.x = s.x CROSS JOIN z WHERE s.v = t.top AND s.v > z.least AND s.y >= 1 AND s.y < z.h-1 AND s.x >= 1 AND s.x < z.w-1)"""
 
 
 @query(f"SELECT y, x, v FROM {_peaks_sql(EMB, EMB_SIZE)}")
@@ -478,7 +479,8 @@ def w12_distance_near(spark, d):
     return shapes.squared_distance(labels, size).where("d2 <= 16").select(*YX, F.col("d2").cast("int").alias("d2"))
 
 
-@query()
+@query(f"""WITH b AS MATERIALIZED (SELECT y, x FROM {BLOB}), h AS (SELECT max(y)+1 h FROM b), g AS MATERIALIZED (SELECT t.y, b.x, min((t.y-b.y)*(t.y-b.y)) AS g FROM h, range(h.h) t(y), b GROUP BY 1, 2)
+    SELECT CAST(g.y AS INT) AS y, CAST(u.x AS INT) AS x, CAST(min((u.x-g.x)*(u.x-g.x) + g.g) AS BIGINT) AS d2 FROM g, range({BLOB_WIDTH}) u(x) GROUP BY 1, 2""")
 def w12_distance_transform(spark, d):
     labels, size = _blobs(spark, d)
     return shapes.squared_distance(labels, size)
@@ -575,7 +577,7 @@ def l17_cells_from_ring(spark, d):
 
 EV_SIZE = (f"(SELECT max(y)+1 FROM {EV})", f"(SELECT max(x)+1 FROM {EV})")
 SPOT_PEAKS = f"(SELECT p.y, p.x, p.v FROM {_peaks_sql(LOG_EMB, EMB_SIZE)} p JOIN {EMB} e ON e.y = p.y AND e.x = p.x WHERE e.v > 0)"
-SPOTS = f"(SELECT y, x FROM {SPOT_PEAKS}, (SELECT med, median(abs(v - med)) AS mad FROM {SPOT_PEAKS}, (SELECT median(v) AS med FROM {SPOT_PEAKS}) GROUP BY med) WHERE v > med + 1.4826::DOUBLE*mad)"
+SPOTS = f"(WITH k AS MATERIALIZED (SELECT * FROM {SPOT_PEAKS}), m AS MATERIALIZED (SELECT median(v) AS med FROM k), a AS MATERIALIZED (SELECT median(abs(v - med)) AS mad FROM k, m) SELECT y, x FROM k, m, a WHERE v > med + 1.4826::DOUBLE*mad)"
 
 
 def _spots(spark, d):
@@ -601,7 +603,12 @@ def l19_tissue_mask(spark, d):
     return segment.tissue_mask(raster(spark, d, "li_px"), LI_SHAPE)
 
 
-@query()
+PLAIN_LI = f"(SELECT c, y, x, round(CAST(v AS DOUBLE)/{float(sum(G1) ** 2)}::DOUBLE, 9) AS v FROM {_sep_sql(LI, G1, G1, LI_SIZE, 'nearest', 'c')})"
+
+
+@query(f"""WITH core AS (SELECT y, x FROM {LI} WHERE c = 0 AND v > (SELECT max(v)*0.8::DOUBLE FROM {LI} WHERE c = 0)), s AS MATERIALIZED (SELECT * FROM {PLAIN_LI}),
+    f AS (SELECT s.c, count(*) area FROM s JOIN {_otsu_bins_sql('s', 'c')} t ON t.c = s.c JOIN core ON core.y = s.y AND core.x = s.x WHERE s.v > t.threshold GROUP BY s.c)
+    SELECT -1 AS c, count(*) AS area FROM core UNION ALL SELECT a.c, coalesce(f.area, 0) FROM (SELECT DISTINCT c FROM s) a LEFT JOIN f ON f.c = a.c""")
 def l13_pixel_areas(spark, d):
     px = raster(spark, d, "li_px")
     return segment.pixel_areas(frames.channel(px, 1).drop("c"), px, segment.plate_mask(LI_SHAPE, px), LI_SHAPE)
@@ -715,6 +722,123 @@ def l21_large_chain(spark, d):
     return segment.LargeSegmentor(pmap, size, LargeConfig(overlap_size=64, mean_intensity_min=10, area_max=5000), 256).run()
 
 
+# -- the remaining scans, joins, sinks and older variants ---------------------------------------------
+
+
+@query(f"SELECT y, x, v FROM {LI} WHERE c = 2")
+def s5_one_channel(spark, d):
+    return frames.channel(frames.level(frames.pyramid(raster(spark, d, "li_px"), 1), 0), 3).select(*YX, "v")
+
+
+@query(f"SELECT y, x, lab AS label FROM {BLOB}")
+def s8_mask_read(spark, d):
+    return _blobs(spark, d)[0].select(*YX, "label")
+
+
+@query(_keep_sql("label % 4 = 0"))
+def j2_semi_join(spark, d):
+    labels, _, _ = _companion(spark, d)
+    return regions.keep(labels, labels.select("label").distinct().where("label % 4 = 0")).select(*YX, "label")
+
+
+@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x, label FROM {GROWN} WHERE d2 > 0 AND d2 <= 9")
+def f14_background_ring(spark, d):
+    labels, size = _blobs(spark, d)
+    return neighbourhood.nearest_label(labels, 3, size).where("d2 > 0").select(*YX, "label")
+
+
+@query()
+def f11_solidity(spark, d):
+    labels, _ = _blobs(spark, d)
+    return regions.keep(labels, shapes.solidity(labels).where("solidity > 0.8")).select(*YX, "label")
+
+
+@query(f"SELECT lab AS label, y, x FROM {BLOB} WHERE lab IN (SELECT lab FROM {BLOB} GROUP BY lab HAVING count(*) > 100)")
+def a6_coordinates(spark, d):
+    labels, _ = _blobs(spark, d)
+    return regions.keep(labels, regions.measure(labels).where("area > 100")).select("label", *YX)
+
+
+@query(f"SELECT y, x, v FROM {LI} WHERE c = 0 AND (SELECT bool_or(v > 0) FROM {LI} WHERE c = 0)")
+def a16_guard(spark, d):
+    px = frames.channel(raster(spark, d, "li_px"), 1).select(*YX, "v")
+    return px.join(F.broadcast(px.agg(F.bool_or(F.col("v") > 0).alias("any")))).where("any").drop("any")  # one row
+
+
+@query()
+def w9_h_maxima_tiles(spark, d):
+    pmap, _, size = _pmap(spark, d)
+    return segment.LargeSegmentor(pmap, size, LargeConfig(overlap_size=32), 256).seeds()
+
+
+def _linear_sql(axis: str, source: str, old: int, new: int) -> str:
+    other = "x" if axis == "y" else "y"
+    return f"""(SELECT t.t AS {axis}, p.{other}, sum(p.v*(1 - abs(t.at - p.{axis}))) AS v FROM (SELECT t, least(greatest((t+0.5::DOUBLE)*({old / new!r}::DOUBLE)-0.5::DOUBLE, 0), {old - 1}) AS at FROM range({new}) r(t)) t
+        JOIN {source} p ON p.{axis} > t.at - 1 AND p.{axis} < t.at + 1 GROUP BY 1, 2)"""
+
+
+@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x, round(v, 6) AS v FROM {_linear_sql('x', _linear_sql('y', f'(SELECT y, x, v FROM {LI} WHERE c = 0)', 358, 89), 50, 12)}")
+def w17_resize_linear(spark, d):
+    px = frames.channel(raster(spark, d, "li_px"), 1).drop("c")
+    return frames.resize_linear(px, LI_SHAPE, (89, 12)).select(*YX, F.round("v", 6).alias("v"))
+
+
+@query(f"SELECT y, x, label FROM {_cc_sql(f'(SELECT y, x FROM {EMB} WHERE v >= 145)', 64)}")
+def l3_components_small_tiles(spark, d):
+    return components.label(raster(spark, d, "emb_px").where("v >= 145"), 64, 1, 16)
+
+
+@query()
+def l9_window_kernel(spark, d):
+    pmap, labels, size = _pmap(spark, d)
+    wide = segment._wide(pmap, labels).select(*YX, "contour", "tissue")
+    return tiles.run(wide, segment.seed_kernel(size, 1.0, 1.0), "y int, x int", size, 256, 64)
+
+
+@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM range({LI_SHAPE[0]}) a(y), range({LI_SHAPE[1]}) b(x)")
+def l20_plate_mask(spark, d):
+    return segment.plate_mask(LI_SHAPE, raster(spark, d, "li_px"))
+
+
+@query(f"""SELECT CAST(ty AS INT) AS ty, CAST(tx AS INT) AS tx, CAST((least((ty+1)*48+12, h) - greatest(ty*48-12, 0)) * (least((tx+1)*48+12, 64) - greatest(tx*48-12, 0)) AS BIGINT) AS inside
+    FROM (SELECT max(y)+1 h FROM {EMB}), range(200) a(ty), range(2) b(tx) WHERE ty*48 < h""")
+def t3_padding(spark, d):
+    px, size = _emb(spark, d)
+    return tiles.with_halo(px, 48, 12, size).groupBy("ty", "tx").agg(F.count("*").alias("inside"))
+
+
+@query()
+def o2_filter_order(spark, d):
+    labels, image, size = _companion(spark, d)
+    return segment.legacy_filter(labels, image, (size[0], BLOB_WIDTH), SegmentConfig(log_sigma=(5, 30)))
+
+
+@query(SQL["l22_expand"].replace(f"FROM {GROWN}", f"FROM {GROWN} g WHERE EXISTS (SELECT 1 FROM {BLOB} t WHERE t.y = g.y AND t.x = g.x AND t.v > 50)"))
+def o5_ring_in_tissue(spark, d):
+    labels, size = _blobs(spark, d)
+    return neighbourhood.ring(labels, 4, size, labels.where("v > 50"))
+
+
+@query(f"""WITH b AS (SELECT y, x FROM {LI} WHERE c = 0 AND v > 120), e AS ({QC_EDGE}), i AS (SELECT y, x, v FROM {LI} WHERE c = 1)
+    SELECT 0 AS c, i.y, i.x, CASE WHEN e.y IS NULL THEN 0 ELSE m END AS v FROM i CROSS JOIN (SELECT max(v) m FROM i) LEFT JOIN e ON e.y = i.y AND e.x = i.x UNION ALL SELECT 1, y, x, v FROM i""")
+def k2_outlines(spark, d):
+    px = raster(spark, d, "li_px")
+    labels = frames.channel(px, 1).where("v > 120").select(*YX, F.lit(1).alias("label"))
+    return segment.outlines(labels, frames.channel(px, 2).select(*YX, "v"), LI_SHAPE)
+
+
+@query(f"SELECT c, format('{{:10.5f}}', CAST(count(*) AS DOUBLE)) AS line FROM {LI} WHERE v > 60 GROUP BY c")
+def k4_area_lines(spark, d):
+    return a14_channel_area(spark, d).select("c", F.format_string("%10.5f", F.col("area").cast("double")).alias("line"))
+
+
+@query(f"""WITH s AS ({SQL['l18_puncta']}), b AS (SELECT y, x FROM {EMB} WHERE v > 150), e AS ({QC_EDGE}) SELECT y, x FROM s UNION SELECT y, x FROM e WHERE x >= 0 AND x < 64 AND y >= 0 AND y < {EMB_SIZE[0]}""")
+def k6_spots_and_edges(spark, d):
+    px, size = _emb(spark, d)
+    edges = neighbourhood.outer_boundary(px.where("v > 150").select(*YX, F.lit(1).alias("label")), size)
+    return frames.union(_spots(spark, d), edges)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m0_blob_objects(spark, sf_dir)
 

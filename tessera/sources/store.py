@@ -79,6 +79,18 @@ def puncta_images(spots: DataFrame, labels: DataFrame, image: DataFrame, path: s
     write_pyramid(spots.withColumn("v", F.lit(1)), f"{path}/spots{channel}", size, True)
 
 
+def save(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, **meta: object) -> None:
+    """Dispatch by suffix: a TIFF file, or a tile store."""
+    if path.endswith((".tif", ".tiff")):
+        from . import tiff
+
+        tiff.write(px, path, size, 32 if is_mask else 16, is_mask=is_mask, **meta)
+    elif "." in path.rstrip("/").rsplit("/", 1)[-1]:
+        raise ValueError(f"{path}: no writer for this kind of file")
+    else:
+        write_pyramid(px, path, size, is_mask, **meta)
+
+
 def load(spark: SparkSession, path: str, **options: object) -> DataFrame:
     """Dispatch by suffix: TIFF files, or a tile store."""
     if path.endswith((".tif", ".tiff")):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels, regions, tiles
-from .frames import YX
+from .frames import YX, join_pixels
 
 TILE = 1024
 
@@ -68,7 +68,7 @@ def label(mask: DataFrame, width: int, connectivity: int = 1, tile: int = TILE)
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if connectivity == 2 else [])
     sent = rim.withColumn("o", F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in steps])))
     sent = sent.select((F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), F.col("local").alias("a"))
-    edges = sent.join(rim.select(*YX, F.col("local").alias("b")), YX).select("a", "b")
+    edges = join_pixels(sent, rim.select(*YX, F.col("local").alias("b"))).select("a", "b")
     roots = contract(edges)
     return local.join(roots.withColumnRenamed("node", "local"), "local", "left").select(*YX, F.coalesce("root", "local").alias("label"))
 

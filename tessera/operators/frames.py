@@ -16,6 +16,11 @@ from ..functions import pixel
 YX = ["y", "x"]
 
 
+def join_pixels(one: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Join by place. Pixels have no bound, so neither side is ever broadcast, however small it is thought to be."""
+    return one.join(other.hint("merge"), YX, how)
+
+
 def channel(px: DataFrame, number: int, column: str = "c") -> DataFrame:
     """One channel by its 1-based number; the filter reaches the scan, and prunes where ``c`` partitions the store."""
     if number < 1:
@@ -39,7 +44,7 @@ def stack(*layers: DataFrame) -> DataFrame:
 
 def pair(center: DataFrame, contour: DataFrame) -> DataFrame:
     """Two one-channel files to the wide form (y, x, center, contour)."""
-    return center.select(*YX, F.col("v").alias("center")).join(contour.select(*YX, F.col("v").alias("contour")), YX)
+    return join_pixels(center.select(*YX, F.col("v").alias("center")), contour.select(*YX, F.col("v").alias("contour")))
 
 
 def extent(px: DataFrame) -> DataFrame:
@@ -84,11 +89,11 @@ def union(*masks: DataFrame) -> DataFrame:
 
 
 def intersect(px: DataFrame, other: DataFrame) -> DataFrame:
-    return px.join(other.select(*YX), YX, "left_semi")
+    return join_pixels(px, other.select(*YX), "left_semi")
 
 
 def subtract(px: DataFrame, other: DataFrame) -> DataFrame:
-    return px.join(other.select(*YX), YX, "left_anti")
+    return join_pixels(px, other.select(*YX), "left_anti")
 
 
 def intensity_complement(px: DataFrame, bits: int | None = 8) -> DataFrame:

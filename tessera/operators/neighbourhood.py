@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import YX
+from .frames import YX, join_pixels
 
 FIXED = 1 << 16
 
@@ -79,7 +79,7 @@ def deviation3(px: DataFrame, size: tuple[int, int]) -> DataFrame:
     s1 = sum3(px, size).withColumnRenamed("v", "s1")
     s2 = sum3(px.withColumn("v", F.col("v") * F.col("v")), size).withColumnRenamed("v", "s2")
     spread = 9 * F.col("s2") - F.col("s1") * F.col("s1")
-    return s1.join(s2, YX).withColumn("v", F.sqrt(F.greatest(spread, F.lit(0)) / 72.0))
+    return join_pixels(s1, s2).withColumn("v", F.sqrt(F.greatest(spread, F.lit(0)) / 72.0))
 
 
 def _ball(offsets: list[tuple[int, int]]) -> Column:
@@ -169,12 +169,12 @@ def expand_labels(labels: DataFrame, distance: int, size: tuple[int, int]) -> Da
 def ring(labels: DataFrame, radius: int, size: tuple[int, int], tissue: DataFrame | None = None) -> DataFrame:
     """Labels with the background within ``radius`` given to the nearest; optionally only within a tissue mask."""
     grown = expand_labels(labels, radius, size)
-    return grown if tissue is None else grown.join(tissue.select(*YX), YX, "left_semi")
+    return grown if tissue is None else join_pixels(grown, tissue.select(*YX), "left_semi")
 
 
 def difference(one: DataFrame, other: DataFrame) -> DataFrame:
     """Pixels whose labels differ, with the label of the mask that has more pixels; equal counts: the first."""
     n = one.agg(F.count("*").alias("n1")).join(F.broadcast(other.agg(F.count("*").alias("n2"))))  # one row each
-    both = one.select(*YX, F.col("label").alias("a")).join(other.select(*YX, F.col("label").alias("b")), YX, "full_outer")
+    both = join_pixels(one.select(*YX, F.col("label").alias("a")), other.select(*YX, F.col("label").alias("b")), "full_outer")
     label = F.when(F.col("n1") >= F.col("n2"), F.col("a")).otherwise(F.col("b"))
     return both.join(F.broadcast(n)).where(~F.col("a").eqNullSafe(F.col("b"))).select(*YX, label.alias("label")).where("label is not null")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import YX
+from .frames import YX, join_pixels
 
 
 def measure(labels: DataFrame, intensity: DataFrame | None = None) -> DataFrame:
@@ -16,7 +16,7 @@ def measure(labels: DataFrame, intensity: DataFrame | None = None) -> DataFrame:
     joined = labels.select(*YX, "label")
     size = [F.count("*").alias("area"), F.min("y").alias("y0"), (F.max("y") + 1).alias("y1"), F.min("x").alias("x0"), (F.max("x") + 1).alias("x1")]
     if intensity is not None:
-        joined = joined.join(intensity.select(*YX, "v"), YX, "left").withColumn("v", F.coalesce("v", F.lit(0)))
+        joined = join_pixels(joined, intensity.select(*YX, "v"), "left").withColumn("v", F.coalesce("v", F.lit(0)))
         size += [F.sum("v").alias("sum_intensity"), F.avg("v").alias("mean_intensity"), F.max("v").alias("max_intensity")]
     return joined.where("label <> 0").groupBy("label").agg(*size)
 
@@ -79,5 +79,5 @@ def numbered(objects: DataFrame, order: str = "label") -> DataFrame:
 
 def spots_by_object(labels: DataFrame, spots: DataFrame, bits: int = 16) -> DataFrame:
     """(label, n_spots) for every object, those without a spot included; counts wrap as a store of ``bits`` does."""
-    hits = labels.select(*YX, "label").join(spots.select(*YX, F.lit(1).alias("hit")), YX, "left")
+    hits = join_pixels(labels.select(*YX, "label"), spots.select(*YX, F.lit(1).alias("hit")), "left")
     return hits.groupBy("label").agg(F.pmod(F.count("hit"), F.lit(1 << bits)).cast("int").alias("n_spots"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels
-from .frames import YX
+from .frames import YX, join_pixels
 
 
 def squared_distance(mask: DataFrame, size: tuple[int, int]) -> DataFrame:
@@ -20,7 +20,7 @@ def squared_distance(mask: DataFrame, size: tuple[int, int]) -> DataFrame:
     h, w = size
     rows = mask.sparkSession.range(h).select(F.col("id").cast("int").alias("y"))
     grid = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(w - 1))))
-    marked = grid.join(mask.select(*YX, F.col("y").alias("own")).distinct(), YX, "left")
+    marked = join_pixels(grid, mask.select(*YX, F.col("y").alias("own")).distinct(), "left")
     up = Window.partitionBy("x").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy("x").orderBy("y").rowsBetween(0, Window.unboundedFollowing)
     gap = F.least(F.col("y") - F.last("own", True).over(up), F.first("own", True).over(down) - F.col("y"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pixel
 from ..operators import components, frames, kernels, neighbourhood, regions, shapes, threshold, tiles
-from ..operators.frames import YX
+from ..operators.frames import YX, join_pixels
 from .config import FLOODING, LOCAL, LargeConfig, SegmentConfig
 
 
@@ -62,7 +62,7 @@ def pixel_areas(center: DataFrame, images: DataFrame, mask: DataFrame, size: tup
         above = smooth.join(F.broadcast(limits), "c").where("v > threshold")  # a row for each channel
     else:
         above = smooth.where(F.col("v") > limit)
-    found = above.join(core, YX, "left_semi").groupBy("c").agg(F.count("*").alias("area"))
+    found = join_pixels(above, core, "left_semi").groupBy("c").agg(F.count("*").alias("area"))
     channels = images.select("c").distinct()
     markers = channels.join(found, "c", "left").select("c", F.coalesce("area", F.lit(0)).alias("area"))
     return core.agg(F.count("*").alias("area")).select(F.lit(-1).alias("c"), "area").unionByName(markers)
@@ -92,7 +92,7 @@ def seed_kernel(size: tuple[int, int], sigma: float, h: float, line: bool = True
 def _wide(pmap: DataFrame, mask: DataFrame | None) -> DataFrame:
     if mask is None:
         return pmap.withColumn("tissue", F.lit(True))
-    return pmap.join(mask.select(*YX, F.lit(True).alias("tissue")), YX, "left").withColumn("tissue", F.coalesce("tissue", F.lit(False)))
+    return join_pixels(pmap, mask.select(*YX, F.lit(True).alias("tissue")), "left").withColumn("tissue", F.coalesce("tissue", F.lit(False)))
 
 
 def nuclei(pmap: DataFrame, image: DataFrame, mask: DataFrame | None, size: tuple[int, int], config: SegmentConfig = SegmentConfig(), tile: int = tiles.TILE, halo: int = tiles.HALO) -> DataFrame:
@@ -162,7 +162,7 @@ def cell_assembly(basins: DataFrame, nuclei_px: DataFrame, mask: DataFrame, size
     """Basins off the border, within the mask, cut into components; those with a nucleus are cells, numbered."""
     inner = frames.intersect(regions.clear_border(basins, size), mask)
     parts = _held(components.label(inner, size[1]))
-    with_nucleus = parts.join(nuclei_px.select(*YX), YX, "left_semi").select("label").distinct()
+    with_nucleus = join_pixels(parts, nuclei_px.select(*YX), "left_semi").select("label").distinct()
     cell = _held(regions.relabel(parts, regions.numbered(with_nucleus)))
     return Cells(frames.subtract(cell, nuclei_px), frames.intersect(cell, nuclei_px), cell)
 
@@ -172,7 +172,7 @@ def _basins(surface: DataFrame, markers: DataFrame, size: tuple[int, int], tile:
         height = tiles.dense(rows, box, "v", 0, float)
         return tiles.sparse(kernels.flood(height, tiles.dense(rows, box, "label")), box)
 
-    joined = surface.join(markers.select(*YX, "label"), YX, "left").withColumn("label", F.coalesce("label", F.lit(0)).cast("bigint"))
+    joined = join_pixels(surface, markers.select(*YX, "label"), "left").withColumn("label", F.coalesce("label", F.lit(0)).cast("bigint"))
     return tiles.run(joined, kernel, "y int, x int, label bigint", size, tile, halo)
 
 
@@ -192,7 +192,7 @@ def cytoplasm(nuclei_px: DataFrame, image: DataFrame | None, tissue: DataFrame,
         rough = smooth.withColumn("v", F.round(F.col("v") / F.lit(float(scale)) * 16).cast("bigint"))
         grad = neighbourhood.deviation3(rough, size).select(*YX, (F.col("v") / 16).alias("grad"))
         ends = grad.agg(F.max("grad").alias("g")).join(F.broadcast(d2.agg(F.sqrt(F.max("d2").cast("double")).alias("d"))))  # one row each
-        mixed = grad.join(d2, YX).join(F.broadcast(ends))
+        mixed = join_pixels(grad, d2).join(F.broadcast(ends))
         surface = mixed.select(*YX, F.sqrt(F.col("grad") * F.col("grad") + F.when(F.col("d") > 0, F.lit(1e-6) * F.col("g") / F.col("d")).otherwise(0.0) * F.col("d2")).alias("v"))
         outside = frames.subtract(plate_mask(size, nuclei_px), within)
         background = neighbourhood.erode(outside, config.cyto_dilation)
@@ -212,7 +212,7 @@ def puncta(spot: DataFrame, mask: DataFrame, sigma: float, sd: float, size: tupl
     response = neighbourhood.laplacian_of_gaussian(spot, sigma, size)
     peaks = neighbourhood.local_maxima(response, size)
     if foreground:
-        peaks = peaks.join(spot.where("v > 0").select(*YX), YX, "left_semi")
+        peaks = join_pixels(peaks, spot.where("v > 0").select(*YX), "left_semi")
     stats = threshold.median_mad(peaks)
     bright = peaks.join(F.broadcast(stats)).where(F.col("v") > F.col("med") + F.lit(1.4826 * sd) * F.col("mad"))  # one row
     return frames.intersect(bright.select(*YX), mask)
@@ -235,14 +235,14 @@ def outlines(labels: DataFrame, image: DataFrame, size: tuple[int, int]) -> Data
     """Two channels: the binary mask's outline at the image's brightest value, and the image."""
     edge = neighbourhood.outer_boundary(labels.select(*YX, F.lit(1).alias("label")), size)
     top = image.agg(F.max("v").alias("top"))
-    line = image.join(edge.withColumn("on", F.lit(1)), YX, "left").join(F.broadcast(top)).select(*YX, F.when(F.col("on") == 1, F.col("top")).otherwise(F.lit(0)).cast("int").alias("v"))  # one row
+    line = join_pixels(image, edge.withColumn("on", F.lit(1)), "left").join(F.broadcast(top)).select(*YX, F.when(F.col("on") == 1, F.col("top")).otherwise(F.lit(0)).cast("int").alias("v"))  # one row
     return frames.stack(line, image)
 
 
 def qc_stack(labels: DataFrame, contour: DataFrame, image: DataFrame, numbers: list[int], size: tuple[int, int]) -> DataFrame:
     """Outline as 0/255, contour map, and each image channel rescaled between its 0.1 and 99.9 percentiles."""
     edge = neighbourhood.outer_boundary(labels, size).withColumn("on", F.lit(True))
-    line = contour.join(edge, YX, "left").select(*YX, pixel.flag(F.coalesce("on", F.lit(False))).alias("v"))
+    line = join_pixels(contour, edge, "left").select(*YX, pixel.flag(F.coalesce("on", F.lit(False))).alias("v"))
     layers = [frames.percentile_rescale(frames.channel(image, n), 0.1, 99.9) for n in dict.fromkeys(numbers)]
     return frames.stack(line, contour, *layers)
 

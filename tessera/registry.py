@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import pixel
 from .operators import components, frames, neighbourhood, regions, shapes, threshold, tiles
-from .operators.frames import YX
+from .operators.frames import YX, join_pixels
 from .plans import segment
 from .plans.config import LargeConfig, SegmentConfig
 from .sources.fixtures import DUCK, LI_SHAPE, raster
@@ -172,7 +172,7 @@ def p6_square_root(spark, d):
 def p7_mask_multiply(spark, d):
     px = raster(spark, d, "li_px")
     a, b = frames.channel(px, 1).where("v > 0"), frames.channel(px, 2).where("v > 0")
-    return frames.intersect(a, b).select(*YX, F.col("v").alias("a")).join(b.select(*YX, F.col("v").alias("b")), YX).select(*YX, (F.col("a") * F.col("b")).alias("v"))
+    return join_pixels(frames.intersect(a, b).select(*YX, F.col("v").alias("a")), b.select(*YX, F.col("v").alias("b"))).select(*YX, (F.col("a") * F.col("b")).alias("v"))
 
 
 @query(f"SELECT y, x, max(v) AS v FROM {LI} GROUP BY y, x")
@@ -341,7 +341,7 @@ def j3_label_map(spark, d):
 @query(f"SELECT a.y, a.x, a.label, b.v FROM {COMPANION} a JOIN {EMB} b ON a.y = b.y AND a.x = b.x")
 def j1_aligned_join(spark, d):
     labels, _, _ = _companion(spark, d)
-    return labels.join(raster(spark, d, "emb_px"), YX)
+    return join_pixels(labels, raster(spark, d, "emb_px"))
 
 
 # -- aggregates and thresholds ------------------------------------------------------------------------
@@ -659,7 +659,7 @@ def _pmap(spark, d):
     labels, size = _blobs(spark, d)
     grid = segment.plate_mask(size, labels)
     v = F.coalesce("v", F.lit(0))
-    return grid.join(labels.select(*YX, "v"), YX, "left").select(*YX, v.alias("center"), (255 - v).alias("contour")), labels, size
+    return join_pixels(grid, labels.select(*YX, "v"), "left").select(*YX, v.alias("center"), (255 - v).alias("contour")), labels, size
 
 
 @query()

@@ -74,7 +74,7 @@ def area_csv(areas: DataFrame, path: str, name: str) -> str:
 def puncta_images(spots: DataFrame, labels: DataFrame, image: DataFrame, path: str, channel: int, size: tuple[int, int]) -> None:
     """Spots and object edges together over the image, and the spot mask."""
     edges = neighbourhood.outer_boundary(labels.withColumn("label", F.lit(1)), size)
-    line = image.join(frames.union(spots, edges).withColumn("on", F.lit(1)), frames.YX, "left").select("y", "x", F.when(F.col("on") == 1, 255).otherwise(0).alias("v"))
+    line = frames.join_pixels(image, frames.union(spots, edges).withColumn("on", F.lit(1)), "left").select("y", "x", F.when(F.col("on") == 1, 255).otherwise(0).alias("v"))
     write_pyramid(frames.stack(line, image.select("y", "x", "v")), f"{path}/punctaChan{channel}Outlines", size)
     write_pyramid(spots.withColumn("v", F.lit(1)), f"{path}/spots{channel}", size, True)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chroma, langid, license_scan, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
-from .support import bucket, load
+from .support import bucket, load, tune, written
 
 
 def tokenizer_path() -> str:
@@ -16,10 +16,12 @@ def tokenizer_path() -> str:
 
 
 def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return warc.round_trip(load(spark, sf_dir, "pages"))
 
 
 def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     docs = load(spark, sf_dir, "documents")
     model = langid.fit(docs.where(bucket("doc_id", 4) != 2))
     return langid.predict(docs, model).select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
@@ -27,33 +29,40 @@ def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chroma_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector of ``embeddings`` played as a recording; those whose id is divisible by 20 are the queries."""
-    prints = chroma.fingerprints(chroma.record(load(spark, sf_dir, "embeddings")), "vec_id")
+    tune(spark)
+    prints = written(chroma.fingerprints(chroma.record(load(spark, sf_dir, "embeddings")), "vec_id"), "fingerprints")
     return chroma.align(prints, prints.where("vec_id % 20 = 0"), "vec_id")
 
 
 def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return secret_scan.scan(load(spark, sf_dir, "documents"), secret_scan.fit())
 
 
 def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return license_scan.scan(load(spark, sf_dir, "documents")).drop("spans")
 
 
 def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     vectors = load(spark, sf_dir, "embeddings")
     return pivot_topk.search(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return mixing.taken(load(spark, sf_dir, "documents"))
 
 
 def op8_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op9_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     lexicon = toxicity.fit(docs, labels.where(bucket("doc_id", 5) != 0))
     scored = toxicity.score(docs, lexicon)
@@ -61,6 +70,7 @@ def op9_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 

@@ -33,15 +33,10 @@ STEPS = 300
 
 
 @lru_cache(maxsize=2)
-def _codec(path: str):
-    """(fast encoder, full encoder, special strings) of a byte-level BPE file.
-
-    The fast one is tiktoken over the file's own vocabulary, which gives the same ids for texts
-    that hold none of the special strings; others go to ``tokenizers``.
-    """
+def _fast(path: str):
+    """(tiktoken encoder, special strings) of a byte-level BPE file: the same ids for texts without these strings."""
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -50,15 +45,22 @@ def _codec(path: str):
     as_byte = {chr(b): b for b in printable}
     as_byte |= {chr(256 + n): b for n, b in enumerate(x for x in range(256) if x not in set(printable))}
     ranks = {bytes(as_byte[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in special}
-    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return fast, Tokenizer.from_file(path), special
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), special
+
+
+@lru_cache(maxsize=2)
+def _full(path: str):
+    """The encoder of ``tokenizers``, loaded for the first text that needs it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 def encode(text: str | None, path: str, end_id: int = 1) -> np.ndarray:
     """A document's ids, little-endian unsigned 32-bit, with ``end_id`` after the text's own."""
-    fast, full, special = _codec(path)
+    fast, special = _fast(path)
     text = text or ""
-    own = full.encode(text, add_special_tokens=False).ids if any(x in text for x in special) else fast.encode_ordinary(text)
+    own = _full(path).encode(text, add_special_tokens=False).ids if any(x in text for x in special) else fast.encode_ordinary(text)
     own.append(end_id)
     return np.array(own, "<u4")
 

@@ -16,6 +16,7 @@ grows with the group.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,12 @@ GROUPS = ((0, 22), (22, 43), (43, 64))
 MAX_BITS = 4
 TILE = 65_536
 #: Bytes of normalised text hashed at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 #: Cells up to this many rows are compared together, larger ones by a search that removes what it has found.
 SMALL_CELL = 128
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
 # The constants of the XXH64 algorithm.
 P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
@@ -126,15 +129,25 @@ def fingerprints_of(texts: list[str | None], width: int = 4, seed: int = 42) ->
         held = 0
 
     for i, text in enumerate(texts):
-        words = (text or "").encode().lower().split()
-        if not words:
-            continue
-        step = CHUNK // 8
-        for k in range(0, max(1, len(words) - width + 1), step):
-            part = b" ".join(words[k : k + step + width - 1])
-            parts.append(part)
+        raw = (text or "").encode().lower()
+        at, carried, begun = 0, [], False
+        while at < len(raw):  # a slice at a time, cut at white space: a long text's words are never all in a list
+            end = min(at + CHUNK, len(raw))
+            if end < len(raw):
+                gap = _SPACE.search(raw, end)
+                end = gap.start() if gap else len(raw)
+            new = raw[at:end].split()
+            at = end
+            words = carried + new
+            if not new or (len(words) < width and at < len(raw)):
+                carried = words
+                if at < len(raw) or begun or not words:
+                    continue
+            parts.append(b" ".join(words))
             owner.append(i)
-            held += len(part)
+            held += len(parts[-1])
+            carried = words[-(width - 1) :] if width > 1 else []
+            begun = True
             if held >= CHUNK:
                 flush()
     flush()
@@ -142,18 +155,6 @@ def fingerprints_of(texts: list[str | None], width: int = 4, seed: int = 42) ->
     return np.packbits(bit, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
-    """``(id, fp bigint)`` for every row, the fingerprint's bits as a signed number."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = fingerprints_of(b.column(1).to_pylist(), width, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["id", "fp"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
-
-
 def unary(fp: np.ndarray) -> np.ndarray:
     """Each two-bit segment's count in unary; the popcount of two codes' XOR is the Manhattan distance."""
     even = np.uint64(0x5555555555555555)
@@ -325,9 +326,11 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int)
     base = base.select("id", F.xxhash64("id", "text").alias("row"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = fingerprints_of(b.column(2).to_pylist(), width, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["id", "row", "fp"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                b = whole.slice(k, 256)
+                fp = fingerprints_of(b.column(2).to_pylist(), width, seed).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["id", "row", "fp"])
 
     return written(base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, fp bigint"), "fingerprints")
 

@@ -16,6 +16,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Bytes of an Arrow batch; a worker holds a batch several times over, and texts differ in length by orders.
+BATCH_BYTES = "8m"
+
+
+def tune(spark: SparkSession) -> None:
+    """Session settings under which a Python worker's memory stays small whatever the rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in a plain local session."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

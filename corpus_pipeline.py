@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import langid, mixing, packing, secret_scan, simhash
 from tessera.llm.entries import tokenizer_path
-from tessera.llm.support import load, written
+from tessera.llm.support import load, tune, written
 
 #: Language scores below this reject a document, as ``und`` does.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -25,6 +25,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, which their lang column then names; the rest goes."""
+    tune(spark)
     found = langid.predict(docs, langid.fit(docs), keep=True)
     kept = found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE))
     return kept.withColumn("lang", F.col("__lang")).select(*docs.columns)
@@ -32,21 +33,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of linked fingerprints: that with the least id."""
+    tune(spark)
     return simhash.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, accepted secrets masked."""
+    tune(spark)
     return _sized(secret_scan.redact(docs, secret_scan.fit()))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' words in the mix, a row for each document and pass."""
+    tune(spark)
     return _sized(mixing.mixed(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents placed in sequences."""
+    tune(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -1,14 +1,15 @@
 """Mixing sources to target weights, in fixed-length blocks of tokens.
 
-A source is the stream of its documents' tokens, cut into blocks of ``block`` tokens. The mix is a
+A source is the stream of its documents' tokens, cut into blocks of
+``block`` tokens, of a source with few tokens into shorter ones of one length. The mix is a
 number of output shards with the same number of slots. Each shard draws how many of its slots go to
 each source from a multinomial over what the sources have still to give, so that the draws vary from
 shard to shard while the totals meet the targets. A source's slots are numbered through all shards;
 slot ``j`` shows block ``perm(j mod n)`` of pass ``j div n``, with a keyed pseudorandom permutation of
 the source's ``n`` block numbers for each pass. Slots and blocks are joined by source and number.
 
-The driver holds one row for each source and the table of draws, shards times sources; both are
-independent of the number of documents.
+The driver holds one row for each source and the table of draws, shards times sources: a number for
+every million slots and source.
 """
 
 from __future__ import annotations
@@ -30,7 +31,10 @@ WEIGHTS = (3, 1, 2)
 #: Size of the mix in all sources' tokens, and the most passes over a source.
 SHARE, MOST = 1.5, 2.0
 BLOCK = 256
-SHARDS = 256
+#: Blocks that a source has at least, if it has as many tokens: small sources are cut into shorter blocks.
+LEAST_BLOCKS = 100
+#: Output shards at least, and slots of a shard at most, about.
+SHARDS, SHARD_SLOTS = 256, 1 << 20
 #: Documents in one bucket of the position computation, at least; the root of a source's documents beyond its square.
 BUCKET_ROWS = 500
 
@@ -102,7 +106,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, source string, size bigint")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int = SHARDS, seed: int = 20) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, shards: int | None = None, seed: int = 20) -> tuple[DataFrame, DataFrame]:
     """``(documents, pieces)`` of the mix.
 
     documents: (id, row, copy, source, size, source_size, target), one row for each row of ``docs``.
@@ -119,11 +123,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [int(r["size"]) for r in found]
     want = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))])
-    blocks = [-(-s // block) for s in sizes]
+    lengths = [max(1, min(block, s // LEAST_BLOCKS)) for s in sizes]
+    blocks = [-(-s // n) for s, n in zip(sizes, lengths, strict=True)]
     slots = [min(round(n * t / s), int(MOST) * n) if s else 0 for s, n, t in zip(sizes, blocks, want, strict=True)]
     facts = spark.createDataFrame(
-        [(i, r["source"], s, t, b, -(-r["n"] // max(BUCKET_ROWS, math.isqrt(r["n"])))) for i, (r, s, t, b) in enumerate(zip(found, sizes, want, blocks, strict=True))],
-        "sid int, name string, source_size bigint, target double, blocks bigint, buckets bigint",
+        [(i, r["source"], s, t, b, n, -(-r["n"] // max(BUCKET_ROWS, math.isqrt(r["n"])))) for i, (r, s, t, b, n) in enumerate(zip(found, sizes, want, blocks, lengths, strict=True))],
+        "sid int, name string, source_size bigint, target double, blocks bigint, block bigint, buckets bigint",
     )
 
     # Positions within a source: within small buckets first, then over the buckets' sums.
@@ -138,12 +143,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     base0 = sums.select("sid", "bucket", F.coalesce(F.sum("sum").over(Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     placed = placed.join(written(base0, "bases"), ["sid", "bucket"]).withColumn("begin", F.col("base") + F.col("local"))
 
-    first, last = F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block)
-    parts = placed.where("size > 0").select("sid", "row", "copy", "begin", "size", F.explode(F.sequence(first, last)).alias("index"))
-    start = F.greatest("begin", F.col("index") * block)
-    stop = F.least(F.col("begin") + F.col("size"), (F.col("index") + 1) * block)
+    first, last = F.floor(F.col("begin") / F.col("block")), F.floor((F.col("begin") + F.col("size") - 1) / F.col("block"))
+    parts = placed.where("size > 0").select("sid", "row", "copy", "begin", "size", "block", F.explode(F.sequence(first, last)).alias("index"))
+    start = F.greatest("begin", F.col("index") * F.col("block"))
+    stop = F.least(F.col("begin") + F.col("size"), (F.col("index") + 1) * F.col("block"))
     parts = parts.select("sid", "index", "row", "copy", (start - F.col("begin")).alias("from"), (stop - start).alias("words"))
 
+    shards = shards or max(SHARDS, -(-sum(slots) // SHARD_SLOTS))
     table = draws(slots, shards, seed)
     done = np.concatenate([np.zeros((1, table.shape[1]), np.int64), np.cumsum(table, axis=0)[:-1]]) if len(slots) else table
     inner = np.cumsum(table, axis=1) - table
@@ -160,7 +166,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(turn), pa.array(permute(j % size, size, key))], names=["shard", "slot", "sid", "pass", "index"])
 
     shown_slots = drawn.mapInArrow(shown, "shard int, slot bigint, sid int, pass bigint, index bigint")
-    pieces = shown_slots.join(parts, ["sid", "index"]).select("row", "copy", "sid", "shard", "slot", "pass", "from", "words")
+    # Slots grow with the corpus, whatever the size of the plan they are made from: never broadcast.
+    pieces = shown_slots.hint("merge").join(parts, ["sid", "index"]).select("row", "copy", "sid", "shard", "slot", "pass", "from", "words")
     return placed.select("id", "row", "copy", "sid", "source", "size", "source_size", "target"), pieces
 
 

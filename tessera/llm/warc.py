@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import scratch_path
+from .support import hashed_sample, scratch_path
 
 # Fixed values of the formats.
 DICT_MAGIC, FRAME_MAGIC, SKIP_MAGIC = 0x184D2A5D, 0xFD2FB528, 0x184D2A50
@@ -144,8 +144,9 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary")).alias("payload"))
     base = base.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.length("payload"))
-    total = base.agg(F.sum("bytes").alias("n")).first()["n"] or 0
-    seen = base.select("id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("part"), "digest").orderBy(F.xxhash64("digest"), "id").limit(SAMPLE_RECORDS).collect()
+    sums = base.agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    total = sums["bytes"] or 0
+    seen = hashed_sample(base.select("id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("part"), "digest"), SAMPLE_RECORDS, ["id", "digest"], sums["rows"])
     dictionary = dictionary_of([record(r["id"], r["url"], bytes(r["part"]), r["digest"]) for r in seen])
 
     first = base.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1 and top is not null")

@@ -69,7 +69,8 @@ def h_maxima(image: np.ndarray, h: float) -> np.ndarray:
     if h <= 0:
         step = 1 if np.issubdtype(image.dtype, np.integer) else np.finfo(float).eps * max(1.0, float(np.abs(image).max(initial=0)))
         return image - reconstruct(image - step, image) > 0
-    return image - reconstruct(image - h, image) >= h
+    slack = 0 if np.issubdtype(image.dtype, np.integer) else 4 * float(np.spacing(np.abs(image).max(initial=h)))
+    return image - reconstruct(image - h, image) >= h - slack
 
 
 def window_peaks(image: np.ndarray, border: int = 1) -> np.ndarray:
@@ -82,36 +83,115 @@ def window_peaks(image: np.ndarray, border: int = 1) -> np.ndarray:
 
 
 def flood(surface: np.ndarray, markers: np.ndarray, mask: np.ndarray | None = None, line: bool = True) -> np.ndarray:
-    """Marker-controlled watershed by a priority flood across edges; equal heights in the order they were reached.
+    """Marker-controlled watershed across edges, in waves.
 
-    With ``line``, a pixel that two basins reach stays 0 and parts them. Markers outside the mask are dropped.
+    The level rises over the surface's values. At a level, pixels beside a basin that are not above it form a wave:
+    each takes its basins' label, or with ``line`` stays 0 and parts them if it sees two. Of pixels in one wave that
+    touch and have different labels the first by rows takes its own and the other stays 0. What a wave reaches
+    is the next wave, so a lower place behind a pass is flooded at the level of the pass. Markers outside the mask are
+    dropped. Surfaces with few values go wave by wave as arrays, others pixel by pixel; the result is the same.
     """
     h, w = surface.shape
-    open_ = np.ones((h, w), bool) if mask is None else mask
-    out = np.where(open_, markers, 0).astype(np.int64)
-    queue: list[tuple[float, int, int, int, int]] = []
-    queued = out > 0
-    age = 0
-
-    def push_round(y: int, x: int, label: int) -> None:
-        nonlocal age
-        for dy, dx in FOUR:
-            v, u = y + dy, x + dx
-            if 0 <= v < h and 0 <= u < w and open_[v, u] and not queued[v, u]:
-                queued[v, u] = True
-                age += 1
-                heapq.heappush(queue, (surface[v, u], age, v, u, label))
-
-    for y, x in zip(*np.nonzero(out), strict=True):
-        push_round(int(y), int(x), int(out[y, x]))
+    wide = w + 2
+    out = np.zeros((h + 2, wide), np.int64)
+    closed = np.ones((h + 2, wide), bool)
+    closed[1:-1, 1:-1] = False if mask is None else ~mask
+    out[1:-1, 1:-1] = np.where(closed[1:-1, 1:-1], 0, markers)
+    values, rank = np.unique(surface, return_inverse=True)
+    level = np.zeros((h + 2, wide), np.int64)
+    level[1:-1, 1:-1] = rank.reshape(h, w)
+    out, level, done = out.ravel(), level.ravel(), (closed | (out > 0)).ravel()
+    run = _waves if len(values) * 16 <= surface.size else _pixels
+    run(out, level, done, np.array([-wide, -1, 1, wide]), len(values), line)
+    return out.reshape(h + 2, wide)[1:-1, 1:-1]
+
+
+def _waves(out: np.ndarray, level: np.ndarray, done: np.ndarray, steps: np.ndarray, levels: int, line: bool) -> None:
+    waiting: list[list[np.ndarray]] = [[] for _ in range(levels)]
+
+    def reach(kept: np.ndarray, now: int) -> np.ndarray:
+        """Queue what ``kept`` touches; returns what is due at this level."""
+        near = (kept[:, None] + steps).ravel()
+        near = np.unique(near[~done[near]])
+        done[near] = True
+        due = level[near] <= now
+        later = near[~due]
+        if len(later):
+            order = np.argsort(level[later], kind="stable")
+            at, first = np.unique(level[later][order], return_index=True)
+            for k, part in zip(at.tolist(), np.split(later[order], first[1:]), strict=True):
+                waiting[k].append(part)
+        return near[due]
+
+    reach(np.flatnonzero(out), -1)
+    place = np.full(len(out), -1)
+    for now in range(levels):
+        wave = np.sort(np.concatenate(waiting[now])) if waiting[now] else np.empty(0, np.int64)
+        waiting[now] = []
+        while len(wave):
+            seen = out[wave[:, None] + steps]
+            high = seen.max(axis=1)
+            low = np.where(seen > 0, seen, high[:, None]).min(axis=1)
+            if not line:
+                first = np.argmax(seen > 0, axis=1)
+                out[wave] = seen[np.arange(len(wave)), first]
+                wave = reach(wave, now)
+                continue
+            alive = np.flatnonzero(low == high)  # sees one basin
+            pixel, label = wave[alive], high[alive]
+            place[pixel] = np.arange(len(pixel))
+            other = place[pixel[:, None] + steps]
+            rival = (other >= 0) & (label[other] != label[:, None])
+            state = np.zeros(len(pixel), np.int8)  # 0 open, 1 kept, 2 line
+            state[~rival.any(axis=1)] = 1
+            earlier = rival & (other < np.arange(len(pixel))[:, None])
+            while True:
+                open_ = np.flatnonzero(state == 0)
+                if not len(open_):
+                    break
+                theirs = np.where(earlier[open_], state[other[open_]], 2)
+                state[open_[(theirs == 1).any(axis=1)]] = 2
+                state[open_[(theirs == 2).all(axis=1)]] = 1
+            place[pixel] = -1
+            kept = pixel[state == 1]
+            out[kept] = label[state == 1]
+            wave = reach(kept, now)
+
+
+def _pixels(out: np.ndarray, level: np.ndarray, done: np.ndarray, steps: np.ndarray, levels: int, line: bool) -> None:
+    around = steps.tolist()
+    labels, heights, closed = out.tolist(), level.tolist(), done.tolist()
+    queue: list[tuple[int, int]] = []
+
+    def reach(kept: list[int], now: int) -> list[int]:
+        due = []
+        for p in kept:
+            for s in around:
+                q = p + s
+                if not closed[q]:
+                    closed[q] = True
+                    if heights[q] <= now:
+                        due.append(q)
+                    else:
+                        heapq.heappush(queue, (heights[q], q))
+        return sorted(due)
+
+    reach(np.flatnonzero(out).tolist(), -1)
     while queue:
-        _, _, y, x, label = heapq.heappop(queue)
-        near = {int(out[y + dy, x + dx]) for dy, dx in FOUR if 0 <= y + dy < h and 0 <= x + dx < w} - {0}
-        if line and len(near) > 1:
-            continue  # stays a dividing line
-        out[y, x] = label if not near else near.pop() if len(near) == 1 else label
-        push_round(y, x, int(out[y, x]))
-    return out
+        now, wave = queue[0][0], []
+        while queue and queue[0][0] == now:
+            wave.append(heapq.heappop(queue)[1])
+        while wave:
+            chosen: dict[int, int] = {}
+            for p in wave:
+                near = [labels[p + s] for s in around if labels[p + s]]
+                if line and (len(set(near)) > 1 or any(chosen.get(p + s, near[0]) != near[0] for s in around)):
+                    continue
+                chosen[p] = near[0]
+            for p, k in chosen.items():
+                labels[p] = k
+            wave = reach(list(chosen), now)
+    out[:] = labels
 
 
 def squared_distances(mask: np.ndarray) -> np.ndarray:

@@ -135,3 +135,22 @@ def test_window_peaks():
     a[2, 2] = a[3, 4] = 5
     a[0, 5] = 9
     assert np.argwhere(K.window_peaks(a)).tolist() == [[2, 2], [3, 4]]
+
+
+@pytest.mark.parametrize("line", [True, False])
+def test_flood_paths_agree(line, monkeypatch):
+    rng = np.random.default_rng(12)
+    for k in range(12):
+        surface = rng.integers(0, 6, (25, 30)) if k % 2 else rng.integers(0, 2, (25, 30))
+        markers = np.where(rng.random((25, 30)) < 0.05, rng.integers(1, 9, (25, 30)), 0)
+        mask = rng.random((25, 30)) < 0.9 if k % 3 else None
+        by_wave = K.flood(surface, markers, mask, line)
+        with monkeypatch.context() as m:
+            m.setattr(K, "_waves", K._pixels)
+            assert np.array_equal(K.flood(surface, markers, mask, line), by_wave)
+
+
+def test_h_maxima_of_floats():
+    image = np.zeros((5, 5))
+    image[2, 2] = 255
+    assert K.h_maxima(image, 0.01)[2, 2] and K.h_maxima(image / 255, 0.01)[2, 2]

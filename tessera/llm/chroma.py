@@ -6,7 +6,7 @@ Sixteen filters compare neighbouring rectangles; each answer is quantised to two
 the 32 bits are one packed integer for each step of time.
 
 Recordings with equal fingerprints are one class. Two classes are aligned if, at one offset, at least
-``LEAST_VOTES`` packed integers are equal; the offset with most votes is theirs, and the share of
+``LEAST_VOTES`` landmarks, mixes of two packed integers, are equal; the offset with most votes is theirs, and the share of
 differing bits over the overlap is their bit error.
 """
 
@@ -23,16 +23,20 @@ from pyspark.sql import functions as F
 from .support import written
 
 RATE = 4000
-FRAME, HOP = 1024, 256
+FRAME, HOP = 1024, 128
 #: Frames that one packed integer looks at.
-SPAN = 16
+SPAN = 32
 LOW_HZ, HIGH_HZ = 80.0, 1900.0
 #: Filters as (kind, first pitch class, pitch classes, frames); the rules below name the kinds.
-FILTERS = tuple((kind, pitch, height, width) for kind, pitch, height, width in zip((0, 1, 2, 3) * 4, (0, 2, 4, 6, 1, 3, 5, 7, 0, 3, 6, 0, 2, 4, 0, 0), (4, 4, 4, 4, 6, 6, 6, 4, 8, 8, 6, 12, 8, 8, 12, 12), (16, 12, 8, 6, 12, 16, 6, 8, 8, 4, 12, 16, 16, 4, 12, 16), strict=True))
+FILTERS = tuple((kind, pitch, height, width) for kind, pitch, height, width in zip((0, 1, 2, 3) * 4, (0, 2, 4, 6, 1, 3, 5, 7, 0, 3, 6, 0, 2, 4, 0, 0), (4, 4, 4, 4, 6, 6, 6, 4, 8, 8, 6, 12, 8, 8, 12, 12), (32, 24, 16, 12, 24, 32, 12, 16, 16, 8, 24, 32, 32, 8, 24, 32), strict=True))
 #: Thresholds that cut a filter's answer, a log ratio, into four ranges.
 LEVELS = (-0.3, 0.0, 0.3)
-LEAST_VOTES = 3
-MAX_BIT_ERROR = 0.35
+#: Steps between the two packed integers that vote together.
+GAP = 4
+#: Neighbours of which the least votes.
+WINNOW = 4
+LEAST_VOTES = 2
+MAX_BIT_ERROR = 0.25
 SALTS = 16
 
 
@@ -136,6 +140,22 @@ def fingerprints(media: DataFrame, id_col: str = "id", audio_col: str = "audio")
     return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, prints array<bigint>").withColumnRenamed("id", id_col)
 
 
+def landmarks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values) that vote: a mix of two packed integers ``GAP`` steps apart, where it is the least of some
+    ``WINNOW`` neighbours. Two recordings that agree over ``GAP + WINNOW`` steps always share one. Silence has none."""
+    if len(prints) < GAP + WINNOW:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b = prints[:-GAP], prints[GAP:]
+    with np.errstate(over="ignore"):
+        v = (a << np.uint64(32) | b) * np.uint64(0x9E3779B97F4A7C15)
+        v = (v ^ (v >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    v = np.where((a > 0) & (b > 0), v >> np.uint64(1), np.uint64(2**63 - 1))
+    least = np.lib.stride_tricks.sliding_window_view(v, WINNOW).argmin(axis=1)
+    at = np.unique(least + np.arange(len(least)))
+    at = at[v[at] < np.uint64(2**63 - 1)]
+    return at, v[at].astype(np.int64)
+
+
 def bit_error(a: list[int], b: list[int], offset: int) -> tuple[int, int]:
     """(differing bits, compared bits) with step i of ``a`` on step i - offset of ``b``."""
     lo, hi = max(0, offset), min(len(a), len(b) + offset)
@@ -160,8 +180,17 @@ def align(prints: DataFrame, queries: DataFrame, id_col: str = "id", least_votes
     asked = queries.select(F.col("prints").alias("q")).withColumn("key", F.xxhash64("q")).groupBy("key", "q").agg(F.count("*").alias("n"))
     own = reps.join(asked.select("key", F.col("q").alias("prints")), ["key", "prints"], "left_semi")
 
+    kind = named.schema["id"].dataType.simpleString()
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [landmarks(np.array(p, np.uint64)) for p in b.column(1).to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            cols = [np.concatenate([np.empty(0, np.int64), *(f[k].astype(np.int64) for f in found)]) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(cols[0].astype(np.int32)), pa.array(cols[1])], names=["id", "at", "value"])
+
     def steps(df: DataFrame, side: str) -> DataFrame:
-        return df.select(F.col("class_id").alias(f"{side}_id"), F.posexplode("prints").alias(f"{side}_at", "value")).where("value <> 0")
+        return df.select("class_id", "prints").mapInArrow(marks, f"id {kind}, at int, value bigint").toDF(f"{side}_id", f"{side}_at", "value")
 
     # A value that many classes share is dealt to SALTS tasks on one side and copied to all on the other.
     left = steps(own, "q").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -175,7 +204,6 @@ def align(prints: DataFrame, queries: DataFrame, id_col: str = "id", least_votes
             found = [bit_error(x, y, o) for x, y, o in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([d / n if n else 1.0 for d, n in found], pa.float64())], names=["id", "match_class", "offset", "votes", "bit_error"])
 
-    kind = named.schema["id"].dataType.simpleString()
     measured = pairs.select("q_id", "m_id", F.col("best.offset").alias("offset"), F.col("best.votes").alias("votes"), "q", "m")
     aligned = measured.mapInArrow(errors, f"id {kind}, match_class {kind}, offset int, votes bigint, bit_error double").where(F.col("bit_error") <= most_error)
     rows = named.join(reps.select("key", F.col("prints").alias("same"), "class_id"), "key").where(F.col("prints") == F.col("same"))

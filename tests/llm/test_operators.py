@@ -161,6 +161,17 @@ def test_chroma_integral_image():
     assert chroma.bit_error([1, 2, 3], [2, 3, 4], 1) == (0, 64)
 
 
+def test_chroma_landmarks():
+    rng = np.random.default_rng(5)
+    p = rng.integers(1, 2**32, 60).astype(np.uint64)
+    p[20:30] = 0
+    at, value = chroma.landmarks(p)
+    assert len(at) and all(p[i] and p[i + chroma.GAP] for i in at)
+    other = np.concatenate([rng.integers(1, 2**32, 7).astype(np.uint64), p[30 : 30 + chroma.GAP + chroma.WINNOW], rng.integers(1, 2**32, 9).astype(np.uint64)])
+    assert set(chroma.landmarks(other)[1]) & set(value)
+    assert not len(chroma.landmarks(p[:3])[0]) and not len(chroma.landmarks(np.zeros(40, np.uint64))[0])
+
+
 # -- 4: secrets -------------------------------------------------------------------------------------
 
 

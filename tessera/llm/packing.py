@@ -227,7 +227,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     parts = sizes.groupBy("part").agg(F.sum("whole").alias("whole"))  # one row for each task of the first pass
     parts = parts.select("part", F.coalesce(F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before0"))
     shifts = written(ranked.join(parts, "part"), "shifts")
-    placed = found.join(shifts, ["part", "rest"]).select(
+    # as many rows as tasks times lengths: too many to broadcast on a large input
+    placed = found.join(shifts.hint("merge"), ["part", "rest"]).select(
         "id", "tokens", "full", "rest", "rest_crc", (F.col("rank") + F.col("rank0")).alias("rank"), (F.col("before") + F.col("before0")).alias("before")
     )
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -27,7 +27,12 @@ SAMPLE_ROWS, SAMPLE_LANGUAGES = 500, 400
 #: Windows that go through the network together.
 BATCH = 48
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLY = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Numbers that are no decimal digits, such as fractions, match the pattern too and are no letters."""
+    return any(m.group().isalpha() for m in _WORDLY.finditer(text))
 
 
 def _columns(width: int = max(WIDTHS)) -> np.ndarray:
@@ -145,7 +150,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         if used[r["lang"]] < rows:
             used[r["lang"]] += 1
             for part in dict.fromkeys(r["parts"]):
-                if _LETTER.search(part):
+                if has_letter(part):
                     x.append(windows_of(part.encode())[0])
                     y.append(languages.index(r["lang"]))
     rng = np.random.default_rng(seed)
@@ -183,7 +188,7 @@ def classify(texts, model: ByteCnn | None) -> tuple[list[str], list[float]]:
     for i, text in enumerate(texts):
         sums.append(None)
         count.append(0)
-        if text is not None and model is not None and _LETTER.search(text):
+        if text is not None and model is not None and has_letter(text):
             w = windows_of(text.encode())
             count[i] = len(w)
             for k in range(0, len(w), BATCH):

@@ -110,6 +110,10 @@ def test_language_model(spark, docs, empty):
     assert kept.columns == [*docs.columns, "__lang", "__score"]
 
 
+def test_letters():
+    assert not any(map(langid.has_letter, ("", "½ ² 7", "12_3 !", "Ⅷ\u0301"))) and all(map(langid.has_letter, ("½a", "日", "é")))
+
+
 def test_language_windows_and_convolution():
     assert langid.windows_of(b"ab").shape == (1, langid.WINDOW)
     raw = bytes(range(256)) * 3 + b"end"

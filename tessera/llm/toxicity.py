@@ -28,7 +28,7 @@ from .simhash import fingerprints_of
 from .support import hashed_sample
 
 #: Bounds of the training sample: rows of each label, in the order of a hash of their id.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 2_500, 5_000
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
 #: Lengths of word beginnings that can become entries.
 STEM = (3, 10)
 #: Least logarithm of how much oftener an entry is used in toxic rows than in clean ones, less three standard errors.

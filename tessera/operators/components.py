@@ -63,6 +63,9 @@ def label(mask: DataFrame, width: int, connectivity: int = 1, tile: int = TILE)
     local = placed.groupBy("ty", "tx").applyInPandas(_local(connectivity, width), "y int, x int, local bigint")
     keep = (lambda d: d.checkpoint()) if mask.sparkSession.sparkContext.getCheckpointDir() else (lambda d: d.persist())
     local = keep(local)
+    spread = local.agg(*[f(F.floor(F.col(a) / tile)).alias(f"{n}_{a}") for a in YX for n, f in (("low", F.min), ("high", F.max))]).first()
+    if all(spread[f"low_{a}"] == spread[f"high_{a}"] for a in YX):  # one tile or none: no seam
+        return local.select(*YX, F.col("local").alias("label"))
     # pixels beside a seam, on both of its sides, meet by place
     rim = local.where((F.col("y") % tile == 0) | (F.col("y") % tile == tile - 1) | (F.col("x") % tile == 0) | (F.col("x") % tile == tile - 1))
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if connectivity == 2 else [])

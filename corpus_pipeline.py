@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mixing, packing, secret_scan, simhash
+from tessera.llm import langid, mixing, packing, secret_scan, shingles
 from tessera.llm.entries import tokenizer_path
 from tessera.llm.support import load, tune, written
 
@@ -32,9 +32,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of linked fingerprints: that with the least id."""
+    """One document of each class of texts linked by a five-word similarity of 0.8 or more: that with the least id."""
     tune(spark)
-    return simhash.keep_one(docs)
+    return shingles.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("language ID", language), ("SimHash near-dedup", near_duplicates), ("secret scans", secrets), ("mixing", mixture), ("packing", packed)]
+STAGES = [("language ID", language), ("near-dedup", near_duplicates), ("secret scans", secrets), ("mixing", mixture), ("packing", packed)]
 
 ORACLE_SQL = None
 

@@ -1,7 +1,7 @@
 """Secret scans whose false positives a random forest removes.
 
 Candidates come from patterns: values assigned to credential-like names, tokens with a known prefix,
-key blocks, and long mixed tokens anywhere. Each is described by its length, the mean log-probability
+key blocks, and long mixed tokens anywhere, each to the end of its run of characters, however long. Each is described by its length, the mean log-probability
 of its character transitions under a model of words and one of random keys, its share covered by
 dictionary words, its classes of characters, its path, and the words before it. A forest of shallow
 trees, grown in numpy on labelled findings, gives the share of trees that call it a secret.
@@ -51,11 +51,11 @@ NEAR_AGAINST = frozenset(("example", "sample", "dummy", "placeholder", "fake", "
 PATH_AGAINST = ("test", "example", "sample", "doc", "mock", "fixture", "spec", "lock", "vendor", "readme", "demo")
 PATH_FOR = ("config", ".env", "secret", "deploy", "settings", "credential", "prod")
 
-_VALUE = r"""["'`]?([^\s"'`,;<>|)]{6,256})"""
+_VALUE = r"""["'`]?([^\s"'`,;<>|)]{6,})"""
 _ASSIGNED = re.compile(r"(?i)(?<![^\W_])[\w.\-]{0,40}?(?:" + "|".join(map(re.escape, NAMES)) + r")[\w.\-]{0,40}[\"'\]]{0,2}\s{0,4}(?::=|=>|==?|:)\s{0,4}" + _VALUE)
-_PREFIXED = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"{re.escape(p)}[A-Za-z0-9_\\-]{{{n},255}}" for p, n in PREFIXES.items()) + ")")
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,20000}-----END [A-Z ]{0,30}PRIVATE KEY-----")
-_MIXED = re.compile(r"[A-Za-z0-9+/_=\-]{24,256}")
+_PREFIXED = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"{re.escape(p)}[A-Za-z0-9_\\-]{{{n},}}" for p, n in PREFIXES.items()) + ")")
+_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,}+-----END [A-Z ]{0,30}PRIVATE KEY-----")
+_MIXED = re.compile(r"[A-Za-z0-9+/_=\-]{24,}")
 _WORD = re.compile(r"[^\W_]+")
 _NAMED = re.compile("|".join(map(re.escape, NAMES)), re.I)
 
@@ -95,7 +95,7 @@ _CLASS = {c: 0 for c in "abcdefghijklmnopqrstuvwxyz"} | {c: 1 for c in "ABCDEFGH
 def _symbols(value: str) -> list[int]:
     """Letters by themselves whatever their case, digits together, other signs in two groups."""
     out = []
-    for c in value[:512]:
+    for c in value:
         k = _CLASS.get(c, 4)
         out.append(ord(c.lower()) - 97 if k < 2 else 26 + k - 2 if k < 4 else 28)
     return out
@@ -103,7 +103,7 @@ def _symbols(value: str) -> list[int]:
 
 def coverage(value: str) -> float:
     """Share of the letters and digits that dictionary words of three letters or more cover, longest first."""
-    s = "".join(c for c in value.lower()[:512] if c.isalnum())
+    s = "".join(c for c in value.lower() if c.isalnum())
     i = done = 0
     while i < len(s):
         for n in range(min(12, len(s) - i), 2, -1):

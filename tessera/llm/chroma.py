@@ -6,7 +6,7 @@ Sixteen filters compare neighbouring rectangles; each answer is quantised to two
 the 32 bits are one packed integer for each step of time.
 
 Recordings with equal fingerprints are one class. Two classes are aligned if, at one offset, at least
-``LEAST_VOTES`` landmarks, mixes of two packed integers, are equal; the offset with most votes is theirs, and the share of
+``LEAST_VOTES`` places have a landmark, half of the bits of two packed integers, in common; the offset with most votes is theirs, and the share of
 differing bits over the overlap is their bit error.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .support import written
@@ -33,11 +33,13 @@ FILTERS = tuple((kind, pitch, height, width) for kind, pitch, height, width in z
 LEVELS = (-0.3, 0.0, 0.3)
 #: Steps between the two packed integers that vote together.
 GAP = 4
-#: Neighbours of which the least votes.
+#: Votes, at least, of two recordings that agree over ``GAP + WINNOW`` steps.
 WINNOW = 4
 LEAST_VOTES = 2
 MAX_BIT_ERROR = 0.25
 SALTS = 16
+#: Queries, and classes, that meet in a task.
+BLOCK = 8192
 
 
 def decode_wav(data: bytes | None) -> tuple[np.ndarray, int]:
@@ -141,19 +143,42 @@ def fingerprints(media: DataFrame, id_col: str = "id", audio_col: str = "audio")
 
 
 def landmarks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, values) that vote: a mix of two packed integers ``GAP`` steps apart, where it is the least of some
-    ``WINNOW`` neighbours. Two recordings that agree over ``GAP + WINNOW`` steps always share one. Silence has none."""
-    if len(prints) < GAP + WINNOW:
+    """(places, values) that vote: six for each two packed integers ``GAP`` steps apart, every two of their four halves.
+    Two places that differ in up to two of the 64 bits share one, equal integers do whatever their partners. Silence has none."""
+    if len(prints) <= GAP:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = prints[:-GAP], prints[GAP:]
-    with np.errstate(over="ignore"):
-        v = (a << np.uint64(32) | b) * np.uint64(0x9E3779B97F4A7C15)
-        v = (v ^ (v >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    v = np.where((a > 0) & (b > 0), v >> np.uint64(1), np.uint64(2**63 - 1))
-    least = np.lib.stride_tricks.sliding_window_view(v, WINNOW).argmin(axis=1)
-    at = np.unique(least + np.arange(len(least)))
-    at = at[v[at] < np.uint64(2**63 - 1)]
-    return at, v[at].astype(np.int64)
+    a, b = prints[:-GAP].astype(np.int64), prints[GAP:].astype(np.int64)
+    at = np.flatnonzero((a > 0) & (b > 0))
+    halves = [a[at] >> 16, a[at] & 0xFFFF, b[at] >> 16, b[at] & 0xFFFF]
+    values = [k << 32 | halves[i] << 16 | halves[j] for k, (i, j) in enumerate(((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)))]
+    return np.tile(at, 6), np.concatenate(values)
+
+
+def matched(asked: list[np.ndarray], others: list[np.ndarray], least_votes: int, most_error: float) -> Iterator[tuple[int, int, int, int, float]]:
+    """(query, other, offset, votes, bit error) of the alignments; each place of a query has one vote for an offset."""
+    found = [landmarks(q) for q in asked]
+    who = np.repeat(np.arange(len(asked)), [len(f[0]) for f in found])
+    at, value = (np.concatenate([np.empty(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+    order = np.argsort(value, kind="stable")
+    who, at, value = who[order], at[order], value[order]
+    span = max(map(len, asked), default=0)
+    for m, prints in enumerate(others):
+        m_at, m_value = landmarks(prints)
+        lo, hi = np.searchsorted(value, m_value), np.searchsorted(value, m_value, "right")
+        n = hi - lo
+        if not n.any():
+            continue
+        hit = np.arange(n.sum()) + np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        width = span + len(prints)
+        vote = np.unique(((who[hit] * width) + at[hit] - np.repeat(m_at, n) + len(prints)) * span + at[hit])
+        cell, votes = np.unique(vote // span, return_counts=True)
+        cell, votes = cell[votes >= least_votes], votes[votes >= least_votes]
+        q, offset = cell // width, cell % width - len(prints)
+        best = np.lexsort((offset, -np.abs(offset), votes, q))
+        for i in best[np.append(np.diff(q[best]) != 0, True)] if len(best) else ():
+            d, bits = bit_error(asked[q[i]], prints, int(offset[i]))
+            if bits and d / bits <= most_error:
+                yield int(q[i]), m, int(offset[i]), int(votes[i]), d / bits
 
 
 def bit_error(a: list[int], b: list[int], offset: int) -> tuple[int, int]:
@@ -178,34 +203,25 @@ def align(prints: DataFrame, queries: DataFrame, id_col: str = "id", least_votes
     named = written(named.withColumn("key", F.xxhash64("prints")), "prints")
     reps = written(named.groupBy("key", "prints").agg(F.min("id").alias("class_id")), "classes")
     asked = queries.select(F.col("prints").alias("q")).withColumn("key", F.xxhash64("q")).groupBy("key", "q").agg(F.count("*").alias("n"))
-    own = reps.join(asked.select("key", F.col("q").alias("prints")), ["key", "prints"], "left_semi")
+    own = written(reps.join(asked.select("key", F.col("q").alias("prints")), ["key", "prints"], "left_semi"), "queries")
 
     kind = named.schema["id"].dataType.simpleString()
 
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [landmarks(np.array(p, np.uint64)) for p in b.column(1).to_pylist()]
-            at = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-            cols = [np.concatenate([np.empty(0, np.int64), *(f[k].astype(np.int64) for f in found)]) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(cols[0].astype(np.int32)), pa.array(cols[1])], names=["id", "at", "value"])
-
-    def steps(df: DataFrame, side: str) -> DataFrame:
-        return df.select("class_id", "prints").mapInArrow(marks, f"id {kind}, at int, value bigint").toDF(f"{side}_id", f"{side}_at", "value")
-
-    # A value that many classes share is dealt to SALTS tasks on one side and copied to all on the other.
-    left = steps(own, "q").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    right = steps(reps, "m").withColumn("salt", F.pmod(F.xxhash64("m_id"), F.lit(SALTS)).cast("int"))
-    votes = left.join(right, ["value", "salt"]).where("q_id <> m_id").groupBy("q_id", "m_id", (F.col("q_at") - F.col("m_at")).alias("offset")).agg(F.count("*").alias("votes"))
-    best = votes.where(F.col("votes") >= least_votes).groupBy("q_id", "m_id").agg(F.max_by(F.struct("offset", "votes"), F.struct("votes", -F.abs("offset"), "offset")).alias("best"))
-    pairs = best.join(reps.select(F.col("class_id").alias("q_id"), F.col("prints").alias("q")), "q_id").join(reps.select(F.col("class_id").alias("m_id"), F.col("prints").alias("m")), "m_id")
-
-    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [bit_error(x, y, o) for x, y, o in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([d / n if n else 1.0 for d, n in found], pa.float64())], names=["id", "match_class", "offset", "votes", "bit_error"])
-
-    measured = pairs.select("q_id", "m_id", F.col("best.offset").alias("offset"), F.col("best.votes").alias("votes"), "q", "m")
-    aligned = measured.mapInArrow(errors, f"id {kind}, match_class {kind}, offset int, votes bigint, bit_error double").where(F.col("bit_error") <= most_error)
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        q, m = ([np.array(p, np.uint64) for p in t.column("prints").to_pylist()] for t in (left, right))
+        q_id, m_id = left.column("class_id").to_pylist(), right.column("class_id").to_pylist()
+        found = [f for f in matched(q, m, least_votes, most_error) if q_id[f[0]] != m_id[f[1]]]
+        at = lambda k: pa.array([f[k] for f in found], pa.int64())
+        cols = [left.column("class_id").take(at(0)), right.column("class_id").take(at(1)), at(2).cast(pa.int32()), at(3), pa.array([f[4] for f in found], pa.float64())]
+        return pa.table(dict(zip(("id", "match_class", "offset", "votes", "bit_error"), cols, strict=True)))
+
+    # Votes are counted where they arise and never leave a task: blocks of queries meet parts of the classes.
+    blocks, parts = own.count() // BLOCK + 1, SALTS * (reps.count() // (SALTS * BLOCK) + 1)
+    left = own.select("class_id", "prints", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    right = reps.select("class_id", "prints", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("key", F.lit(2)), F.lit(parts)).alias("part"))
+    own_names = ["class_id", "prints", "block", "part"]
+    left, right = (x.select(*(F.col(c).alias(f"{side}_{c}") for c in own_names)).toDF(*own_names) for x, side in ((left, "q"), (right, "m")))
+    aligned = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, f"id {kind}, match_class {kind}, offset int, votes bigint, bit_error double").where("id is not null and match_class is not null")
     rows = named.join(reps.select("key", F.col("prints").alias("same"), "class_id"), "key").where(F.col("prints") == F.col("same"))
     members = rows.select("id", "class_id", F.lit(None).cast(kind).alias("match_class"), F.lit(None).cast("int").alias("offset"), F.lit(None).cast("bigint").alias("votes"), F.lit(None).cast("double").alias("bit_error"))
     return members.union(aligned.select("id", F.col("id").alias("class_id"), "match_class", "offset", "votes", "bit_error")).withColumnRenamed("id", id_col)

@@ -16,6 +16,27 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ... by place, so that no name of the caller's can clash or need quoting."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def place(df: DataFrame, name: str) -> str:
+    """What ``plain(df)`` calls column ``name``: the first of that very name, else of that name in other case."""
+    names = df.columns
+    if name not in names:
+        lower = [n.lower() for n in names]
+        if name.lower() not in lower:
+            raise ValueError(f"no column {name!r} among {names}")
+        return f"c{lower.index(name.lower())}"
+    return f"c{names.index(name)}"
+
+
+def picked(df: DataFrame, **columns: str) -> DataFrame:
+    """Some columns of ``df`` under the operator's own names: ``picked(df, id="doc_id", text="text")``."""
+    return plain(df).select(*(F.col(place(df, name)).alias(own) for own, name in columns.items()))
+
+
 #: Bytes of an Arrow batch; a worker holds a batch several times over, and texts differ in length by orders.
 BATCH_BYTES = "8m"
 
@@ -74,13 +95,13 @@ def salt(column, seed: int, modulus: int):
 
 
 def hashed_sample(df: DataFrame, rows: int, keys: list[str], total: int, seed: int = 3) -> list:
-    """About ``rows`` rows in the order of a hash of ``keys``, at the driver: those below the share ``rows / total``.
+    """``rows`` rows at most, in the order of a hash of ``keys``, at the driver: those below the share ``rows / total``.
 
-    The share is applied where rows are read, so tasks send what is wanted and no more, however many they are.
+    The share is applied where rows are read, so tasks send what is wanted and no more, however many they are;
+    where keys repeat, so that a hash stands for many rows, a task still keeps ``rows`` of them at most.
     """
     if not total:
         return []
     share = min(1.0, (1.25 * rows + 20) / total)
     mark = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 40)) / float(1 << 40)
-    found = df.withColumn("__mark", mark).where(F.col("__mark") < share).collect()
-    return sorted(found, key=lambda r: r["__mark"])[:rows]
+    return df.withColumn("__mark", mark).where(F.col("__mark") < share).orderBy("__mark").limit(rows).collect()

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import hashed_sample, scratch_path
+from .support import hashed_sample, picked, scratch_path, written
 
 # Fixed values of the formats.
 DICT_MAGIC, FRAME_MAGIC, SKIP_MAGIC = 0x184D2A5D, 0xFD2FB528, 0x184D2A50
@@ -35,8 +35,8 @@ DICT_BYTES, SAMPLE_RECORDS, SAMPLE_BYTES = 112_640, 1_000, 16_384
 #: Payload bytes an archive file holds, about.
 FILE_BYTES = 32 << 20
 LEVEL = 3
-#: Parts into which the rows of one digest are dealt for the look-up of its response.
-SALTS = 64
+#: Payloads with more than one row in this many of their own are looked up apart: there are fewer of them than this.
+HOT = 4096
 ID = "urn:x-record:"
 
 
@@ -44,9 +44,9 @@ def _clean(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if ord(c) < 33 or ord(c) == 127 else c for c in value)
 
 
-def record(page_id: object, url: str | None, payload: bytes, digest: str, refers_to: object = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
-    """A response record, or with ``refers_to`` a revisit that leaves the payload out."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def record(page_id: object, url: str | None, payload: bytes | None, digest: str, refers_to: object = None, date: str = "1970-01-01T00:00:00Z", size: int | None = None) -> bytes:
+    """A response record, or with ``refers_to`` a revisit that leaves the payload out, of which it needs the ``size`` alone."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % (len(payload) if size is None else size)
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{ID}{'none' if page_id is None else page_id}>", f"WARC-Date: {date}"]
     if url is not None:
@@ -139,22 +139,34 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
     A text payload is written in UTF-8; null is an empty one. Of rows with equal payloads of ``least``
     bytes or more, that with the largest id is a response and the others revisit it; rows that share
-    that id are all responses, and so are rows without any id to refer to. A null url leaves the header
-    out. No rows: no record.
+    that id are all responses, and so are rows without any id to refer to; a row with a null id can revisit
+    others. Repeated rows are a record each. A null url leaves the header out. Long payloads are whole. Extra columns
+    are ignored. No rows: no record.
     """
-    base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary")).alias("payload"))
+    spark = pages.sparkSession
+    base = picked(pages, id=id_col, url=url_col, payload=payload_col)
+    base = base.select("id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("payload").cast("binary"), F.lit("").cast("binary")).alias("payload"))
     base = base.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.length("payload"))
-    sums = base.agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
-    total = sums["bytes"] or 0
-    seen = hashed_sample(base.select("id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("part"), "digest"), SAMPLE_RECORDS, ["id", "digest"], sums["rows"])
-    dictionary = dictionary_of([record(r["id"], r["url"], bytes(r["part"]), r["digest"]) for r in seen])
-
-    first = base.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1 and top is not null")
-    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select("digest", "salt", "top")
-    files = max(1, -(-total // file_bytes))
-    dealt = base.withColumn("salt", F.pmod(F.xxhash64("id", "url", F.lit(1)), F.lit(SALTS)).cast("int"))
-    dealt = dealt.repartition(max(files, pages.sparkSession.sparkContext.defaultParallelism), "digest", "salt")
-    joined = dealt.join(first, ["digest", "salt"], "left").select("id", "url", "payload", "digest", F.when((F.col("bytes") >= least) & ~F.col("id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
+    known = written(base.select("id", "digest", "bytes"), "digests")  # so that no later step but the writer reads payloads whole
+    sums = known.agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    seen = hashed_sample(base.select("id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("part"), "bytes"), SAMPLE_RECORDS, ["id", "url", "bytes"], sums["rows"])
+    dictionary = dictionary_of([record(r["id"], r["url"], bytes(r["part"]), hashlib.sha1(r["part"]).hexdigest()) for r in seen])
+
+    # Equal payloads: the largest id of each. The few that many rows share are known to every task, so that their copies need
+    # not meet and drop the payload before the shuffle; the others' rows meet by digest.
+    first = known.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1 and top is not null")
+    first = written(first, "first")
+    often = F.col("n") > max(1, sums["rows"] // HOT)
+    hot = first.where(often).select(F.col("digest").alias("hot_digest"), F.col("top").alias("hot_top"))  # under HOT rows
+    rare = first.where(~often).select(F.col("digest").alias("key"), "top")
+    files = max(1, -(-(sums["bytes"] or 0) // file_bytes))
+    dealt = base.join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left")
+    dealt = dealt.withColumn("key", F.when(F.col("hot_digest").isNull(), F.col("digest")).otherwise(F.concat(F.lit("#"), F.xxhash64("id", "url").cast("string"))))
+    dealt = dealt.select("id", "url", "digest", "bytes", "hot_top", "key", F.when(F.col("hot_top").isNull() | F.col("id").eqNullSafe(F.col("hot_top")), F.col("payload")).alias("payload"))
+    dealt = dealt.repartition(max(files, spark.sparkContext.defaultParallelism), "key")
+    joined = dealt.join(rare.hint("shuffle_hash"), "key", "left").withColumn("top", F.coalesce("hot_top", "top"))
+    revisit = F.col("top").isNotNull() & ~F.col("id").eqNullSafe(F.col("top"))
+    joined = joined.select("id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", F.col("bytes").cast("bigint").alias("bytes"), F.when(revisit, F.col("top")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, head = None, []
@@ -168,8 +180,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
                     head = [struct.pack("<II", DICT_MAGIC, len(dictionary)) + dictionary]
                 packer = zstandard.ZstdCompressor(level=level, dict_data=known, write_checksum=True)
             out, head = head, []
-            for page_id, url, payload, digest, refers_to in zip(*(b.column(k) for k in range(5)), strict=True):
-                raw = record(page_id.as_py(), url.as_py(), payload.as_py(), digest.as_py(), refers_to.as_py())
+            for page_id, url, payload, digest, size, refers_to in zip(*(b.column(k) for k in range(6)), strict=True):
+                raw = record(page_id.as_py(), url.as_py(), payload.as_py(), digest.as_py(), refers_to.as_py(), size=size.as_py())
                 out.append(packer.compress(raw))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
@@ -192,7 +204,8 @@ def _rename(spark: SparkSession, path: str) -> None:
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """All records under ``path``: (page_id string, url, record_type, payload_digest, payload_bytes, refers_to string[, payload]).
 
-    A response whose payload doesn't match its digest or length raises an error.
+    A response whose payload doesn't match its digest or length raises an error. An id that was null is null, an empty
+    payload is empty. Repeated records stay. Without archives there are no rows.
     """
     names = ["page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to"] + ["payload"] * payloads
     kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
@@ -219,7 +232,10 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write the archives and read them back: (page_id long, payload_bytes, payload_digest, record_type, refers_to long)."""
+    """Write the archives and read them back: (page_id long, payload_bytes, payload_digest, record_type, refers_to long).
+
+    What holds for nulls, ties, repeated rows, no rows and extra columns is said at ``write`` and ``read``.
+    """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write(pages, path, **options)

@@ -5,14 +5,15 @@ Over these frames an integral image gives the sum of any rectangle of time and p
 Sixteen filters compare neighbouring rectangles; each answer is quantised to two bits in Gray code, and
 the 32 bits are one packed integer for each step of time.
 
-Recordings with equal fingerprints are one class. Two classes are aligned if, at one offset, at least
-``LEAST_VOTES`` places have a landmark, half of the bits of two packed integers, in common; the offset with most votes is theirs, and the share of
-differing bits over the overlap is their bit error.
+Recordings with equal fingerprints are one class. A query and a class are aligned if, at one offset, at least
+``LEAST_VOTES`` places have a landmark, half of the bits of two packed integers, in common, and the share of differing
+bits over the overlap, their bit error, is small enough; the offset is that with most votes.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +21,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import written
+from .support import picked, written
 
 RATE = 4000
 FRAME, HOP = 1024, 128
 #: Frames that one packed integer looks at.
 SPAN = 32
 LOW_HZ, HIGH_HZ = 80.0, 1900.0
-#: Filters as (kind, first pitch class, pitch classes, frames); the rules below name the kinds.
-FILTERS = tuple((kind, pitch, height, width) for kind, pitch, height, width in zip((0, 1, 2, 3) * 4, (0, 2, 4, 6, 1, 3, 5, 7, 0, 3, 6, 0, 2, 4, 0, 0), (4, 4, 4, 4, 6, 6, 6, 4, 8, 8, 6, 12, 8, 8, 12, 12), (32, 24, 16, 12, 24, 32, 12, 16, 16, 8, 24, 32, 32, 8, 24, 32), strict=True))
+#: Filters as (kind, first pitch class, pitch classes, frames); the rules in ``pack`` name the kinds.
+FILTERS = (
+    (0, 0, 4, 32),
+    (1, 2, 4, 24),
+    (2, 4, 4, 16),
+    (3, 6, 4, 12),
+    (0, 1, 6, 24),
+    (1, 3, 6, 32),
+    (2, 5, 6, 12),
+    (3, 7, 4, 16),
+    (0, 0, 8, 16),
+    (1, 3, 8, 8),
+    (2, 6, 6, 24),
+    (3, 0, 12, 32),
+    (0, 2, 8, 32),
+    (1, 4, 8, 8),
+    (2, 0, 12, 24),
+    (3, 0, 12, 32),
+)
 #: Thresholds that cut a filter's answer, a log ratio, into four ranges.
 LEVELS = (-0.3, 0.0, 0.3)
 #: Steps between the two packed integers that vote together.
@@ -38,6 +56,8 @@ WINNOW = 4
 LEAST_VOTES = 2
 MAX_BIT_ERROR = 0.25
 SALTS = 16
+#: Deviation of an excerpt's noise, full scale being 1.
+NOISE = 0.02
 #: Queries, and classes, that meet in a task.
 BLOCK = 8192
 
@@ -129,7 +149,10 @@ def pack(frames: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(media: DataFrame, id_col: str = "id", audio_col: str = "audio") -> DataFrame:
-    """(id_col, prints array<bigint>) for each row; empty for null, undecodable and too short audio. Repeated rows stay."""
+    """(id_col, prints array<bigint>) for each row; empty for null, undecodable and too short audio.
+
+    Long recordings count whole, null ids and repeated rows stay, extra columns are ignored. No rows: no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -138,8 +161,8 @@ def fingerprints(media: DataFrame, id_col: str = "id", audio_col: str = "audio")
                 rows = [pack(chroma(*decode_wav(a.as_py()))).astype(np.int64) for a in b.column(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["id", "prints"])
 
-    base = media.select(F.col(id_col).alias("id"), F.col(audio_col).cast("binary").alias("audio"))
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, prints array<bigint>").withColumnRenamed("id", id_col)
+    base = picked(media, id=id_col, audio=audio_col).withColumn("audio", F.col("audio").cast("binary"))
+    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, prints array<bigint>").toDF(id_col, "prints")
 
 
 def landmarks(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,45 +213,76 @@ def bit_error(a: list[int], b: list[int], offset: int) -> tuple[int, int]:
     return int(np.bitwise_count(x).sum()), 32 * (hi - lo)
 
 
+def classes(prints: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id_col, class_id) for each row of ``prints(id_col, prints)``: the least id with the same fingerprint.
+
+    Empty fingerprints are one class. Null ids stay and count in no minimum, so a class of null ids only has class_id
+    null. Repeated rows stay, extra columns are ignored. No rows: no rows.
+    """
+    named = picked(prints, id=id_col, prints="prints").withColumn("key", F.xxhash64("prints"))
+    reps = named.groupBy("key", "prints").agg(F.min("id").alias("class_id")).withColumnRenamed("prints", "same")
+    found = named.join(reps, "key").where(F.col("prints") == F.col("same"))
+    return found.select("id", "class_id").toDF(id_col, "class_id")
+
+
 def align(prints: DataFrame, queries: DataFrame, id_col: str = "id", least_votes: int = LEAST_VOTES, most_error: float = MAX_BIT_ERROR) -> DataFrame:
-    """Classes of equal fingerprints, and the alignments of those that hold a query with all others.
+    """(query_class, match_class, offset, votes, bit_error): the alignments of all queries with all other classes.
 
-    ``prints`` and ``queries``: (id_col, prints). Returns (id_col, class_id, match_class, offset, votes,
-    bit_error): one row with match_class null for each row of ``prints``, and one row, id_col being
-    the class's own id, for each alignment of a query's class with another class. class_id is the least
-    id with the same fingerprint. Empty fingerprints are one class without alignments; zeros, that is
-    silence, don't vote. Null ids take part as any other and count in no minimum. No rows: no rows.
+    ``prints`` and ``queries``: (id_col, prints). Both go by their classes as ``classes`` gives them, a query's among
+    the queries; a class with the query's very fingerprint is no match. Step i of the query stands on step i - offset
+    of the match. Of offsets with as many votes the one nearest to zero counts. Empty fingerprints align with nothing;
+    zeros, that is silence, don't vote. Classes of null ids only are left out. Repeated rows are one class, extra
+    columns are ignored. Long recordings count whole. No rows: no rows.
     """
-    named = prints.select(F.col(id_col).alias("id"), "prints")
-    named = written(named.withColumn("key", F.xxhash64("prints")), "prints")
-    reps = written(named.groupBy("key", "prints").agg(F.min("id").alias("class_id")), "classes")
-    asked = queries.select(F.col("prints").alias("q")).withColumn("key", F.xxhash64("q")).groupBy("key", "q").agg(F.count("*").alias("n"))
-    own = written(reps.join(asked.select("key", F.col("q").alias("prints")), ["key", "prints"], "left_semi"), "queries")
 
-    kind = named.schema["id"].dataType.simpleString()
+    def distinct(table: DataFrame, name: str) -> DataFrame:
+        own = picked(table, id=id_col, prints="prints").where("id is not null and size(prints) > 0")
+        return written(own.withColumn("key", F.xxhash64("prints")).groupBy("key", "prints").agg(F.min("id").alias("class_id")), name)
+
+    reps, own = distinct(prints, "classes"), distinct(queries, "queries")
+    kind = reps.schema["class_id"].dataType.simpleString()
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         q, m = ([np.array(p, np.uint64) for p in t.column("prints").to_pylist()] for t in (left, right))
-        q_id, m_id = left.column("class_id").to_pylist(), right.column("class_id").to_pylist()
-        found = [f for f in matched(q, m, least_votes, most_error) if q_id[f[0]] != m_id[f[1]]]
+        found = [f for f in matched(q, m, least_votes, most_error) if not np.array_equal(q[f[0]], m[f[1]])]
         at = lambda k: pa.array([f[k] for f in found], pa.int64())
         cols = [left.column("class_id").take(at(0)), right.column("class_id").take(at(1)), at(2).cast(pa.int32()), at(3), pa.array([f[4] for f in found], pa.float64())]
-        return pa.table(dict(zip(("id", "match_class", "offset", "votes", "bit_error"), cols, strict=True)))
+        return pa.table(dict(zip(("query_class", "match_class", "offset", "votes", "bit_error"), cols, strict=True)))
 
     # Votes are counted where they arise and never leave a task: blocks of queries meet parts of the classes.
     blocks, parts = own.count() // BLOCK + 1, SALTS * (reps.count() // (SALTS * BLOCK) + 1)
     left = own.select("class_id", "prints", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     right = reps.select("class_id", "prints", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("key", F.lit(2)), F.lit(parts)).alias("part"))
-    own_names = ["class_id", "prints", "block", "part"]
-    left, right = (x.select(*(F.col(c).alias(f"{side}_{c}") for c in own_names)).toDF(*own_names) for x, side in ((left, "q"), (right, "m")))
-    aligned = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, f"id {kind}, match_class {kind}, offset int, votes bigint, bit_error double").where("id is not null and match_class is not null")
-    rows = named.join(reps.select("key", F.col("prints").alias("same"), "class_id"), "key").where(F.col("prints") == F.col("same"))
-    members = rows.select("id", "class_id", F.lit(None).cast(kind).alias("match_class"), F.lit(None).cast("int").alias("offset"), F.lit(None).cast("bigint").alias("votes"), F.lit(None).cast("double").alias("bit_error"))
-    return members.union(aligned.select("id", F.col("id").alias("class_id"), "match_class", "offset", "votes", "bit_error")).withColumnRenamed("id", id_col)
+    names = ["class_id", "prints", "block", "part"]
+    left, right = (x.select(*(F.col(c).alias(f"{side}_{c}") for c in names)).toDF(*names) for x, side in ((left, "q"), (right, "m")))
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, f"query_class {kind}, match_class {kind}, offset int, votes bigint, bit_error double")
+
+
+def excerpts(media: DataFrame, id_col: str = "id", audio_col: str = "audio") -> DataFrame:
+    """(id_col, audio): each recording as another microphone may hear a part of it: from a quarter on, between the steps
+    of the original's frames, with quiet noise, the same for equal audio. Null and undecodable audio is null. Repeated rows stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                b = whole.slice(k, 256)
+                out = []
+                for a in b.column(1):
+                    x, rate = decode_wav(a.as_py())
+                    part = x[len(x) // 4 + HOP // 2 :]
+                    rng = np.random.default_rng(zlib.crc32(a.as_py() or b""))
+                    out.append(encode_wav(part + rng.normal(0, NOISE, len(part)), rate) if len(x) else None)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["id", "audio"])
+
+    base = picked(media, id=id_col, audio=audio_col).withColumn("audio", F.col("audio").cast("binary"))
+    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, audio binary").toDF(id_col, "audio")
 
 
 def record(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """A media table for tables without one: (id_col, audio), each vector played as a melody."""
+    """A media table for tables without one: (id_col, audio), each vector played as a melody.
+
+    A null vector has null audio; null and non-finite components play as zero. Repeated rows and null ids stay.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -236,5 +290,5 @@ def record(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                 b = whole.slice(k, 256)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([melody(v.as_py()) for v in b.column(1)], pa.binary())], names=["id", "audio"])
 
-    base = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, audio binary").withColumnRenamed("id", id_col)
+    base = picked(vectors, id=id_col, v=vector_col).withColumn("v", F.col("v").cast("array<double>"))
+    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, audio binary").toDF(id_col, "audio")

@@ -28,10 +28,22 @@ def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chroma_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector of ``embeddings`` played as a recording; those whose id is divisible by 20 are the queries."""
+    """Every vector of ``embeddings`` played as a recording, and an excerpt of those whose id is divisible by 20 as queries.
+
+    A row for each vector: its class, the number of queries that align with the class, and for a query the number of
+    classes that it aligns with and the one with the least bit error.
+    """
     tune(spark)
-    prints = written(chroma.fingerprints(chroma.record(load(spark, sf_dir, "embeddings")), "vec_id"), "fingerprints")
-    return chroma.align(prints, prints.where("vec_id % 20 = 0"), "vec_id")
+    vectors = load(spark, sf_dir, "embeddings")
+    prints = written(chroma.fingerprints(chroma.record(vectors), "vec_id"), "fingerprints")
+    heard = written(chroma.fingerprints(chroma.excerpts(chroma.record(vectors.where("vec_id % 20 = 0")), "vec_id"), "vec_id"), "excerpts")
+    found = written(chroma.align(prints, heard, "vec_id"), "alignments")
+    links = found.groupBy(F.col("match_class").alias("class_id")).agg(F.count("*").alias("links"))
+    best = F.min(F.struct("bit_error", "match_class", "offset", "votes")).alias("best")
+    asked = chroma.classes(heard, "vec_id").distinct().withColumnRenamed("class_id", "query_class")
+    asked = asked.join(found.groupBy("query_class").agg(F.count("*").alias("matches"), best), "query_class", "left").select("vec_id", F.coalesce("matches", F.lit(0)).alias("matches"), "best")
+    rows = chroma.classes(prints, "vec_id").join(links, "class_id", "left").join(asked, "vec_id", "left")
+    return rows.select("vec_id", "class_id", F.coalesce("links", F.lit(0)).alias("links"), "matches", "best.match_class", "best.offset", "best.votes", "best.bit_error")
 
 
 def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,6 @@ def test_noisy_shifted_copies_are_aligned(spark):
         x, rate = chroma.decode_wav(chroma.melody(rng.uniform(-0.6, 0.6, 64)))
         rows += [(i, chroma.encode_wav(x)), (100 + i, chroma.encode_wav(x[chroma.HOP // 2 + 7 * chroma.HOP :] + rng.normal(0, 0.05, len(x) - chroma.HOP // 2 - 7 * chroma.HOP)))]
     prints = chroma.fingerprints(spark.createDataFrame(rows, "id bigint, audio binary"))
-    got = chroma.align(prints, prints.where("id < 100")).where("match_class is not null").collect()
-    best = {r["id"]: r for r in got if r["match_class"] == r["id"] + 100}
+    got = chroma.align(prints, prints.where("id < 100")).collect()
+    best = {r["query_class"]: r for r in got if r["match_class"] == r["query_class"] + 100}
     assert len(best) == 20 and all(r["offset"] in (7, 8) for r in best.values())

@@ -1,10 +1,11 @@
 """Secret scans whose false positives a random forest removes.
 
 Candidates come from patterns: values assigned to credential-like names, tokens with a known prefix,
-key blocks, and long mixed tokens anywhere, each to the end of its run of characters, however long. Each is described by its length, the mean log-probability
-of its character transitions under a model of words and one of random keys, its share covered by
-dictionary words, its classes of characters, its path, and the words before it. A forest of shallow
-trees, grown in numpy on labelled findings, gives the share of trees that call it a secret.
+key blocks, and any run of 16 letters, digits and joining signs or more, each to the end of its run of characters,
+however long. Each is described by its length, the mean log-probability of its character transitions under a model of
+words and one of random keys, its share covered by dictionary words, its classes of characters, its path, and the words
+before it. A forest of shallow trees, grown in numpy on labelled findings, gives the share of trees that call it a
+secret. The rest, long words, numbers, paths and placeholders, are the false positives that it removes.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import hashed_sample
-
+from .support import hashed_sample, place, plain
 
 TREES, DEPTH = 40, 8
 #: Bound of the labelled findings that the forest is grown on.
@@ -52,10 +52,11 @@ PATH_AGAINST = ("test", "example", "sample", "doc", "mock", "fixture", "spec", "
 PATH_FOR = ("config", ".env", "secret", "deploy", "settings", "credential", "prod")
 
 _VALUE = r"""["'`]?([^\s"'`,;<>|)]{6,})"""
-_ASSIGNED = re.compile(r"(?i)(?<![^\W_])[\w.\-]{0,40}?(?:" + "|".join(map(re.escape, NAMES)) + r")[\w.\-]{0,40}[\"'\]]{0,2}\s{0,4}(?::=|=>|==?|:)\s{0,4}" + _VALUE)
+_ASSIGNED = re.compile(r"[\w.\-]*[\"'\]]{0,2}\s{0,4}(?::=|=>|==?|:)\s{0,4}" + _VALUE)
+_RUN = re.compile(r"[\w.\-]*")
 _PREFIXED = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"{re.escape(p)}[A-Za-z0-9_\\-]{{{n},}}" for p, n in PREFIXES.items()) + ")")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,}+-----END [A-Z ]{0,30}PRIVATE KEY-----")
-_MIXED = re.compile(r"[A-Za-z0-9+/_=\-]{24,}")
+_MIXED = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
 _WORD = re.compile(r"[^\W_]+")
 _NAMED = re.compile("|".join(map(re.escape, NAMES)), re.I)
 
@@ -67,26 +68,23 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "block") for m in _BLOCK.finditer(text)]
     found += [(*m.span(), "prefix") for m in _PREFIXED.finditer(text)] if any(p in text for p in PREFIXES) else []
     at = 0
-    while m := _NAMED.search(text, at):  # from each name's word start, so that the long pattern only runs there
-        begin = m.start()
-        while begin > at and (text[begin - 1].isalnum() or text[begin - 1] in "_-.") and m.start() - begin < 40:
-            begin -= 1
-        hit = _ASSIGNED.match(text, begin)
+    while m := _NAMED.search(text, at):  # what follows a name, to the end of its run of characters if nothing is assigned
+        hit = _ASSIGNED.match(text, m.end())
         if hit:
             found.append((*hit.span(1), "assigned"))
-        at = hit.end() if hit else m.end()
-    for m in _MIXED.finditer(text):
-        s = m.group()
-        if sum(c.isdigit() for c in s) >= 3 and sum(c.isalpha() for c in s) >= 3:
-            found.append((*m.span(), "mixed"))
-    out: list[tuple[int, int, str]] = []
+        at = (hit or _RUN.match(text, m.end())).end()
+    found += [(*m.span(), "mixed") for m in _MIXED.finditer(text)]
+    kept: list[tuple[int, int, str]] = []
     rank = {"block": 0, "prefix": 1, "assigned": 2, "mixed": 3}
-    taken: list[tuple[int, int]] = []
-    for s, e, kind in sorted(found, key=lambda x: (rank[x[2]], x[0])):
-        if not any(s < b and a < e for a, b in taken):
-            taken.append((s, e))
-            out.append((s, e, kind))
-    return sorted(out)
+    for kind in rank:  # a kind's own candidates don't overlap, so one sweep beside those kept settles it
+        own, k = [], 0
+        for s, e in sorted((s, e) for s, e, x in found if x == kind):
+            while k < len(kept) and kept[k][1] <= s:
+                k += 1
+            if (k == len(kept) or kept[k][0] >= e) and (not own or own[-1][1] <= s):
+                own.append((s, e, kind))
+        kept = sorted(kept + own)
+    return kept
 
 
 _CLASS = {c: 0 for c in "abcdefghijklmnopqrstuvwxyz"} | {c: 1 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: 2 for c in "0123456789"} | {c: 3 for c in "_-./+="}
@@ -142,6 +140,17 @@ class Forest:
         return self.value[tree, at].mean(axis=1)
 
 
+def words_before(text: str, end: int, count: int = 6) -> str:
+    """The last ``count`` words before ``end``, whole however long, joined by spaces."""
+    size = 128
+    while True:
+        start = max(0, end - size)
+        words = _WORD.findall(text, start, end)
+        if not start or len(words) > count:  # the first one may be cut
+            return " ".join(words[-count:])
+        size *= 4
+
+
 def describe(value: str, path: str | None, before: str, kind: str, words: np.ndarray, keys: np.ndarray) -> list[float]:
     s = _symbols(value)
     pairs = list(zip(s, s[1:], strict=False))
@@ -217,11 +226,16 @@ def grow(findings: list[tuple[str, str | None, str, str, int]], seed: int = 4) -
     return Forest(f, t, lft, rgt, val, words, keys)
 
 
-def labelled_findings(n: int = 4000, seed: int = 4) -> list[tuple[str, str | None, str, str, int]]:
+# Syllables of invented words.
+SYLLABLES = ("the", "er", "ing", "tion", "an", "re", "st", "en", "ou", "ly", "sch", "ung", "ado", "mente", "eau", "que", "heit", "keit", "lich", "ge", "ver", "ble", "ment", "ness", "and", "on", "os", "as", "ie", "ch", "ein", "der", "ique", "elle", "aux", "able", "is", "ha", "nd", "wh", "ed", "or", "zu", "ber", "au", "al", "ra", "to", "ne")
+
+
+def labelled_findings(n: int = 6000, seed: int = 4) -> list[tuple[str, str | None, str, str, int]]:
     """Invented findings with their labels, for use where a team has no labelled ones of its own.
 
     Secrets are random keys in the usual alphabets and lengths. The rest are what patterns trip over:
-    placeholders, identifiers, words run together, hashes and ids that are named as such, repeated signs.
+    placeholders, identifiers, words run together, hashes and ids that are named as such, repeated signs, long words of
+    several languages, numbers of cards and accounts, dates, paths and addresses.
     """
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
@@ -252,7 +266,7 @@ def labelled_findings(n: int = 4000, seed: int = 4) -> list[tuple[str, str | Non
                 path = "src/main.py"
             out.append((value, path, before, kind, 1))
             continue
-        case = int(rng.integers(8))
+        case = int(rng.integers(12))
         before, kind = f"{filler()} {pick(('token', 'password', 'secret', 'api_key', 'auth', 'TOKEN'))} = ", "assigned"
         if case == 0:
             value = pick(("your_api_key_here", "changeme", "<token>", "YOUR_TOKEN_HERE", "xxxxxxxxxxxxxxxx", "********", "example_secret_value", "replace_with_password", "undefined", "placeholder", "REDACTED_TOKEN"))
@@ -269,7 +283,17 @@ def labelled_findings(n: int = 4000, seed: int = 4) -> list[tuple[str, str | Non
         elif case == 5:
             value = pick((lower, upper, digits, "x*#0"))[int(rng.integers(4))] * int(rng.integers(8, 40))
         elif case == 6:
-            value = "".join(pick(("the", "er", "ing", "tion", "an", "re", "st", "en", "ou", "ly", "sch", "ung", "ado", "mente", "eau", "que")) for _ in range(int(rng.integers(3, 9)))) + pick((".", ",", "", "", ""))
+            value = "".join(pick(SYLLABLES) for _ in range(int(rng.integers(3, 9)))) + pick((".", ",", "", "", ""))
+        elif case in (7, 8):  # long words, compounds and inflections, of natural languages
+            kind, before = "mixed", filler()
+            value = pick(("", "", "", "-")).join("".join(pick(SYLLABLES) for _ in range(int(rng.integers(2, 6)))) for _ in range(int(rng.integers(2, 4))))
+            value = pick((value, value, value.upper(), value.capitalize()))
+        elif case == 9:  # numbers of cards, accounts and parcels, dates with times
+            kind, before = "mixed", filler()
+            value = pick((random(digits, int(rng.integers(16, 24))), "-".join(random(digits, 4) for _ in range(4)), f"20{random(digits, 2)}-0{random(digits[1:], 1)}-1{random(digits, 1)}-{random(digits, 6)}"))
+        elif case == 10:  # paths and routes
+            kind, before = "mixed", filler()
+            value = "/".join(pick((pick(words), "".join(pick(SYLLABLES) for _ in range(2)), random(digits, 2))) for _ in range(int(rng.integers(4, 8))))
         else:
             kind, before = "mixed", filler()
             value = "_".join(pick(words) for _ in range(int(rng.integers(3, 7)))) + f"_{int(rng.integers(1000, 10**6))}"
@@ -293,17 +317,31 @@ def judge(texts: list[str | None], paths: list[str | None], forest: Forest) -> l
     for text, path in zip(texts, paths, strict=True):
         own = candidates(text) if text else []
         found.append(own)
-        x += [describe(text[s:e], path, text[max(0, s - 80) : s], k, forest.words, forest.keys) for s, e, k in own]
+        x += [describe(text[s:e], path, words_before(text, s), k, forest.words, forest.keys) for s, e, k in own]
     p = iter(forest.probability(np.array(x)).tolist() if x else ())
     return [[(s, e, k, next(p)) for s, e, k in own] for own in found]
 
 
+def masked(text: str | None, spans: list[tuple[int, int]], mask: str = MASK) -> str | None:
+    """``text`` with the spans, in order and without overlaps, replaced by ``mask``."""
+    if not spans:
+        return text
+    out, at = [], 0
+    for s, e in spans:
+        out += (text[at:s], mask)
+        at = e
+    return "".join([*out, text[at:]])
+
+
 def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each candidate: (id_col, start, end, kind, value_sha1, score, is_secret), places in characters.
 
-    Null and empty texts have none; a null path speaks neither way. Repeated rows give repeated findings.
+    Null and empty texts have none; a null path speaks neither way. Long texts and values are read whole. Of overlapping
+    candidates the surer kind stays, of equal kinds the first. Repeated rows give repeated findings, null ids stay, extra
+    columns are ignored. No rows: no findings.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.col(path_col) if path_col else F.lit(None)).cast("string").alias("path"))
+    own = plain(docs)
+    base = own.select(F.col(place(docs, id_col)).alias("id"), F.col(place(docs, text_col)).alias("text"), (F.col(place(docs, path_col)) if path_col else F.lit(None)).cast("string").alias("path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -320,25 +358,28 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *cols], names=["id", "start", "end", "kind", "value", "score", "is_secret"])
 
     schema = f"id {base.schema['id'].dataType.simpleString()}, start bigint, end bigint, kind string, value string, score double, is_secret boolean"
-    return base.mapInArrow(run, schema).select(F.col("id").alias(id_col), "start", "end", "kind", F.sha1("value").alias("value_sha1"), "score", "is_secret")
+    found = base.mapInArrow(run, schema).withColumn("value", F.sha1("value"))
+    return found.toDF(id_col, "start", "end", "kind", "value_sha1", "score", "is_secret")
 
 
 def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD, mask: str = MASK) -> DataFrame:
-    """``docs`` with every accepted finding of the text replaced by ``mask``; other rows and columns stay as they are."""
+    """``docs`` with every accepted finding of the text replaced by ``mask``; other rows and columns stay as they are.
+
+    Null and empty texts stay so, long ones are masked whole, repeated rows and null ids stay, columns may be called
+    anything. No rows: no rows.
+    """
     columns = docs.columns
-    place = columns.index(text_col)
-    base = docs.select(*columns, (F.col(path_col) if path_col else F.lit(None)).cast("string").alias("__path")).toDF(*[f"c{i}" for i in range(len(columns))], "path")
+    at = int(place(docs, text_col)[1:])
+    base = plain(docs).withColumn("path", (F.col(place(docs, path_col)) if path_col else F.lit(None)).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(place).to_pylist()
+            texts = b.column(at).to_pylist()
             for i, own in enumerate(judge(texts, b.column(len(columns)).to_pylist(), forest)):
-                for s, e, _, p in reversed(own):
-                    if p >= threshold:
-                        texts[i] = texts[i][:s] + mask + texts[i][e:]
+                texts[i] = masked(texts[i], [(s, e) for s, e, _, p in own if p >= threshold], mask)
             cols = list(b.columns[:-1])
-            cols[place] = pa.array(texts, b.schema.field(place).type)
+            cols[at] = pa.array(texts, b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 
-    schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
     return base.mapInArrow(run, schema).toDF(*columns)

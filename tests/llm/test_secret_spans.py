@@ -1,6 +1,8 @@
 """Secrets of any length are found, hashed and masked whole."""
 
 import hashlib
+import re
+import time
 
 import numpy as np
 import pytest
@@ -45,3 +47,61 @@ def test_long_secrets_are_masked_whole(spark):
 def test_a_long_run_takes_linear_time():
     text = "-----BEGIN PRIVATE KEY-----" + "a1b2" * 250_000 + " password = " + "x" * 500_000
     assert [k for _, _, k in secret_scan.candidates(text)] == ["mixed", "assigned"]
+
+
+def test_candidates_against_a_plain_version():
+    """Kinds in their order, each found by scanning from every place, overlaps settled pair by pair."""
+    rng = np.random.default_rng(0)
+    parts = ["token", "my_secret", "=", ":", " = ", '"', " ", "\n", "ghp_" + random(ALL, 36), random(HEX, 40), random(HEX, 12), "word", "a_b-c", "sk_live_" + random(ALL, 24), "plainlongwordwithoutdigits", "x.y", "é"]
+    for _ in range(300):
+        text = "".join(rng.choice(parts, int(rng.integers(1, 25))))
+        runs = [(s, e) for s in range(len(text)) for e in [next((j for j in range(s, len(text)) if not re.match(r"[A-Za-z0-9+/_=\-]", text[j])), len(text))] if (s == 0 or not re.match(r"[A-Za-z0-9+/_=\-]", text[s - 1])) and e - s >= 16]
+        got = secret_scan.candidates(text)
+        assert got == sorted(got) and all(a[1] <= b[0] for a, b in zip(got, got[1:], strict=False))
+        strong = [(s, e) for s, e, k in got if k != "mixed"]
+        for s, e, k in got:
+            assert k != "mixed" or (s, e) in runs
+        for s, e in runs:  # every run is a candidate or overlaps a surer one
+            assert (s, e, "mixed") in got or any(s < b and a < e for a, b in strong)
+        for p, least in secret_scan.PREFIXES.items():
+            for m in re.finditer(r"(?<![A-Za-z0-9])" + re.escape(p) + r"[A-Za-z0-9_\-]{%d,}" % least, text):
+                assert (*m.span(), "prefix") in got
+
+
+def test_features_against_plain_ones():
+    forest = secret_scan.fit()
+    text = "one two " + "long" * 200 + " three four five six " + "key = "
+    assert secret_scan.words_before(text, len(text)) == "long" * 200 + " three four five six key"
+    assert secret_scan.words_before("ab cd", 2) == "ab" and secret_scan.words_before("", 0) == ""
+    value = "Ab12__zz"
+    x = dict(zip(secret_scan.FEATURES, secret_scan.describe(value, "src/test.py", "my token is", "assigned", forest.words, forest.keys), strict=True))
+    assert (x["digits"], x["upper"], x["signs"], x["distinct"]) == (2 / 8, 1 / 8, 2 / 8, 6 / 8)
+    assert (x["path_for"], x["path_against"], x["near_for"], x["near_against"], x["assigned"], x["prefix"]) == (0, 1, 1, 0, 1, 0)
+    assert secret_scan.coverage("token_xq1") == 5 / 8 and secret_scan.coverage("") == 0
+    leaves = [forest.value[k, _leaf(forest, k, list(x.values()))] for k in range(len(forest.feature))]
+    assert forest.probability(np.array([list(x.values())]))[0] == pytest.approx(np.mean(leaves))
+
+
+def _leaf(forest, tree, x):
+    node = 0
+    while forest.feature[tree, node] >= 0:
+        node = forest.left[tree, node] if x[forest.feature[tree, node]] <= forest.threshold[tree, node] else forest.right[tree, node]
+    return node
+
+
+def test_forest_rejects_long_words_and_numbers():
+    forest = secret_scan.fit()
+    texts = ["die Donaudampfschifffahrtsgesellschaft und Geschwindigkeitsbegrenzung", "card 4845168114407329 was used", "see src/main/java/org/example/service", "incomprehensibilities uncharacteristically", "at 2024-05-17-103245 today", "INCOMPREHENSIBILITIES!! UNCHARACTERISTICALLY!!"]
+    found = secret_scan.judge(texts, [None] * len(texts), forest)
+    assert sum(map(len, found)) >= 6 and not any(p >= secret_scan.THRESHOLD for own in found for *_, p in own)
+    keys = [f'api_key = "{random(ALL, n)}"' for n in (16, 24, 32, 64, 500, 5000)] + [f"Authorization: Bearer {random(HEX, 40)}"]
+    assert all(any(p >= secret_scan.THRESHOLD for *_, p in own) for own in secret_scan.judge(keys, [None] * len(keys), forest))
+
+
+def test_a_megabyte_of_tokens_is_quick(spark):
+    text = " ".join(random(HEX, 20 + k % 30) for k in range(30_000))
+    began = time.time()
+    found = secret_scan.candidates(text)
+    assert len(found) == 30_000 and time.time() - began < 2
+    began = time.time()
+    assert secret_scan.masked(text, [(s, e) for s, e, _ in found]).count("[SECRET]") == 30_000 and time.time() - began < 1

@@ -19,26 +19,13 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .license_texts import TEMPLATES
+from .support import picked
 
 #: Phrases whose places are counted, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-_OR_LATER = "<<optional>> or <<optional>> at your option <<end>> any later version <<end>>"
-#: Label to templates; a label is found where one of its templates is accepted.
-TEMPLATES = {
-    "apache-2.0": ("<<optional>> this work is <<end>> licensed under the apache license <<optional>> version <<end>> 2 <<optional>> 0 <<end>>",),
-    "mit": (
-        "<<any:licensed|released|distributed|available:1-1>> under the <<optional>> terms of the <<end>> mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
-    ),
-    "bsd": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
-    "cc-by-nc": ("<<any:licensed|released|shared:1-1>> under <<optional>> a <<end>> <<optional>> creative commons <<end>> cc by nc <<optional>> sa <<end>> <<optional>> nd <<end>> <<any:[0-9]+:1-2>>",),
-    "gpl-3.0": (f"<<optional>> this work is <<end>> licensed under the gnu general public license <<optional>> version <<end>> 3 <<optional>> 0 <<end>> {_OR_LATER}",),
-    "gpl-2.0": (f"<<optional>> this work is <<end>> licensed under the gnu general public license <<optional>> version <<end>> 2 <<optional>> 0 <<end>> {_OR_LATER}",),
-    "copyright": ("copyright <<optional>> c <<end>> <<any:(?:19|20)[0-9][0-9]:1-3>> <<any:[^ ]+:1-12>> all rights reserved",),
-}
-
 _NOT_WORD = bytes(32 if b <= 0x2F or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -65,7 +52,10 @@ class Automaton:
 
 
 def compile_template(template: str) -> Automaton:
-    """Parse the markup; raises ValueError where it doesn't nest, or if nothing is mandatory."""
+    """Parse the markup; raises ValueError where it doesn't nest, or if nothing is mandatory.
+
+    Wording is cut into words as texts are, so its punctuation doesn't count.
+    """
     steps: list[tuple[int, bytes | re.Pattern | None, int]] = []
     state, open_at = 0, []
     low = high = 0  # words since the start
@@ -80,7 +70,7 @@ def compile_template(template: str) -> Automaton:
             best = (len(run), b" ".join(run), run_at)
         run = []
 
-    for token in re.findall(r"<<[^>]*>>|[^\s<]+", template):
+    for token in (t for piece in re.split(r"(<<[^>]*>>)", template) for t in ([piece] if piece.startswith("<<") else words_of(piece))):
         if token == "<<optional>>":
             close()
             open_at.append(state)
@@ -91,7 +81,7 @@ def compile_template(template: str) -> Automaton:
             close()
             low = count.pop()[0]
             steps.append((open_at.pop(), None, state))
-        elif token.startswith("<<any:"):
+        elif isinstance(token, str) and token.startswith("<<any:"):
             close()
             pattern, _, span = token[6:-2].rpartition(":")
             a, b = map(int, span.split("-"))
@@ -102,15 +92,14 @@ def compile_template(template: str) -> Automaton:
                     steps.append((state, None, state + b - k))
                 state += 1
             low, high = low + a, high + b
-        elif token.startswith("<<"):
+        elif isinstance(token, str):
             raise ValueError(f"unknown markup {token}")
         else:
-            word = token.lower().encode()
             if not open_at:
                 if not run:
                     run_at = (low, high)
-                run.append(word)
-            steps.append((state, word, state + 1))
+                run.append(token)
+            steps.append((state, token, state + 1))
             state += 1
             low, high = low + 1, high + 1
     close()
@@ -181,8 +170,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
 
     n_base counts all places of the phrases; first_word and last_word are the least and largest of them,
     null without one. labels has the phrases' and the accepted templates' labels, distinct, sorted and
-    comma-joined, empty without one. score is 1 - 2**-n for n accepted runs, or 0.25 with phrases alone, or 0. spans lists the accepted runs. Null and empty
-    texts have no words. Repeated rows stay.
+    comma-joined, empty without one. score is 1 - 2**-n for n accepted runs, or 0.25 with phrases alone, or 0. spans lists
+    the accepted runs; of runs from one anchor the earliest start counts, to its last possible end. Null and empty texts
+    have no words, long texts are read whole. Repeated rows and null ids stay, extra columns are ignored. No rows: no rows.
     """
     base_phrases = tuple((k.encode(), v) for k, v in (PHRASES if phrases is None else phrases).items())
     marked = tuple((k, tuple(v)) for k, v in (TEMPLATES if templates is None else templates).items())
@@ -210,6 +200,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
             cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=names)
 
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    base = picked(docs, id=id_col, text=text_col)
     schema = f"id {base.schema['id'].dataType.simpleString()}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, spans array<struct<label:string,start:bigint,end:bigint>>"
-    return base.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return base.mapInArrow(run, schema).toDF(id_col, *names[1:])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .simhash import CHUNK, _rotl, forest, xxh64_spans
-from .support import written
+from .support import place, plain, written
 
 WIDTH = 5
 LEAST_SIMILARITY = 0.8
@@ -105,9 +105,9 @@ def edges(texts: list[str | None], least: float = LEAST_SIMILARITY) -> tuple[np.
     return np.concatenate([none, *(e[0] for e in out)]), np.concatenate([none, *(e[1] for e in out)])
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, row, node, size, bands) for each row: row is a hash of id and text, node one of the normalised text, size its shingles."""
-    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+def _marked(rows: DataFrame) -> DataFrame:
+    """``rows(row, id, text)`` to (id, row, digest, size, bands): digest is one of the normalised text, size its shingles."""
+    base = rows.select("id", "row", "text")
 
     def slices(texts: Iterator[str | None]) -> Iterator[list[bytes]]:
         held: list[bytes] = []
@@ -130,12 +130,12 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     h, begin = hashes(parts)
                     keys.append(bands(h, begin))
                     size.append(np.diff(np.append(begin, len(h))))
-                    node += [int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "little", signed=True) for p in parts]
+                    node += [hashlib.blake2b(p, digest_size=16).digest() for p in parts]
                 flat = pa.array(np.concatenate(keys).view(np.int64).reshape(-1))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BANDS), flat)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(np.concatenate(size)), lists], names=["id", "row", "node", "size", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(np.concatenate(size)), lists], names=["id", "row", "digest", "size", "bands"])
 
-    return written(base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, node bigint, size bigint, bands array<bigint>"), "shingles")
+    return written(base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, digest binary, size bigint, bands array<bigint>"), "shingles")
 
 
 def _compared(group: pa.Table) -> pa.Table:
@@ -146,27 +146,28 @@ def _compared(group: pa.Table) -> pa.Table:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
-    """``docs`` with one row of each class of texts that similarity links: the least id's, rows with a null id last.
+    """``docs`` with one row of each class of texts that similarity links: the least id's, rows with a null id last; of
+    rows with the same id the first.
 
     Texts with the same words in order are one class whatever their white space and ASCII case, null and wordless
-    ones too. Rows equal in id and text count as one row. All columns stay as they are.
+    ones too. Long texts count whole. All columns stay as they are, whatever they are called. No rows: no rows.
     """
-    marked = _marked(docs, id_col, text_col)
-    nodes = marked.groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id", "row")).alias("low"), F.max("size").alias("size"), F.first("bands").alias("bands"))
-    nodes = written(nodes, "nodes")
+    kept = written(plain(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    marked = _marked(kept.select("row", F.col(place(docs, id_col)).alias("id"), F.col(place(docs, text_col)).alias("text")))
+    nodes = marked.groupBy("digest").agg(F.min(F.struct(F.isnull("id").alias("no"), "id", "row")).alias("low"), F.max("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = written(nodes.select(F.col("low.row").alias("node"), "low", "size", "bands"), "nodes")
     cells = nodes.select("node", F.explode("bands").alias("cell"))
     centres = written(cells.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a <> top").select("cell", "a"), "cells")
     near = components(cells.join(centres, "cell").select("a", F.col("node").alias("b")))
-    inside = written(near.join(nodes.select("node", "low", "size"), "node"), "candidates")
+    inside = written(near.join(nodes.select("node", "size"), "node"), "candidates")
     parts = inside.groupBy("root").agg(F.ceil(F.sum("size") / tile).cast("int").alias("tiles"))
-    dealt = inside.join(parts, "root").select("root", "node", F.col("low.row").alias("row"), "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("block"))
-    texts = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
-    dealt = dealt.join(texts, "row").dropDuplicates(["row"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = inside.join(parts, "root").select("root", "node", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("block"))
+    texts = kept.select(F.col("row").alias("node"), F.col(place(docs, text_col)).alias("text"))
+    dealt = texts.join(dealt.hint("shuffle_hash"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "text")
     found = components(dealt.groupBy("root", "lo", "hi").applyInArrow(_compared, "a bigint, b bigint"))
     member = written(found.join(nodes.select("node", "low"), "node"), "members")
     least = member.groupBy("root").agg(F.min("low").alias("least"))
     gone = written(member.join(least, "root").where("low.row <> least.row").select("node"), "gone")
-    first = nodes.join(gone, "node", "left_anti").select(F.col("low.row").alias("__row")).distinct()
-    rows = docs.withColumn("__row", F.xxhash64(id_col, text_col))
-    return rows.join(first, "__row", "left_semi").dropDuplicates(["__row", id_col]).drop("__row")
+    first = nodes.join(gone, "node", "left_anti").select(F.col("node").alias("row"))
+    return kept.join(first.hint("shuffle_hash"), "row", "left_semi").drop("row").toDF(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .support import written
+from .support import picked, plain, place, written
 
 BITS = 64
 #: Bit ranges of the three pigeonhole groups; their segments are two bits wide, the last of an odd group one.
@@ -320,10 +320,9 @@ def links(fps: DataFrame, most: int = MAX_BITS, tile: int = TILE) -> DataFrame:
     return placed.mapInArrow(_meet(most), "a bigint, b bigint")
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int) -> DataFrame:
-    """(id, row, fp) for each row; row is a hash of id and text."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    base = base.select("id", F.xxhash64("id", "text").alias("row"), "text")
+def _marked(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """``rows(row, id, text)`` to (id, row, fp)."""
+    base = rows.select("id", "row", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -351,19 +350,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the least id reachable over links, the row's own included. Null and wordless
     texts have fingerprint zero and link like any other; equal fingerprints always link. A null id
     stays a row and counts in no minimum; a component of null ids only has component_id null.
-    Repeated rows stay repeated. Extra columns are ignored. No rows: no rows.
+    Long texts are read whole, a stretch at a time. Repeated rows stay repeated. Extra columns are ignored, whatever
+    they are called. No rows: no rows.
     """
-    marked = _marked(docs, id_col, text_col, width, seed)
+    marked = _marked(picked(docs, id=id_col, text=text_col).withColumn("row", F.monotonically_increasing_id()), width, seed)
     found = marked.join(_classes(marked, most), "fp", "left")
-    return found.select(F.col("id").alias(id_col), "fp", F.col("least.id").alias("component_id"))
+    return found.select("id", "fp", F.col("least.id").alias("component_id")).toDF(id_col, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, most: int = MAX_BITS, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each component: the least id's, rows with a null id last.
+    """``docs`` with one row of each component: the least id's, rows with a null id last; of rows with the same id the first.
 
-    Rows equal in id and text count as one row. All columns stay as they are.
+    All columns stay as they are, whatever they are called. Null, empty and long texts: as for ``near_duplicates``.
     """
-    marked = _marked(docs, id_col, text_col, width, seed)
-    first = _classes(marked, most).select(F.col("least.row").alias("__row")).distinct()
-    rows = docs.withColumn("__row", F.xxhash64(id_col, text_col))
-    return rows.join(first, "__row", "left_semi").dropDuplicates(["__row", id_col]).drop("__row")
+    kept = written(plain(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    marked = _marked(kept.select("row", F.col(place(docs, id_col)).alias("id"), F.col(place(docs, text_col)).alias("text")), width, seed)
+    first = _classes(marked, most).select(F.col("least.row").alias("row")).distinct()
+    return kept.join(first.hint("shuffle_hash"), "row", "left_semi").drop("row").toDF(*docs.columns)

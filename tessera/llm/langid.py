@@ -14,16 +14,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .support import picked, place, plain
+
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
 EMBED = 6
 WINDOW = 256
 UNKNOWN = "und"
-#: Bounds of the training sample: labelled rows of each language, and languages.
-SAMPLE_ROWS, SAMPLE_LANGUAGES = 500, 400
+#: Bound of the training sample: labelled rows of each language.
+SAMPLE_ROWS = 500
 #: Windows that go through the network together.
 BATCH = 48
 
@@ -127,32 +129,30 @@ def windows_of(raw: bytes, size: int = WINDOW) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = SAMPLE_ROWS, windows: int = 4, seed: int = 2) -> ByteCnn | None:
-    """Train on a sample of labelled rows, bounded for each language and in languages; None without labelled rows.
+    """Train on a sample of labelled rows, bounded by ``rows`` for each language; None without labelled rows.
 
-    A row gives up to ``windows`` windows from hashed places of its whole text.
+    Every language that occurs is learned. A row gives up to ``windows`` windows from hashed places of its whole text.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGUAGES).collect()
-    if not counts:
-        return None
-    # a share of each language's rows by a hash of the id: half as many again as wanted, cut to the bound here
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, 1.5 * rows / r["count"])).otherwise(share)
-    mark = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    known = picked(docs, id=id_col, lang=lang_col, text=text_col).where("lang is not null and text is not null")
+    # a share of each language's rows by a hash: half as many again as wanted, cut to the bound before they meet
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    mark = F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     spots = [F.substring("text", (F.pmod(F.xxhash64("id", F.lit(seed), F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))) + 1).cast("int"), WINDOW) for k in range(windows)]
-    found = known.where(mark < share).select("id", "lang", mark.alias("mark"), F.array(*spots).alias("parts")).collect()
-    found.sort(key=lambda r: (r["mark"], r["id"] is None, r["id"] or 0, r["parts"]))
-    languages = sorted(r["lang"] for r in counts)
-    used = dict.fromkeys(languages, 0)
+    marked = known.withColumn("mark", mark).join(F.broadcast(counts), "lang").where(F.col("mark") < F.lit(1.5 * rows) / F.col("n"))  # a row for each class of the model
+    marked = marked.select(F.col("lang").cast("string").alias("lang"), "mark", F.array(*spots).alias("parts"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "parts"))
+    found = marked.withColumn("place", first).where(F.col("place") <= rows).collect()
+    if not found:
+        return None
+    found.sort(key=lambda r: (r["mark"], r["lang"], r["parts"]))
+    languages = sorted({r["lang"] for r in found})
+    number = {name: k for k, name in enumerate(languages)}
     x, y = [], []
     for r in found:
-        if used[r["lang"]] < rows:
-            used[r["lang"]] += 1
-            for part in dict.fromkeys(r["parts"]):
-                if has_letter(part):
-                    x.append(windows_of(part.encode())[0])
-                    y.append(languages.index(r["lang"]))
+        for part in dict.fromkeys(r["parts"]):
+            if has_letter(part):
+                x.append(windows_of(part.encode())[0])
+                y.append(number[r["lang"]])
     rng = np.random.default_rng(seed)
     model = ByteCnn.fresh(languages, rng)
     if len(languages) > 1 and x:
@@ -160,22 +160,37 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return model
 
 
-def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """(id_col, lang_pred, score) for each row, or with ``keep`` all columns with ``__lang`` and ``__score`` added.
-
-    Null texts and texts without a letter, and all texts without a model, are ``und`` with score 0. Repeated rows stay.
-    """
+def _judged(docs: DataFrame, model: ByteCnn | None, columns: list[str], text_col: str) -> DataFrame:
+    """Some columns of ``docs`` as c0, c1, ..., then lang and score."""
+    own = plain(docs)
+    base = own.select(*(F.col(place(docs, c)).alias(f"c{i}") for i, c in enumerate(columns)), F.col(place(docs, text_col)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lang, score = classify((t.as_py() for t in b.column(b.num_columns - 1)), model)
-            front = b.columns[:-1] if keep else b.columns[:1]
-            yield pa.RecordBatch.from_arrays([*front, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[f"c{i}" for i in range(len(front))] + ["lang", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names[:-1], "lang", "score"])
+
+    return base.mapInArrow(run, "".join(f"c{i} {base.schema[i].dataType.simpleString()}, " for i in range(len(columns))) + "lang string, score double")
+
 
-    columns = docs.columns if keep else [id_col]
-    base = docs.select(*columns, F.col(text_col).alias("__text")).toDF(*[f"c{i}" for i in range(len(columns))], "text")
-    schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns)) + ", lang string, score double"
-    return base.mapInArrow(run, schema).toDF(*columns, *(("__lang", "__score") if keep else ("lang_pred", "score")))
+def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, lang_pred, score) for each row.
+
+    Null texts and texts without a letter, and all texts without a model, are ``und`` with score 0. Of equal
+    probabilities the language first by code point wins. Long texts are read whole, repeated rows and null ids stay,
+    extra columns are ignored. No rows: no rows.
+    """
+    return _judged(docs, model, [id_col], text_col).toDF(id_col, "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: ByteCnn | None, least: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more, named by ``lang_col`` from now on.
+
+    All other columns stay as they are, whatever they are called; scores are those of ``predict``.
+    """
+    found = _judged(docs, model, docs.columns, text_col).where((F.col("lang") != UNKNOWN) & (F.col("score") >= least))
+    at = int(place(docs, lang_col)[1:])
+    return found.select(*(F.col("lang" if i == at else f"c{i}") for i in range(len(docs.columns)))).toDF(*docs.columns)
 
 
 def classify(texts, model: ByteCnn | None) -> tuple[list[str], list[float]]:

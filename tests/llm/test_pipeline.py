@@ -12,7 +12,8 @@ import corpus_pipeline as cp
 from tessera.llm import langid, mixing
 from tessera.llm.entries import tokenizer_path
 
-from .test_operators import DOCS, brute_components, brute_fingerprint
+from .test_operators import DOCS, WORDS, brute_targets
+from .test_shingles import survivors
 
 KEY = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
 
@@ -57,12 +58,7 @@ def test_language_stage(stages):
 
 def test_duplicate_stage(stages):
     before, after = (s.collect() for s in stages[1:3])
-    roots = brute_components([brute_fingerprint(r["text"]) for r in before])
-    best = {}
-    for r, row in zip(roots, before, strict=True):
-        key = (row["doc_id"] is None, row["doc_id"] or 0)
-        best[r] = min(best.get(r, key), key)
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in after) == sorted(best.values())
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in after) == survivors([(r["doc_id"], r["text"]) for r in before])
 
 
 def test_secret_stage(stages):
@@ -75,12 +71,12 @@ def test_mixing_stage(stages):
     before, after = (s.collect() for s in stages[3:5])
     size = Counter()
     for r in before:
-        size[r["source"]] += len(re.findall(mixing.WORD, r["text"]))
+        size[r["source"]] += len(re.findall(WORDS, r["text"]))
     order = sorted(size, key=lambda s: (s is None, s or ""))
-    want = mixing.targets([size[s] for s in order], [mixing.WEIGHTS[i % 3] for i in range(len(order))])
-    got, words = Counter(), {str(r["doc_id"]): re.findall(mixing.WORD, r["text"]) for r in before}
+    want = brute_targets([size[s] for s in order], [mixing.WEIGHTS[i % 3] for i in range(len(order))])
+    got, words = Counter(), {str(r["doc_id"]): re.findall(WORDS, r["text"]) for r in before}
     for r in after:
-        own = re.findall(mixing.WORD, r["text"])
+        own = re.findall(WORDS, r["text"])
         got[r["source"]] += len(own)
         whole = iter(words[str(r["doc_id"])])
         assert all(w in whole for w in own)  # in the document's order

@@ -13,22 +13,26 @@ from pyspark.sql import functions as F
 
 from tessera.llm import langid, mixing, packing, secret_scan, shingles
 from tessera.llm.entries import tokenizer_path
-from tessera.llm.support import load, tune, written
+from tessera.llm.support import load, place, plain, tune, written
 
 #: Language scores below this reject a document, as ``und`` does.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else docs
+    """``docs`` with n_chars, if there is such a column, as the length of the text."""
+    names = docs.columns
+    if "n_chars" not in names:
+        return docs
+    at = names.index("n_chars")
+    own = plain(docs)
+    return own.withColumn(f"c{at}", F.length(place(docs, "text")).cast("bigint")).toDF(*names)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, which their lang column then names; the rest goes."""
     tune(spark)
-    found = langid.predict(docs, langid.fit(docs), keep=True)
-    kept = found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.col("__lang")).select(*docs.columns)
+    return langid.accepted(docs, langid.fit(docs), LEAST_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

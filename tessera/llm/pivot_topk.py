@@ -4,17 +4,20 @@ Vectors are scaled to integers. One more coordinate, the root of what a vector's
 the largest, gives all of them the same norm; a query has zero there. Then distance falls as inner
 product rises, and the triangle inequality holds for it.
 
-A few pivots are chosen from a bounded sample. Each vector is keyed by its nearest pivot and its
-distance from it; the distances of a pivot's vectors are cut into annuli, so that a cell holds about
-``CELL`` vectors. A query first searches its home cell, which bounds its k-th score. It then goes on to
-those cells alone whose annulus the triangle inequality doesn't put beyond that bound, and within a
-cell, sorted by distance, to the stretch that the same bound leaves.
-
-A cell's vectors are loaded once and its queries stream past them, so memory is bounded by ``CELL``.
+Pivots, more of them for larger tables, are chosen from a bounded sample. Each vector is keyed by its nearest pivot and
+its distance from it; the distances of a pivot's vectors are cut into annuli, so that a cell holds about
+``CELL`` vectors. A query sorts the annuli by the least distance that the triangle inequality allows. It expands them in
+rounds, the nearest first: each round's answers tighten the bound that its k-th score sets, annuli beyond it are never
+visited, and the query stops once none is left within it. Within a cell, sorted by distance, it looks at the stretch
+that the same bound leaves.
+
+A cell's vectors are loaded once and its queries stream past them, so memory is bounded by ``CELL``; a cell that more
+than ``QUERIES`` ask for is dealt to several tasks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import hashed_sample, written
+from .support import hashed_sample, picked, written
 
 SCALE = 256
-PIVOTS = 16
+#: Pivots at least and at most, and vectors for each beside the root of their number.
+PIVOTS, MOST_PIVOTS, ROOT = 16, 1024, 8
 #: Bound of the sample that pivots are chosen from.
-SAMPLE = 512
+SAMPLE = 2048
+#: Annuli that a query has expanded after each round; the last round takes the rest within its bound.
+ROUNDS = (1, 4, 1 << 40)
+#: Queries of a cell in one task, at most about.
+QUERIES = 4096
 #: Vectors in a cell, about, and annuli of a pivot at most; larger annuli are dealt to parts.
 CELL, ANNULI = 4096, 64
 #: Relative slack of the bounds for rounding: more is searched, never less.
@@ -86,13 +94,13 @@ def _distances(rows: np.ndarray, extra: np.ndarray, pivots: np.ndarray, pivot_ex
     return np.sqrt(np.maximum(sq - 2 * (rows @ pivots.T + extra[:, None] * pivot_extra[None]), 0))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, cell: int = CELL) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int | None = None, cell: int = CELL) -> DataFrame:
     """(query_id, rank from 1, id_col, score) of each query's ``k`` best rows of ``vectors`` by integer inner product.
 
     Ties go to the smaller id. A row with the query's own id is no candidate. Null ids, null vectors and
     vectors with a null or non-finite component take no part; shorter vectors count as ending in zeros;
     rows equal in id and vector count once. Fewer candidates than ``k``: all of them. Extra columns are
-    ignored. Empty tables: no rows.
+    ignored, whatever they are called. Empty tables: no rows.
     """
     spark = vectors.sparkSession
 
@@ -104,7 +112,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ok, pa.int64())), pa.array([rows[i].tobytes() for i in ok], pa.binary()), pa.array(norms, pa.int64()), pa.array([len(rows[i]) for i in ok], pa.int32())], names=["id", "v", "norm", "width"])
 
     def table(df: DataFrame) -> DataFrame:
-        rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x")).where("id is not null")
+        rows = picked(df, id=id_col, x=vector_col).select(F.col("id").cast("long").alias("id"), F.col("x").cast("array<double>").alias("x")).where("id is not null")
         return rows.mapInArrow(integral, "id bigint, v binary, norm bigint, width int")
 
     # Of equal vectors the k + 1 smallest ids can be in an answer; the group limit runs before the shuffle.
@@ -117,6 +125,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     sample = hashed_sample(base, SAMPLE, ["v", "id"], facts["n"])
     if sample:
         rows = _matrix([np.frombuffer(r["v"], "<i4") for r in sample], width)
+        pivots = pivots or min(MOST_PIVOTS, max(PIVOTS, math.isqrt(facts["n"]) // ROOT))
         points, point_extra = choose_pivots(rows, np.sqrt(np.array([top - r["norm"] for r in sample], float)), pivots)
     else:
         points, point_extra = np.zeros((1, width)), np.zeros(1)
@@ -156,8 +165,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     cells = "pivot int, ring int, part int, "
     placed = written(keyed.mapInArrow(place, cells + "id bigint, v binary, d double"), "cells")
 
-    def route(home: bool):
-        """Queries to cells: to the home cell, or with a k-th score to all others in reach of it."""
+    def route(done: int, most: int):
+        """Queries to the cells that this round expands: annuli number ``done`` to ``most`` by their least distance, within reach."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
@@ -167,23 +176,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
                     d = _distances(x, np.zeros(len(x)), points, point_extra)
                     at_pivot = d[:, bounds[:, 0].astype(int)]
                     low = np.maximum(0, np.maximum(bounds[None, :, 2] - at_pivot, at_pivot - bounds[None, :, 3]))
-                    own = low.argmin(axis=1)
-                    if home:
-                        go = np.zeros(low.shape, bool)
-                        go[np.arange(len(x)), own] = True
-                    else:
-                        kth = b.column(2).to_numpy(zero_copy_only=False).astype(float)  # NaN: fewer than k so far
-                        sq = (x**2).sum(axis=1) + top
-                        reach = np.sqrt(np.maximum(sq - 2 * np.where(np.isnan(kth), -np.inf, kth), 0))
-                        go = low <= (reach * (1 + SLACK) + SLACK)[:, None]
-                        go[np.arange(len(x)), own] = False
+                    rank = np.argsort(np.argsort(low, axis=1, kind="stable"), axis=1)
+                    kth = b.column(2).to_numpy(zero_copy_only=False).astype(float)  # NaN: fewer than k so far
+                    sq = (x**2).sum(axis=1) + top
+                    reach = np.sqrt(np.maximum(sq - 2 * np.where(np.isnan(kth), -np.inf, kth), 0))
+                    go = (rank >= done) & (rank < most) & (low <= (reach * (1 + SLACK) + SLACK)[:, None])
                     q, c = np.nonzero(go)
                     n = np.array([parts[int(p)] for p in bounds[c, 0]], np.int64) if len(c) else np.zeros(0, np.int64)
                     q, c, n0 = np.repeat(q, n), np.repeat(c, n), n
                     part = np.arange(len(q)) - np.repeat(np.cumsum(n0) - n0, n0)
-                    kth_out = b.column(2).take(pa.array(q)) if not home else pa.nulls(len(q), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(bounds[c, 0].astype(np.int32)), pa.array(bounds[c, 1].astype(np.int32)), pa.array(part.astype(np.int32)), b.column(0).take(pa.array(q)), b.column(1).take(pa.array(q)), pa.array(d[q, bounds[c, 0].astype(int)]), kth_out],
+                        [pa.array(bounds[c, 0].astype(np.int32)), pa.array(bounds[c, 1].astype(np.int32)), pa.array(part.astype(np.int32)), b.column(0).take(pa.array(q)), b.column(1).take(pa.array(q)), pa.array(d[q, bounds[c, 0].astype(int)]), b.column(2).take(pa.array(q))],
                         names=["pivot", "ring", "part", "id", "v", "d", "kth"],
                     )
 
@@ -202,7 +205,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["query_id", "v", "id", "score"])
 
         for b in batches:
-            cell_id = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            cell_id = list(zip(*(b.column(i).to_pylist() for i in (0, 1, 2, 8)), strict=True))
             tag, ids, d, kth = b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(6).to_pylist(), b.column(7).to_pylist()
             for i, v in enumerate(b.column(5)):
                 if cell_id[i] != now:
@@ -220,18 +223,34 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
         if queries_now:
             yield answer()
 
+    own_cell = ["pivot", "ring", "part"]
+
     def visited(who: DataFrame) -> DataFrame:
-        both = placed.select("pivot", "ring", "part", F.lit(0).alias("tag"), "id", "v", "d", F.lit(None).cast("bigint").alias("kth")).union(who.select("pivot", "ring", "part", F.lit(1).alias("tag"), "id", "v", "d", "kth"))
-        both = both.repartition("pivot", "ring", "part").sortWithinPartitions("pivot", "ring", "part", "tag", "d", "id")
+        stored = placed.withColumn("copy", F.lit(0))
+        often = who.groupBy(*own_cell).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("copies")).where("copies > 1")
+        often = written(often, "often")
+        if often.isEmpty():
+            who = who.withColumn("copy", F.lit(0))
+        else:  # cells with many queries stand once for each share of these
+            copies = F.coalesce("copies", F.lit(1))
+            who = who.join(often, own_cell, "left").withColumn("copy", F.pmod(F.xxhash64("id", "v"), copies).cast("int"))
+            stored = placed.join(often, own_cell, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+        both = stored.select(*own_cell, F.lit(0).alias("tag"), "id", "v", "d", F.lit(None).cast("bigint").alias("kth"), "copy").union(who.select(*own_cell, F.lit(1).alias("tag"), "id", "v", "d", "kth", "copy"))
+        both = both.repartition(*own_cell, "copy").sortWithinPartitions(*own_cell, "copy", "tag", "d", "id")
         return both.mapInArrow(visit, "query_id bigint, v binary, id bigint, score bigint")
 
-    at_home = written(visited(asked.select("id", "v").mapInArrow(route(True), routed)), "home")
     by_query = Window.partitionBy("query_id", "v").orderBy(F.desc("score"), "id")
-    kth = at_home.distinct().withColumn("n", F.row_number().over(by_query)).where(F.col("n") == k).select(F.col("query_id").alias("id"), "v", F.col("score").alias("kth"))
-    again = asked.select("id", "v").join(kth, ["id", "v"], "left").mapInArrow(route(False), routed)
-    every = at_home.union(visited(again)).distinct()
+    every, done = None, 0
+    for most in ROUNDS:
+        if every is None:
+            open_ = asked.select("id", "v", F.lit(None).cast("bigint").alias("kth"))
+        else:
+            kth = every.withColumn("n", F.row_number().over(by_query)).where(F.col("n") == k).select(F.col("query_id").alias("id"), "v", F.col("score").alias("kth"))
+            open_ = asked.select("id", "v").join(kth, ["id", "v"], "left")
+        found = written(visited(written(open_.mapInArrow(route(done, most), routed), "routes")), "found")
+        every, done = found if every is None else every.union(found), most
     ranked = every.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    return ranked.select("query_id", "rank", "id", "score").toDF("query_id", "rank", id_col, "score")
 
 
 def _best(vec, queries: list[tuple], width: int, top: int, k: int) -> tuple[list, list, list, list]:

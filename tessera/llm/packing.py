@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .support import written
+from .support import picked, written
 
 WINDOW = 2048
-#: Steps of the projected-gradient solver.
-STEPS = 300
+#: Steps of the projected-gradient solver at most, and the share of the rests that it may leave unfitted.
+STEPS, GAP = 300, 0.002
 
 
 @lru_cache(maxsize=2)
@@ -76,10 +76,11 @@ def combinations(window: int, depth: int = 3) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
-def repeat_counts(histogram: np.ndarray, combos: np.ndarray, steps: int = STEPS) -> np.ndarray:
+def repeat_counts(histogram: np.ndarray, combos: np.ndarray, steps: int = STEPS, gap_share: float = GAP) -> np.ndarray:
     """min |A x - h| over x >= 0, with A's column k counting the lengths of combination k.
 
-    Columns that use a length which doesn't occur can only add error; they are left out.
+    Columns that use a length which doesn't occur can only add error; they are left out. The steps end early once what
+    is unfitted adds up to ``gap_share`` of the histogram.
     """
     window = len(histogram)
     usable = ((combos == 0) | (histogram[combos] > 0)).all(axis=0)
@@ -99,9 +100,12 @@ def repeat_counts(histogram: np.ndarray, combos: np.ndarray, steps: int = STEPS)
         fit = np.bincount(c.ravel(), weights=np.broadcast_to(z, c.shape).ravel(), minlength=window)
         gap = fit - h
         gap[0] = 0
+        if np.abs(gap).sum() <= gap_share * h.sum():
+            y = z
+            break
         new = np.maximum(z - scale * gap[c].sum(axis=0) / 3, 0)
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        z = new + (t - 1) / t_new * (new - y)
+        z = np.maximum(new + (t - 1) / t_new * (new - y), 0)
         y, t = new, t_new
     x[usable] = y
     return x
@@ -175,45 +179,47 @@ def layout(histogram: np.ndarray, window: int = WINDOW) -> tuple[dict[int, np.nd
     return {v: np.array(r, np.int64) for v, r in runs.items()}, sequence
 
 
-def measured(docs: DataFrame, path: str, id_col: str, text_col: str, window: int, end_id: int) -> DataFrame:
+def measured(docs: DataFrame, path: str, id_col: str, text_col: str, window: int, end_id: int, keep: bool = False) -> DataFrame:
     """Lengths and CRCs of each document, with its ranks within the task that read it.
 
-    part: the task's number; rank: earlier rests of this length in it; before: earlier whole pieces in it.
+    part: the task's number; rank: earlier rests of this length in it; before: earlier whole pieces in it; ids, with
+    ``keep`` only: the ids, four bytes each.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    names = ["id", "part", "rank", "before", "tokens", "full", "rest", "rest_crc"]
+    base = picked(docs, id=id_col, text=text_col)
+    names = ["id", "part", "rank", "before", "tokens", "full", "rest", "rest_crc", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         seen, before = [0] * window, 0
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                b = whole.slice(k, 512)
+            for k in range(0, whole.num_rows, 256):
+                b = whole.slice(k, 256)
                 rows = []
                 for text in b.column(1):
                     ids = encode(text.as_py(), path, end_id)
                     rest = len(ids) % window
                     cut = len(ids) - rest
                     full = [zlib.crc32(ids[i : i + window]) for i in range(0, cut, window)]
-                    rows.append((seen[rest], before, len(ids), full, rest, zlib.crc32(ids[cut:]) if rest else None))
+                    rows.append((seen[rest], before, len(ids), full, rest, zlib.crc32(ids[cut:]) if rest else None, ids.tobytes() if keep else None))
                     seen[rest] += 1
                     before += len(full)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.binary())
                 cols = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([part] * len(rows), pa.int32()), *cols], names=names)
 
     kind = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(run, f"id {kind}, part int, rank bigint, before bigint, tokens bigint, full array<bigint>, rest int, rest_crc bigint")
+    return base.mapInArrow(run, f"id {kind}, part int, rank bigint, before bigint, tokens bigint, full array<bigint>, rest int, rest_crc bigint, ids binary")
 
 
-def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents, placed in sequences of at most ``window`` ids.
 
-    Returns (id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset). Null texts count as
-    empty and still hold ``end_id``. Null ids stay rows. Repeated rows are packed once each, at places
-    of their own. Extra columns are ignored. No rows: no pieces.
+    Returns (id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset), and with ``keep_ids`` the ids of each
+    piece as an array. Null texts count as empty and still hold ``end_id``. Null ids stay rows. Repeated rows are packed
+    once each, at places of their own; of rests with one length those read first get the first places. Long texts are cut
+    every ``window`` ids. Extra columns are ignored. No rows: no pieces.
     """
-    found = written(measured(docs, path, id_col, text_col, window, end_id), "lengths")
+    found = written(measured(docs, path, id_col, text_col, window, end_id, keep_ids), "lengths")
     sizes = written(found.groupBy("part", "rest").agg(F.count("*").alias("n"), F.sum(F.size("full")).alias("whole")), "sizes")
     counts = sizes.groupBy("rest").agg(F.sum("n").alias("n")).collect()  # at most `window` rows
     histogram = np.zeros(window, np.int64)
@@ -227,14 +233,14 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     parts = sizes.groupBy("part").agg(F.sum("whole").alias("whole"))  # one row for each task of the first pass
     parts = parts.select("part", F.coalesce(F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before0"))
     shifts = written(ranked.join(parts, "part"), "shifts")
-    # as many rows as tasks times lengths: too many to broadcast on a large input
-    placed = found.join(shifts.hint("merge"), ["part", "rest"]).select(
-        "id", "tokens", "full", "rest", "rest_crc", (F.col("rank") + F.col("rank0")).alias("rank"), (F.col("before") + F.col("before0")).alias("before")
+    # as many rows as tasks times lengths: too many to broadcast on a large input; ids stream past them unsorted
+    placed = found.join(shifts.hint("shuffle_hash"), ["part", "rest"]).select(
+        "id", "tokens", "full", "rest", "rest_crc", (F.col("rank") + F.col("rank0")).alias("rank"), (F.col("before") + F.col("before0")).alias("before"), "ids"
     )
-    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             at, rows = [], []
             for i, (tokens, full, rest, crc, rank, before) in enumerate(zip(*(b.column(c).to_pylist() for c in range(1, 7)), strict=True)):
                 for k, own in enumerate(full):
@@ -246,8 +252,12 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     at.append(i)
                     rows.append((tokens - rest, rest, crc, tokens, sequence + rank - first, offset))
             cols = [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6
+            if keep_ids:  # a document's pieces follow each other, so its ids are theirs one after the other
+                ends = np.cumsum([0, *(r[1] for r in rows)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(x.as_py() for x in b.column(7)), "<i4")
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *cols], names=names)
 
     kind = placed.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, " + ", ".join(f"{x} bigint" for x in names[1:])
-    return placed.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    schema = f"id {kind}, " + ", ".join(f"{x} bigint" for x in names[1:7]) + ", ids array<int>" * keep_ids
+    return placed.mapInArrow(run, schema).toDF(id_col, *names[1:])

@@ -1,14 +1,14 @@
-"""Near-duplicate classes by exact Jaccard similarity of word shingles.
+"""Near-duplicate classes by exact Jaccard similarity of word shingles, over SimHash candidates.
 
-Candidates come from min-hashes: each of ``BANDS`` keys mixes the minima of ``ROWS`` permutations of a
+Candidates come from two sides. Fingerprints over five-word shingles go through the segment-popcount grid of
+``simhash``, which links them at up to ``MOST_BITS`` differing bits. At similarity 0.8 fingerprints differ in some ten
+bits, in 13 and more now and then, and a grid that finds 13 of 64 bits compares almost everything with everything; so
+min-hashes complete the candidates: each of ``BANDS`` keys mixes the minima of ``ROWS`` permutations of a
 text's shingles, and texts with an equal key are joined to the least text under it. A pair at similarity s
 shares no key with probability ``(1 - s**ROWS)**BANDS``: 6e-5 at 0.8, 3e-7 at 0.85. A component of
 candidates goes to one task, which compares all its texts exactly, so that a pair that shares no key but
 hangs together by others is found as well. A component over ``TILE`` shingles is dealt to tiles, one for
 each pair of its blocks: no pair is lost and no task grows with the group.
-
-No key is made from SimHash fingerprints: at similarity 0.8 these differ in up to 13 bits and more, and a
-grid that finds 13 of 64 bits compares almost everything with everything.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .simhash import CHUNK, _rotl, forest, xxh64_spans
+from .simhash import BITS, CHUNK, _rotl, forest, links, xxh64_spans
 from .support import place, plain, written
 
 WIDTH = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
+#: Differing bits of the fingerprints that the grid finds, its most.
+MOST_BITS = 5
 #: Shingles of a tile's block.
 TILE = 2_000_000
 
@@ -71,6 +73,15 @@ def bands(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+def prints(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """SimHash fingerprints: a bit is 1 if set in over half of a text's hashes, repeats included."""
+    n = np.diff(np.append(begin, len(h)))
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    most = 2 * np.add.reduceat(bits, begin, axis=0, dtype=np.int64) > n[:, None]
+    assert most.shape[1] == BITS
+    return np.packbits(most, axis=1, bitorder="little").view("<u8").reshape(-1)
+
+
 def edges(texts: list[str | None], least: float = LEAST_SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """Spanning edges, as places, of the texts whose shingle sets have a Jaccard similarity of ``least`` or more.
 
@@ -106,7 +117,7 @@ def edges(texts: list[str | None], least: float = LEAST_SIMILARITY) -> tuple[np.
 
 
 def _marked(rows: DataFrame) -> DataFrame:
-    """``rows(row, id, text)`` to (id, row, digest, size, bands): digest is one of the normalised text, size its shingles."""
+    """``rows(row, id, text)`` to (id, row, digest, size, fp, bands): digest is one of the normalised text, size its shingles."""
     base = rows.select("id", "row", "text")
 
     def slices(texts: Iterator[str | None]) -> Iterator[list[bytes]]:
@@ -125,17 +136,18 @@ def _marked(rows: DataFrame) -> DataFrame:
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 b = whole.slice(k, 256)
-                node, size, keys = [], [], []
+                node, size, keys, marks = [], [], [], []
                 for parts in slices(t.as_py() for t in b.column(2)):
                     h, begin = hashes(parts)
                     keys.append(bands(h, begin))
+                    marks.append(prints(h, begin))
                     size.append(np.diff(np.append(begin, len(h))))
                     node += [hashlib.blake2b(p, digest_size=16).digest() for p in parts]
                 flat = pa.array(np.concatenate(keys).view(np.int64).reshape(-1))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BANDS), flat)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(np.concatenate(size)), lists], names=["id", "row", "digest", "size", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.binary()), pa.array(np.concatenate(size)), pa.array(np.concatenate(marks).view(np.int64)), lists], names=["id", "row", "digest", "size", "fp", "bands"])
 
-    return written(base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, digest binary, size bigint, bands array<bigint>"), "shingles")
+    return written(base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, row bigint, digest binary, size bigint, fp bigint, bands array<bigint>"), "shingles")
 
 
 def _compared(group: pa.Table) -> pa.Table:
@@ -154,11 +166,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ti
     """
     kept = written(plain(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
     marked = _marked(kept.select("row", F.col(place(docs, id_col)).alias("id"), F.col(place(docs, text_col)).alias("text")))
-    nodes = marked.groupBy("digest").agg(F.min(F.struct(F.isnull("id").alias("no"), "id", "row")).alias("low"), F.max("size").alias("size"), F.first("bands").alias("bands"))
-    nodes = written(nodes.select(F.col("low.row").alias("node"), "low", "size", "bands"), "nodes")
+    nodes = marked.groupBy("digest").agg(F.min(F.struct(F.isnull("id").alias("no"), "id", "row")).alias("low"), F.max("size").alias("size"), F.max("fp").alias("fp"), F.first("bands").alias("bands"))
+    nodes = written(nodes.select(F.col("low.row").alias("node"), "low", "size", "fp", "bands"), "nodes")
     cells = nodes.select("node", F.explode("bands").alias("cell"))
     centres = written(cells.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a <> top").select("cell", "a"), "cells")
-    near = components(cells.join(centres, "cell").select("a", F.col("node").alias("b")))
+    by_keys = cells.join(centres, "cell").select("a", F.col("node").alias("b"))
+    same = written(nodes.groupBy("fp").agg(F.min("node").alias("a")), "prints")
+    at_b = same.select(F.col("fp").alias("b"), F.col("a").alias("nb"))
+    by_bits = links(same, MOST_BITS).join(same.select(F.col("fp").alias("a"), F.col("a").alias("na")), "a").join(at_b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    by_print = nodes.join(same, "fp").select("a", F.col("node").alias("b"))
+    near = components(by_keys.union(by_bits).union(by_print))
     inside = written(near.join(nodes.select("node", "size"), "node"), "candidates")
     parts = inside.groupBy("root").agg(F.ceil(F.sum("size") / tile).cast("int").alias("tiles"))
     dealt = inside.join(parts, "root").select("root", "node", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("block"))

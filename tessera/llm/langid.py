@@ -184,11 +184,13 @@ def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text
 
 
 def accepted(docs: DataFrame, model: ByteCnn | None, least: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more, named by ``lang_col`` from now on.
+    """The rows of ``docs`` in a learned language, named by ``lang_col`` from now on.
 
-    All other columns stay as they are, whatever they are called; scores are those of ``predict``.
+    Of ``k`` languages a score is 1 / k at least; a row stays if its score is the share ``least`` of the way from there to
+    one, or more. All other columns stay as they are, whatever they are called; scores are those of ``predict``.
     """
-    found = _judged(docs, model, docs.columns, text_col).where((F.col("lang") != UNKNOWN) & (F.col("score") >= least))
+    chance = 1 / len(model.languages) if model else 1.0
+    found = _judged(docs, model, docs.columns, text_col).where((F.col("lang") != UNKNOWN) & (F.col("score") >= chance + least * (1 - chance)))
     at = int(place(docs, lang_col)[1:])
     return found.select(*(F.col("lang" if i == at else f"c{i}") for i in range(len(docs.columns)))).toDF(*docs.columns)
 

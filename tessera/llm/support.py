@@ -76,10 +76,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what ``scratch_path`` handed out in this application, once results are stored elsewhere."""
+def release(spark: SparkSession, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Delete what ``scratch_path`` handed out in this application, once results are stored elsewhere.
+
+    Folders that the tables in ``keep`` read stay.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+    used = [f for df in keep for f in df.inputFiles()]
+    known = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in known:
+        if any(path.rpartition("/")[2] in f for f in used):
+            _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+            continue
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
 

@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.llm import chroma, graph, langid, license_scan, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
@@ -385,6 +387,22 @@ def test_topk_exact(spark):
     assert pivot_topk.search(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_topk_hot_cells_and_annuli(spark, monkeypatch):
+    """Many queries at one place, many annuli: the same answers, and most cells are never visited."""
+    rng = np.random.default_rng(12)
+    rows = [(i, (rng.normal(0, 0.05, 6) + (np.arange(6) == i % 6)).round(3).tolist()) for i in range(900)]
+    rows += [(50 * (1000 + i), rows[0][1]) for i in range(200)]  # queries at one place
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(pivot_topk, "QUERIES", 16)
+    got = {}
+    for r in pivot_topk.search(table, table.where("vec_id % 50 = 0"), 4, cell=30).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    ints = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows}
+    for q in (i for i in ints if i % 50 == 0):
+        best = sorted((-int(ints[q] @ ints[c]), c) for c in ints if c != q)[:4]
+        assert sorted(got[q]) == [(k + 1, c, -s) for k, (s, c) in enumerate(best)]
+
+
 def test_topk_wide_numbers():
     a = np.array([[2.0**30, 2.0**30]])
     assert pivot_topk.products(a, a).tolist() == [[2**61]]
@@ -648,6 +666,14 @@ def test_packing(spark, docs, rows, empty):
         assert at <= 256
     assert sorted(places) == list(range(len(places)))
     assert packing.pack(empty, tokenizer_path()).count() == 0
+    kept = packing.pack(table, tokenizer_path(), window=256, keep_ids=True).collect()
+    assert Counter((r["doc_id"], r["start"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in kept) == Counter((i, s, c) for i, s, _, c, _ in want.elements())
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_ids_are_those_of_tokenizers(text):
+    assert packing.encode(text, tokenizer_path()).tolist() == [*packing._full(tokenizer_path()).encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_packing_plan():
@@ -666,7 +692,7 @@ def test_packing_plan():
     # the solver against the normal equations' optimum on a tiny case
     combos = packing.combinations(8)
     hist = np.array([0, 3, 0, 4, 0, 4, 0, 3])
-    x = packing.repeat_counts(hist, combos, 2000)
+    x = packing.repeat_counts(hist, combos, 2000, 0)
     a = np.zeros((8, combos.shape[1]))
     for k, c in enumerate(combos.T):
         for v in c:

@@ -30,7 +30,7 @@ def folder(spark, tmp_path_factory):
     rows += [(1000 + i, rows[0][1], "en", "src0", 1) for i in range(80)]  # a third are copies
     rows += [(2000, None, "en", "src1", None), (2001, "12345 !!", None, "src1", 8), (2002, "", None, None, 0), (None, rows[4][1] + " more", "en", None, 1)]
     path = str(tmp_path_factory.mktemp("sf"))
-    spark.createDataFrame(rows, DOCS).withColumn("extra", F.lit(1)).repartition(4).write.parquet(f"file://{path}/documents.parquet")
+    spark.createDataFrame(rows, DOCS).withColumn("extra", F.lit(1)).withColumn("row", F.lit("r")).withColumn("parts", F.lit(2)).withColumn("__row", F.lit(3)).withColumn("__lang", F.lit(4)).withColumn("a.b", F.lit(5)).withColumn("c0", F.lit(6)).repartition(4).write.parquet(f"file://{path}/documents.parquet")
     return f"file://{path}"
 
 
@@ -92,7 +92,9 @@ def test_packing_stage_and_run(spark, stages, folder):
         ids = np.array(tokenizer.encode(r["text"], add_special_tokens=False).ids + [1], "<u4")
         for s in range(0, len(ids), 2048):
             want[(r["doc_id"], s, zlib.crc32(ids[s : s + 2048].tobytes()))] += 1
-    assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in stages[5].collect()) == want
+    last = stages[5].collect()
+    assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in last) == want
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in last)
     assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in cp.run(spark, folder).collect()) == want
 
 

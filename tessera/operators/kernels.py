@@ -47,30 +47,39 @@ def components(mask: np.ndarray, connectivity: int = 1) -> np.ndarray:
     return out.reshape(h, w)
 
 
-def _window_max(a: np.ndarray) -> np.ndarray:
-    """Maximum over 3 x 3, the image's edge repeated."""
-    p = np.pad(a, 1, mode="edge")
-    rows = np.maximum(np.maximum(p[:-2], p[1:-1]), p[2:])
-    return np.maximum(np.maximum(rows[:, :-2], rows[:, 1:-1]), rows[:, 2:])
-
-
-def reconstruct(seed: np.ndarray, limit: np.ndarray) -> np.ndarray:
-    """Grey reconstruction by dilation over 3 x 3 windows."""
+def _window_max(a: np.ndarray, size: int = 3) -> np.ndarray:
+    """Maximum over windows of an odd ``size``, the image's edge repeated."""
+    if size % 2 == 0:
+        raise ValueError("a window has a middle pixel, so its size is odd")
+    for axis in (0, 1):
+        p = np.pad(a, [(size // 2, size // 2) if k == axis else (0, 0) for k in (0, 1)], mode="edge")
+        parts = [p[k : k + a.shape[0]] if axis == 0 else p[:, k : k + a.shape[1]] for k in range(size)]
+        a = parts[0].copy()
+        for x in parts[1:]:
+            np.maximum(a, x, out=a)
+    return a
+
+
+def reconstruct(seed: np.ndarray, limit: np.ndarray, size: int = 3) -> np.ndarray:
+    """Grey reconstruction by dilation over square windows."""
     now = np.minimum(seed, limit)
     while True:
-        grown = np.minimum(_window_max(now), limit)
+        grown = np.minimum(_window_max(now, size), limit)
         if np.array_equal(grown, now):
             return now
         now = grown
 
 
-def h_maxima(image: np.ndarray, h: float) -> np.ndarray:
-    """Maxima that stand at least ``h`` above the saddle to a higher one; with h 0 the plain regional maxima."""
+def h_maxima(image: np.ndarray, h: float, size: int = 3) -> np.ndarray:
+    """Maxima that stand at least ``h`` above the saddle to a higher one; with h 0 the plain regional maxima.
+
+    A saddle leads from pixel to pixel within windows of ``size``.
+    """
     if h <= 0:
         step = 1 if np.issubdtype(image.dtype, np.integer) else np.finfo(float).eps * max(1.0, float(np.abs(image).max(initial=0)))
-        return image - reconstruct(image - step, image) > 0
+        return image - reconstruct(image - step, image, size) > 0
     slack = 0 if np.issubdtype(image.dtype, np.integer) else 4 * float(np.spacing(np.abs(image).max(initial=h)))
-    return image - reconstruct(image - h, image) >= h - slack
+    return image - reconstruct(image - h, image, size) >= h - slack
 
 
 def window_peaks(image: np.ndarray, border: int = 1) -> np.ndarray:
@@ -194,17 +203,45 @@ def _pixels(out: np.ndarray, level: np.ndarray, done: np.ndarray, steps: np.ndar
     out[:] = labels
 
 
+def column_distances(mask: np.ndarray, far: int) -> np.ndarray:
+    """Squared distance of each pixel to the nearest member of its column; ``far`` where there is none."""
+    y = np.arange(len(mask))[:, None]
+    last = np.maximum.accumulate(np.where(mask, y, -(10**8)), axis=0)
+    following = np.minimum.accumulate(np.where(mask, y, 10**8)[::-1], axis=0)[::-1]
+    return np.minimum(np.minimum(y - last, following - y).astype(np.int64) ** 2, far)
+
+
+def row_minima(g: np.ndarray) -> np.ndarray:
+    """For each row and place x the least (x - k)**2 + g[k] over all places k.
+
+    The least such k never falls as x grows. So places are settled from coarse to fine, each between its settled
+    neighbours' k, all rows at once: log(width) steps over as many candidates as there are places, or twice that.
+    """
+    m, w = g.shape
+    if not m or not w:
+        return g.copy()
+    at = np.zeros((m, w + 2), np.int64)  # place x stands in column x + 1
+    at[:, w + 1] = w - 1
+    step = 1 << w.bit_length()
+    while step := step >> 1:
+        x = np.arange(step, w + 1, 2 * step)
+        if not len(x):
+            continue
+        low, high = at[:, x - step].ravel(), at[:, np.minimum(x + step, w + 1)].ravel()
+        n = high - low + 1
+        begin = np.cumsum(n) - n
+        k = np.arange(n.sum()) + np.repeat(low - begin, n)
+        row = np.repeat(np.repeat(np.arange(m), len(x)), n)
+        cost = (np.repeat(np.tile(x - 1, m), n) - k) ** 2 + g[row, k]
+        at[:, x] = (np.minimum.reduceat(cost * w + k, begin) % w).reshape(m, len(x))
+    k = at[:, 1:-1]
+    return (np.arange(w) - k) ** 2 + np.take_along_axis(g, k, axis=1)
+
+
 def squared_distances(mask: np.ndarray) -> np.ndarray:
     """Exact squared distance of each pixel to the nearest member; far beyond the image where there is none."""
     h, w = mask.shape
-    far = 4 * (h + w) ** 2
-    y = np.arange(h)[:, None]
-    last = np.maximum.accumulate(np.where(mask, y, -(10**6)), axis=0)
-    following = np.minimum.accumulate(np.where(mask, y, 10**6)[::-1], axis=0)[::-1]
-    column = np.minimum(np.minimum(y - last, following - y).astype(np.int64) ** 2, far)
-    x = np.arange(w)
-    step = (x[:, None] - x[None, :]) ** 2
-    return np.stack([(row[None, :] + step).min(axis=1) for row in column]) if h else column
+    return row_minima(column_distances(mask, 4 * (h + w) ** 2))
 
 
 def hull_area(y: np.ndarray, x: np.ndarray) -> float:

@@ -4,40 +4,46 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .frames import YX, join_pixels
+from .frames import YX
+
+
+#: Columns that one task takes down the image, and rows that one task takes across.
+STRIP, BAND = 64, 64
 
 
 def squared_distance(mask: DataFrame, size: tuple[int, int]) -> DataFrame:
-    """(y, x, d2) for all pixels of the image: the exact squared distance to the nearest member.
+    """(y, x, d2) for all pixels of the image: the exact squared distance to the nearest member; no rows without a member.
 
-    Columns first: windows along them find the nearest member above and below. Then each row takes the
-    least of its columns' distances plus the squared step, as one array operation a row.
+    Columns first: a task takes the members of a strip and finds each pixel's distance within its column. The strips'
+    arrays, a binary value for each band of rows, meet by band, and there each row takes the least of its columns' distances
+    plus the squared step, in as many operations as it is wide times a logarithm.
     """
     h, w = size
-    rows = mask.sparkSession.range(h).select(F.col("id").cast("int").alias("y"))
-    grid = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(w - 1))))
-    marked = join_pixels(grid, mask.select(*YX, F.col("y").alias("own")).distinct(), "left")
-    up = Window.partitionBy("x").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("x").orderBy("y").rowsBetween(0, Window.unboundedFollowing)
-    gap = F.least(F.col("y") - F.last("own", True).over(up), F.first("own", True).over(down) - F.col("y"))
-    columns = marked.select(*YX, (gap * gap).cast("bigint").alias("g"))
-
-    def row(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows.g.notna()]
-        x = np.arange(w)
-        if not len(rows):
-            return pd.DataFrame({"y": [], "x": [], "d2": []}).astype({"y": "int32", "x": "int32", "d2": "int64"})
-        best = np.full(w, np.iinfo(np.int64).max)
-        at, g = rows.x.to_numpy(), rows.g.to_numpy().astype(np.int64)
-        for s in range(0, len(at), 512):
-            best = np.minimum(best, ((x[:, None] - at[None, s : s + 512]) ** 2 + g[None, s : s + 512]).min(axis=1))
-        return pd.DataFrame({"y": np.full(w, key[0], np.int32), "x": x.astype(np.int32), "d2": best})
-
-    return columns.groupBy("y").applyInPandas(row, "y int, x int, d2 bigint")
+    far = 4 * (h + w) ** 2
+
+    def down(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        inside = np.zeros((h, STRIP), bool)
+        inside[rows.y, rows.x - key[0] * STRIP] = True
+        g = kernels.column_distances(inside, far)
+        bands = range(-(-h // BAND))
+        return pd.DataFrame({"band": pd.Series(bands, dtype="int32"), "strip": np.int32(key[0]), "g": [g[k * BAND : (k + 1) * BAND].tobytes() for k in bands]})
+
+    def across(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        y0 = int(key[0]) * BAND
+        n = min(BAND, h - y0)
+        g = np.full((n, -(-w // STRIP) * STRIP), far, np.int64)
+        for strip, data in zip(parts.strip, parts.g, strict=True):
+            g[:, strip * STRIP : (strip + 1) * STRIP] = np.frombuffer(data, np.int64).reshape(n, STRIP)
+        d2 = kernels.row_minima(g[:, :w])
+        return pd.DataFrame({"y": np.repeat(np.arange(y0, y0 + n, dtype=np.int32), w), "x": np.tile(np.arange(w, dtype=np.int32), n), "d2": d2.ravel()})
+
+    strips = mask.select(*(F.col(k).cast("int").alias(k) for k in YX)).withColumn("s", F.floor(F.col("x") / STRIP).cast("int"))
+    columns = strips.groupBy("s").applyInPandas(down, "band int, strip int, g binary")
+    return columns.groupBy("band").applyInPandas(across, "y int, x int, d2 bigint")
 
 
 def solidity(labels: DataFrame) -> DataFrame:

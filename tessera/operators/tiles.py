@@ -48,6 +48,11 @@ def window_plan(size: tuple[int, int], block: int, overlap: int) -> tuple[tuple[
     return tuple(block + k * step for k in n), tuple(k + 1 for k in n)
 
 
+def box(ty: int, tx: int, tile: int, halo: int, size: tuple[int, int]) -> tuple[int, int, int, int]:
+    """(y0, y1, x0, x1) of a tile with its halo, clipped to the image."""
+    return max(0, ty * tile - halo), min(size[0], (ty + 1) * tile + halo), max(0, tx * tile - halo), min(size[1], (tx + 1) * tile + halo)
+
+
 def run(px: DataFrame, kernel: Callable[[pd.DataFrame, tuple[int, int, int, int]], pd.DataFrame], schema: str, size: tuple[int, int], tile: int = TILE, halo: int = HALO) -> DataFrame:
     """Run ``kernel(rows, (y0, y1, x0, x1))`` on each tile with its halo, clipped to the image; rows outside the core are dropped.
 
@@ -56,8 +61,7 @@ def run(px: DataFrame, kernel: Callable[[pd.DataFrame, tuple[int, int, int, int]
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         ty, tx = (int(k) for k in key)
-        box = (max(0, ty * tile - halo), min(size[0], (ty + 1) * tile + halo), max(0, tx * tile - halo), min(size[1], (tx + 1) * tile + halo))
-        out = kernel(rows, box)
+        out = kernel(rows, box(ty, tx, tile, halo, size))
         return out[(out.y // tile == ty) & (out.x // tile == tx)]
 
     return with_halo(px, tile, halo, size).groupBy("ty", "tx").applyInPandas(one, schema)

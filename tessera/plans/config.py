@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, replace
 
 log = logging.getLogger(__name__)
 
+# Names of the choices that the command lines take.
 CROPS = ("interactiveCrop", "autoCrop", "noCrop", "dearray", "plate")
 CYTO_METHODS = ("hybrid", "distanceTransform", "bwdistanceTransform", "ring")
 NUCLEI_FILTERS = ("IntPM", "LoG", "Int", "none")
@@ -151,15 +152,17 @@ def _segment_options(parser: argparse.ArgumentParser) -> None:
 def segment_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description="Segment cells of a raster")
     _segment_options(parser)
+    parser.add_argument("--rectangle", type=int, nargs=4, help="y, x, height and width for interactiveCrop")
     return parser
 
 
 def parse_segment(argv: list[str]) -> tuple[argparse.Namespace, SegmentConfig]:
     a = segment_parser().parse_args(argv)
     nuclear = max(a.probMapChan, 1)
-    tissue = tuple(dict.fromkeys(c if c > 0 else nuclear for c in a.TissueMaskChan))
+    # without tissue channels the cytoplasm's stand for them; the nuclear channel always goes along
+    tissue = tuple(dict.fromkeys((*(a.CytoMaskChan if a.TissueMaskChan == [0] else a.TissueMaskChan), nuclear)))
     return a, SegmentConfig(
-        a.probMapChan, a.crop, None, a.cytoMethod, a.nucleiFilter, a.nucleiRegion, a.pixelThreshold, a.segmentCytoplasm == "segmentCytoplasm", a.cytoDilation,
+        a.probMapChan, a.crop, tuple(a.rectangle) if a.rectangle else None, a.cytoMethod, a.nucleiFilter, a.nucleiRegion, a.pixelThreshold, a.segmentCytoplasm == "segmentCytoplasm", a.cytoDilation,
         tuple(a.logSigma), tuple(a.CytoMaskChan), tuple(a.pixelMaskChan), tissue, tuple(a.detectPuncta), tuple(a.punctaSigma), tuple(a.punctaSD), a.saveMask, a.saveFig,
     )
 
@@ -177,6 +180,16 @@ def large_parser() -> argparse.ArgumentParser:
     return parser
 
 
+def wrapper_parser() -> argparse.ArgumentParser:
+    parser = argparse.ArgumentParser(description="Segment a large raster and show the result over image channels")
+    parser.add_argument("--imagePath", required=True)
+    parser.add_argument("--stackProbPath", required=True)
+    parser.add_argument("--probMapChan", type=int, nargs="+", default=[1])
+    parser.add_argument("--outputPath", default=".")
+    parser.add_argument("--pixelSize", type=float)
+    return parser
+
+
 def accept_and_warn(parser: argparse.ArgumentParser) -> list[str]:
     """Let a parser take the whole-image options that it lacks, with a warning each; returns them."""
     lacking = sorted(set(segment_parser()._option_string_actions) - set(parser._option_string_actions))

@@ -6,17 +6,19 @@ bound in rows; everything else is relational. Labels are dense numbers in the or
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pixel
 from ..operators import components, frames, kernels, neighbourhood, regions, shapes, threshold, tiles
 from ..operators.frames import YX, join_pixels
-from .config import FLOODING, LOCAL, LargeConfig, SegmentConfig
+from .config import FLOODING, LOCAL, History, LargeConfig, SegmentConfig
 
 
 @dataclass
@@ -82,7 +84,7 @@ def seed_kernel(size: tuple[int, int], sigma: float, h: float, line: bool = True
         smooth = np.pad(255.0 - contour, r, mode="symmetric")
         smooth = np.apply_along_axis(np.convolve, 1, np.apply_along_axis(np.convolve, 0, smooth, w / w.sum(), "valid"), w / w.sum(), "valid")
         peaks = kernels.h_maxima(np.trunc(smooth).astype(np.int64), h)
-        seeds = kernels.components(peaks, 2)
+        seeds = kernels.components(kernels.window_peaks(peaks.astype(np.int8)), 2)  # none on the border
         found = kernels.flood(contour, seeds, tissue, line)
         return tiles.sparse((found > 0).astype(np.int64), box)[["y", "x"]]
 
@@ -127,7 +129,7 @@ def nuclei_local(pmap: DataFrame, size: tuple[int, int], config: SegmentConfig,
 
     def kernel(rows: pd.DataFrame, box: tuple[int, int, int, int]) -> pd.DataFrame:
         contour = tiles.dense(rows, box, "contour")
-        seeds = kernels.components(kernels.h_maxima(255 - contour, h), 2)
+        seeds = kernels.components(kernels.window_peaks(kernels.h_maxima(255 - contour, h).astype(np.int8)), 2)  # none on the border
         return tiles.sparse((kernels.flood(contour, seeds) > 0).astype(np.int64), box)[["y", "x"]]
 
     pieces = tiles.run(pmap.select(*YX, "contour"), kernel, "y int, x int", size, tile, halo)
@@ -183,10 +185,10 @@ def cytoplasm(nuclei_px: DataFrame, image: DataFrame | None, tissue: DataFrame,
     within = frames.union(nuclei_px, tissue)
     markers = nuclei_px
     if method == "ring":
-        surface = d2.select(*YX, F.sqrt(F.col("d2").cast("double")).alias("v"))
+        surface = d2.select(*YX, F.col("d2").alias("v"))  # floods in the same order as its root
         within = neighbourhood.ring(nuclei_px, config.cyto_dilation, size, tissue if config.ring_in_tissue else None)
     elif method == "distanceTransform":
-        surface = d2.select(*YX, F.sqrt(F.col("d2").cast("double")).alias("v"))
+        surface = d2.select(*YX, F.col("d2").alias("v"))
     elif method == "hybrid":
         smooth, scale = neighbourhood.gaussian(image, 2.0, size, edge="nearest")
         rough = smooth.withColumn("v", F.round(F.col("v") / F.lit(float(scale)) * 16).cast("bigint"))
@@ -250,32 +252,110 @@ def qc_stack(labels: DataFrame, contour: DataFrame, image: DataFrame, numbers: l
 # -- the tiled chain ----------------------------------------------------------------------------------
 
 
+def seed_peaks(contour: np.ndarray, config: LargeConfig, top: int) -> np.ndarray:
+    """h-maxima of the smoothed complement of a box; sums are integers, so they don't depend on the box."""
+    smooth, scale = top - contour, 1
+    if config.sigma:
+        w = neighbourhood.gaussian_weights(config.sigma)
+        scale = sum(w) ** 2
+        for axis in (0, 1):
+            p = np.pad(smooth, [(len(w) // 2, len(w) // 2) if k == axis else (0, 0) for k in (0, 1)], mode="symmetric")
+            n = smooth.shape[axis]
+            smooth = sum(k * (p[i : i + n] if axis == 0 else p[:, i : i + n]) for i, k in enumerate(w))
+    return kernels.h_maxima(smooth / (float(scale) * top), config.h, config.footprint_size)
+
+
 class LargeSegmentor:
-    """Smooth, find seeds, flood, filter by area and intensity, number: a lazy chain over ``pmap(y, x, center, contour)``."""
+    """Smooth, find seeds, flood, filter by area and intensity, number: a lazy chain over ``pmap(y, x, center, contour)``.
+
+    Settings are kept by number; ``configure`` adds a number if they change, ``use`` goes back to one, ``trial`` runs
+    steps of the chain, on another map if one is given, and notes what they gave under which settings.
+    """
 
     def __init__(self, pmap: DataFrame, size: tuple[int, int], config: LargeConfig = LargeConfig(), tile: int = 2048, top: int = 255) -> None:
-        self.pmap, self.size, self.config, self.tile, self.top = pmap, size, config, tile, top
+        self.pmap, self.size, self.history, self.tile, self.top = pmap, size, History(config), tile, top
+
+    @property
+    def config(self) -> LargeConfig:
+        return self.history.current
+
+    def configure(self, **changes: object) -> int:
+        return self.history.update(**changes)
+
+    def use(self, number: int) -> LargeConfig:
+        return self.history.use(number)
+
+    def trial(self, *steps: Callable[[], object], pmap: DataFrame | None = None) -> object:
+        own = self.pmap
+
+        def chain() -> object:
+            out = None
+            for step in steps:
+                out = step()
+            return out
+
+        self.pmap = own if pmap is None else pmap
+        try:
+            with self.history.trial(chain) as out:
+                return out
+        finally:
+            self.pmap = own
+
+    def _tiles(self, kernel, schema: str, halo: int) -> DataFrame:
+        """Run ``kernel(center, contour, outer box, inner box)`` on each tile: the outer box has the halo twice, the inner once."""
+        tile, size, top = self.tile, self.size, self.top
+
+        def one(key: tuple, rows: pa.Table) -> pa.Table:
+            ty, tx = (int(k.as_py()) for k in key)
+            outer, inner = tiles.box(ty, tx, tile, 2 * halo, size), tiles.box(ty, tx, tile, halo, size)
+            y, x = (rows[k].to_numpy() for k in YX)
+            maps = []
+            for name, fill in (("center", 0), ("contour", top)):
+                a = np.full((outer[1] - outer[0], outer[3] - outer[2]), fill, np.int64)
+                a[y - outer[0], x - outer[2]] = rows[name].to_numpy()
+                maps.append(a)
+            out = kernel(*maps, outer, inner)
+            own = (out[0] // tile == ty) & (out[1] // tile == tx)
+            return pa.table({f"{n}": pa.array(a[own]) for n, a in zip((f.split()[0] for f in schema.split(", ")), out, strict=True)})
+
+        px = self.pmap.select(*(F.col(k).cast("int").alias(k) for k in YX), *(F.col(k).cast("int").alias(k) for k in ("center", "contour")))
+        return tiles.with_halo(px, tile, 2 * halo, size).drop("is_core").groupBy("ty", "tx").applyInArrow(one, schema)
 
     def seeds(self) -> DataFrame:
-        smooth, scale = neighbourhood.gaussian(self.pmap.select(*YX, pixel.invert(F.col("contour"), self.top).alias("v")), self.config.sigma, self.size)
-        unit = smooth.withColumn("v", F.col("v") / F.lit(float(scale) * self.top))
-        h = self.config.h
+        config, top = self.config, self.top
+
+        def kernel(center: np.ndarray, contour: np.ndarray, outer: tuple, inner: tuple) -> tuple[np.ndarray, ...]:
+            y, x = np.nonzero(seed_peaks(contour, config, top))
+            return (y + outer[0]).astype(np.int32), (x + outer[2]).astype(np.int32)
+
+        return self._tiles(kernel, "y int, x int", self.config.overlap_size)
+
+    def _basins(self) -> DataFrame:
+        """(y, x, label, v): basins with the centre map, from one shuffle to tiles. A basin is named by its seed's least linear
+        index, so that tiles that see the same seed name it alike."""
+        width, config, top = self.size[1], self.config, self.top
 
-        def kernel(rows: pd.DataFrame, box: tuple[int, int, int, int]) -> pd.DataFrame:
-            return tiles.sparse(kernels.h_maxima(tiles.dense(rows, box, "v", 0, float), h).astype(np.int64), box)[["y", "x"]]
+        def kernel(center: np.ndarray, contour: np.ndarray, outer: tuple, inner: tuple) -> tuple[np.ndarray, ...]:
+            seeds = kernels.components(seed_peaks(contour, config, top), 1)
+            y, x = np.nonzero(seeds)
+            names = np.full(int(seeds.max(initial=0)) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(names, seeds[y, x], (y + outer[0]).astype(np.int64) * width + x + outer[2] + 1)
+            names[0] = 0
+            cut = (slice(inner[0] - outer[0], inner[1] - outer[0]), slice(inner[2] - outer[2], inner[3] - outer[2]))
+            found = kernels.flood(contour[cut], names[seeds[cut]])
+            y, x = np.nonzero(found)
+            return (y + inner[0]).astype(np.int32), (x + inner[2]).astype(np.int32), found[y, x], center[cut][y, x].astype(np.int32)
 
-        return tiles.run(unit, kernel, "y int, x int", self.size, self.tile, self.config.overlap_size)
+        return self._tiles(kernel, "y int, x int, label bigint, v int", self.config.overlap_size)
 
     def segmented(self) -> DataFrame:
-        marks = components.label(self.seeds(), self.size[1]).withColumn("label", F.col("label") + 1)
-        surface = self.pmap.select(*YX, F.col("contour").cast("double").alias("v"))
-        return _basins(surface, marks, self.size, self.tile, self.config.overlap_size)
+        return self._basins().drop("v")
 
     def filtered(self) -> DataFrame:
-        labels = _held(self.segmented())
-        objects = regions.measure(labels, self.pmap.select(*YX, F.col("center").alias("v")))
+        basins = _held(self._basins())
+        objects = basins.groupBy("label").agg(F.count("*").alias("area"), F.avg("v").alias("mean_intensity"))
         kept = objects.where(regions.area_from(self.config.area_min, self.config.area_max) & (F.col("mean_intensity") >= self.config.mean_intensity_min))
-        return regions.keep(labels, kept)
+        return regions.keep(basins.drop("v"), kept)
 
     def run(self) -> DataFrame:
         return components.relabelled(self.filtered(), self.size[1])

@@ -16,6 +16,7 @@ from .operators import components, frames, neighbourhood, regions, shapes, thres
 from .operators.frames import YX, join_pixels
 from .plans import segment
 from .plans.config import LargeConfig, SegmentConfig
+from .sources import store
 from .sources.fixtures import DUCK, LI_SHAPE, raster
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,8 +127,9 @@ def s3_pair_read(spark, d):
 
 @query(f"SELECT c, y, x, v FROM {LI} WHERE c < 2")
 def s4_level_channels(spark, d):
-    px = frames.pyramid(raster(spark, d, "li_px"), 1)
-    return frames.channels(frames.level(px, 0), [1, 2]).select("c", "y", "x", "v")
+    path = store.scratch(spark, "image")
+    store.write_pyramid(raster(spark, d, "li_px"), path, LI_SHAPE)
+    return store.read_pyramid(spark, path, 0, [1, 2]).select("c", "y", "x", "v")
 
 
 @query(f"SELECT CAST(floor(y/32) AS INT) ty, CAST(floor(x/32) AS INT) tx, count(*) n, CAST(sum(v) AS BIGINT) s FROM {EMB} GROUP BY 1, 2")
@@ -137,9 +139,15 @@ def s9_rechunk(spark, d):
 
 @query(f"SELECT c, CAST(max(x)+1 AS INT) width, CAST(max(y)+1 AS INT) height, CAST(CASE WHEN c = 0 THEN 0.65 ELSE 1 END AS DOUBLE) pixel_size_x FROM {LI} GROUP BY c")
 def s10_metadata(spark, d):
-    known = spark.createDataFrame([(0, 0.65), (1, None)], "c int, px double")
-    size = raster(spark, d, "li_px").groupBy("c").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
-    return size.join(known, "c", "left").select("c", "width", "height", F.coalesce("px", F.lit(1.0)).alias("pixel_size_x"))
+    """A store for each channel, of which only the first says how large its pixels are."""
+    found = None
+    for c in range(3):
+        path = store.scratch(spark, "image")
+        one = frames.channel(raster(spark, d, "li_px"), c + 1)
+        store.write_pyramid(one, path, frames.shape(one), pixel_sizes=(0.65, 0.65) if c == 0 else (None, None))
+        meta = store.read_meta(spark, path).select(F.lit(c).alias("c"), "width", "height", "pixel_size_x")
+        found = meta if found is None else found.union(meta)
+    return found
 
 
 @query(f"SELECT y, x, 255-v AS v FROM {EMB}")
@@ -321,14 +329,15 @@ def f12_with_nucleus(spark, d):
     return regions.keep(labels, hits).select(*YX, "label")
 
 
-CROPPED = f"(SELECT y-15 AS y, x-15 AS x, lab AS label FROM {BLOB} WHERE y >= 15 AND y < 75 AND x >= 15 AND x < 415)"
+#: The blobs' image without a margin of ten pixels, which cuts the outermost blobs.
+CROPPED = f"(SELECT y-10 AS y, x-10 AS x, lab AS label, h-21 AS bottom FROM {BLOB}, (SELECT max(y)+1 AS h FROM {BLOB}) WHERE y >= 10 AND y < h-10 AND x >= 10 AND x < {BLOB_WIDTH - 10})"
 
 
-@query(f"SELECT y, x, label FROM {CROPPED} WHERE label NOT IN (SELECT label FROM {CROPPED} WHERE y IN (0, 59) OR x IN (0, 399))")
+@query(f"SELECT y, x, label FROM {CROPPED} WHERE label NOT IN (SELECT label FROM {CROPPED} WHERE y IN (0, bottom) OR x IN (0, {BLOB_WIDTH - 21}))")
 def f13_clear_border(spark, d):
-    labels, _ = _blobs(spark, d)
-    cut = frames.shift(frames.crop(labels, 15, 15, 60, 400), -15, -15).select(*YX, "label")
-    return regions.clear_border(cut, (60, 400)).select(*YX, "label")
+    labels, (h, w) = _blobs(spark, d)
+    cut = frames.shift(frames.crop(labels, 10, 10, h - 20, w - 20), -10, -10).select(*YX, "label")
+    return regions.clear_border(cut, (h - 20, w - 20)).select(*YX, "label")
 
 
 @query(f"SELECT y, x, label*10 AS label FROM {COMPANION} WHERE label % 3 = 1")
@@ -392,9 +401,19 @@ def a17_extent(spark, d):
     return frames.extent(_blobs(spark, d)[0])
 
 
-@query()
+#: Hulls in SQL: at each line of corners the hull reaches as far as any straight line between two lines' ends does, and
+#: between lines of corners its sides are straight.
+SOLIDITY = f"""(WITH l AS (SELECT lab, y, min(x) AS a, max(x)+1 AS b, count(*) AS n FROM {BLOB} GROUP BY lab, y),
+    c AS MATERIALIZED (SELECT lab, t, min(a) AS a, max(b) AS b FROM (SELECT lab, y AS t, a, b FROM l UNION ALL SELECT lab, y+1, a, b FROM l) GROUP BY lab, t),
+    e AS (SELECT c.lab, c.t, max(CASE WHEN q.t = p.t THEN p.b ELSE p.b + CAST((q.b-p.b)*(c.t-p.t) AS DOUBLE)/(q.t-p.t) END) - min(CASE WHEN q.t = p.t THEN p.a ELSE p.a + CAST((q.a-p.a)*(c.t-p.t) AS DOUBLE)/(q.t-p.t) END) AS w
+        FROM c JOIN c p ON p.lab = c.lab AND p.t <= c.t JOIN c q ON q.lab = c.lab AND q.t >= c.t GROUP BY c.lab, c.t),
+    h AS (SELECT lab, sum(w) - (arg_min(w, t) + arg_max(w, t))/2 AS hull FROM e GROUP BY lab)
+    SELECT h.lab AS label, CAST(s.area AS BIGINT) AS area, hull, s.area/hull AS solidity FROM h JOIN (SELECT lab, sum(n) AS area FROM l GROUP BY lab) s ON s.lab = h.lab)"""
+
+
+@query(f"SELECT label, area, round(hull, 6) AS hull, round(solidity, 9) AS solidity FROM {SOLIDITY}")
 def a5_solidity(spark, d):
-    return shapes.solidity(_blobs(spark, d)[0])
+    return shapes.solidity(_blobs(spark, d)[0]).withColumns({"hull": F.round("hull", 6), "solidity": F.round("solidity", 9)})
 
 
 # -- neighbourhoods -----------------------------------------------------------------------------------
@@ -635,7 +654,7 @@ def t5_tile_roundtrip(spark, d):
     return tiles.tiled_views(px, 48, 12, size)
 
 
-@query(f"""SELECT CAST(a.ty AS INT) AS ty, CAST(b.tx AS INT) AS tx, count(*) AS n, CAST(sum(v) AS BIGINT) AS s FROM {EMB} p JOIN range(200) a(ty) ON p.y >= a.ty*48-12 AND p.y < (a.ty+1)*48+12 JOIN range(4) b(tx) ON p.x >= b.tx*48-12 AND p.x < (b.tx+1)*48+12
+@query(f"""SELECT CAST(a.ty AS INT) AS ty, CAST(b.tx AS INT) AS tx, count(*) AS n, CAST(sum(v) AS BIGINT) AS s FROM {EMB} p JOIN (SELECT DISTINCT CAST(y//48 AS INT) FROM {EMB}) a(ty) ON p.y >= a.ty*48-12 AND p.y < (a.ty+1)*48+12 JOIN range(4) b(tx) ON p.x >= b.tx*48-12 AND p.x < (b.tx+1)*48+12
     WHERE a.ty*48 < {EMB_SIZE[0]} AND b.tx*48 < 64 GROUP BY 1, 2""")
 def t1_halo_tiles(spark, d):
     px, size = _emb(spark, d)
@@ -662,7 +681,15 @@ def _pmap(spark, d):
     return join_pixels(grid, labels.select(*YX, "v"), "left").select(*YX, v.alias("center"), (255 - v).alias("contour")), labels, size
 
 
-@query()
+#: A peak, higher than ``h``, stays if nothing higher can be reached from it over pixels less than ``h`` below it.
+EIGHT = "(VALUES (0,1),(1,0),(0,-1),(-1,0),(1,1),(1,-1),(-1,1),(-1,-1))"
+
+
+@query(f"""WITH RECURSIVE b AS MATERIALIZED (SELECT y, x, v FROM {BLOB} WHERE v > 0), o AS (SELECT * FROM {EIGHT} t(dy, dx)),
+    lower AS (SELECT DISTINCT b.y, b.x FROM b JOIN o ON true JOIN b n ON n.y = b.y+o.dy AND n.x = b.x+o.dx WHERE n.v > b.v),
+    s AS (SELECT b.* FROM b ANTI JOIN lower ON lower.y = b.y AND lower.x = b.x),
+    r AS (SELECT y AS sy, x AS sx, v AS sv, y, x, v FROM s UNION SELECT r.sy, r.sx, r.sv, b.y, b.x, b.v FROM r JOIN o ON true JOIN b ON b.y = r.y+o.dy AND b.x = r.x+o.dx WHERE r.v <= r.sv AND b.v > r.sv-20)
+    SELECT sy AS y, sx AS x FROM r GROUP BY sy, sx HAVING max(v) <= max(sv)""")
 def w8_h_maxima(spark, d):
     pmap, _, size = _pmap(spark, d)
     from .operators import kernels
@@ -727,7 +754,9 @@ def l21_large_chain(spark, d):
 
 @query(f"SELECT y, x, v FROM {LI} WHERE c = 2")
 def s5_one_channel(spark, d):
-    return frames.channel(frames.level(frames.pyramid(raster(spark, d, "li_px"), 1), 0), 3).select(*YX, "v")
+    path = store.scratch(spark, "image")
+    store.write_pyramid(raster(spark, d, "li_px"), path, LI_SHAPE)
+    return store.read_pyramid(spark, path, 0, [3]).select(*YX, "v")
 
 
 @query(f"SELECT y, x, lab AS label FROM {BLOB}")
@@ -747,7 +776,7 @@ def f14_background_ring(spark, d):
     return neighbourhood.nearest_label(labels, 3, size).where("d2 > 0").select(*YX, "label")
 
 
-@query()
+@query(f"SELECT y, x, lab AS label FROM {BLOB} WHERE lab IN (SELECT label FROM {SOLIDITY} WHERE solidity > 0.8)")
 def f11_solidity(spark, d):
     labels, _ = _blobs(spark, d)
     return regions.keep(labels, shapes.solidity(labels).where("solidity > 0.8")).select(*YX, "label")
@@ -801,13 +830,16 @@ def l20_plate_mask(spark, d):
 
 
 @query(f"""SELECT CAST(ty AS INT) AS ty, CAST(tx AS INT) AS tx, CAST((least((ty+1)*48+12, h) - greatest(ty*48-12, 0)) * (least((tx+1)*48+12, 64) - greatest(tx*48-12, 0)) AS BIGINT) AS inside
-    FROM (SELECT max(y)+1 h FROM {EMB}), range(200) a(ty), range(2) b(tx) WHERE ty*48 < h""")
+    FROM (SELECT max(y)+1 h FROM {EMB}), (SELECT DISTINCT CAST(y//48 AS INT) FROM {EMB}) a(ty), range(2) b(tx)""")
 def t3_padding(spark, d):
     px, size = _emb(spark, d)
     return tiles.with_halo(px, 48, 12, size).groupBy("ty", "tx").agg(F.count("*").alias("inside"))
 
 
-@query()
+@query(f"""WITH k AS (SELECT label, row_number() OVER (ORDER BY min(CAST(y AS BIGINT)*{BLOB_WIDTH}+x)) AS n FROM {COMPANION}
+        WHERE label IN (SELECT label FROM {OBJECTS} WHERE area > 18.75 AND area < 675 AND mean_intensity > (SELECT threshold FROM {_otsu_bins_sql(OBJECTS, value='mean_intensity')}))
+        AND label IN (SELECT label FROM {SOLIDITY} WHERE solidity > 0.8) GROUP BY label)
+    SELECT y, x, CAST(n AS BIGINT) AS label FROM {COMPANION} c JOIN k ON k.label = c.label""")
 def o2_filter_order(spark, d):
     labels, image, size = _companion(spark, d)
     return segment.legacy_filter(labels, image, (size[0], BLOB_WIDTH), SegmentConfig(log_sigma=(5, 30)))

@@ -6,6 +6,9 @@ reads its own folders only.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +18,36 @@ from ..plans.config import UNITS
 TILE = 1024
 
 
-def write_pyramid(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, pixel_sizes: tuple[float, float] = (1.0, 1.0), units: tuple[str, str] = ("µm", "µm"), channel_names: list[str] | None = None, software: str = "") -> None:
-    """Write all levels and, beside them, a row of metadata. pixel_sizes and units are (y, x)."""
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below ``spark.checkpoint.dir``; a temporary folder only in a plain local session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{folder.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+
+
+def write_pyramid(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, pixel_sizes: tuple[float | None, float | None] = (1.0, 1.0), units: tuple[str, str] = ("µm", "µm"), channel_names: list[str] | None = None, software: str = "") -> None:
+    """Write all levels and, beside them, a row of metadata. pixel_sizes and units are (y, x); sizes may be unknown."""
     for u in units:
         if u not in UNITS:
             raise ValueError(f"{u} is no known unit")
     if "c" not in px.columns:
         px = px.withColumn("c", F.lit(0))
     levels, _, _ = frames.pyramid_plan(*size)
+    px = px.select(*(F.col(k).cast("int").alias(k) for k in ("c", "y", "x")), "v")
     tiled = tiles.tile_of(frames.pyramid(px, levels, is_mask), TILE)
     tiled.repartition("level", "c", "ty", "tx").sortWithinPartitions("y", "x").write.mode("overwrite").partitionBy("level", "c", "ty").parquet(f"{path}/tiles")
-    row = [(path.rstrip("/").rsplit("/", 1)[-1], size[1], size[0], float(pixel_sizes[1]), float(pixel_sizes[0]), units[1], channel_names, software)]
-    schema = "image_id string, width int, height int, pixel_size_x double, pixel_size_y double, unit string, channel_names array<string>, software string"
+    row = [(path.rstrip("/").rsplit("/", 1)[-1], size[1], size[0], *(None if p is None else float(p) for p in pixel_sizes[::-1]), units[1], channel_names, software, tiled.schema["v"].dataType.simpleString())]
+    schema = "image_id string, width int, height int, pixel_size_x double, pixel_size_y double, unit string, channel_names array<string>, software string, kind string"
     px.sparkSession.createDataFrame(row, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def read_pyramid(spark: SparkSession, path: str, level: int = 0, numbers: list[int] | None = None) -> DataFrame:
-    """(c, y, x, v, tx, ty) of one level, of all channels or those numbered from 1."""
-    px = frames.level(spark.read.parquet(f"{path}/tiles"), level).drop("level")
+    """(c, y, x, v, tx, ty) of one level, of all channels or those numbered from 1; no rows if no pixel was written."""
+    kind = read_meta(spark, path).first()["kind"]
+    px = frames.level(spark.read.schema(f"y int, x int, v {kind}, tx int, level int, c int, ty int").parquet(f"{path}/tiles"), level).drop("level")
     return px if numbers is None else frames.channels(px, numbers)
 
 
@@ -80,11 +95,15 @@ def puncta_images(spots: DataFrame, labels: DataFrame, image: DataFrame, path: s
 
 
 def save(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, **meta: object) -> None:
-    """Dispatch by suffix: a TIFF file, or a tile store."""
+    """Dispatch by suffix: a TIFF file, a Zarr group, or a tile store."""
     if path.endswith((".tif", ".tiff")):
         from . import tiff
 
         tiff.write(px, path, size, 32 if is_mask else 16, is_mask=is_mask, **meta)
+    elif path.endswith(".zarr"):
+        from . import zarr
+
+        zarr.write(px, path, size, 32 if is_mask else 16, is_mask, **meta)
     elif "." in path.rstrip("/").rsplit("/", 1)[-1]:
         raise ValueError(f"{path}: no writer for this kind of file")
     else:
@@ -92,9 +111,28 @@ def save(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False,
 
 
 def load(spark: SparkSession, path: str, **options: object) -> DataFrame:
-    """Dispatch by suffix: TIFF files, or a tile store."""
+    """Dispatch by suffix: TIFF files (a folder that ``save`` wrote, too), a Zarr group, or a tile store. All are lazy."""
     if path.endswith((".tif", ".tiff")):
         from . import tiff
 
         return tiff.read(spark, path, **options)
+    if path.endswith(".zarr"):
+        from . import zarr
+
+        return zarr.read(spark, path, **options)
     return read_pyramid(spark, path, **options)
+
+
+def described(spark: SparkSession, path: str) -> dict:
+    """Pixel sizes (y, x) of what ``load`` reads, as the file says, and channel names; None where it says nothing."""
+    if path.endswith(".zarr"):
+        from . import zarr
+
+        return zarr.meta(spark, path)
+    if path.endswith((".tif", ".tiff")):
+        from . import tiff
+
+        found = tiff.described(spark, path)
+        return {"pixel_sizes": (found["pixel_size_y"], found["pixel_size_x"]), "channel_names": found["channel_names"]}
+    row = read_meta(spark, path).first()
+    return {"pixel_sizes": (row["pixel_size_y"], row["pixel_size_x"]), "channel_names": row["channel_names"]}

@@ -7,6 +7,7 @@ BigTIFF is written.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -178,6 +179,17 @@ def read(spark: SparkSession, path: str, numbers: list[int] | None = None, rows:
     return files.mapInArrow(run, "image_id string, c int, y int, x int, v bigint")
 
 
+def described(spark: SparkSession, path: str) -> dict[str, object]:
+    """``metadata`` of the first file under ``path``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array([json.dumps(metadata(content.as_py()))])], names=["said"])
+
+    return json.loads(spark.read.format("binaryFile").load(path).select("content").limit(1).mapInArrow(run, "said string").first()["said"])
+
+
 def write(px: DataFrame, path: str, size: tuple[int, int], bits: int = 16, **options: object) -> None:
     """One image of ``(c, y, x, v)`` as a file under ``path``.
 

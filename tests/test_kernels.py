@@ -154,3 +154,34 @@ def test_h_maxima_of_floats():
     image = np.zeros((5, 5))
     image[2, 2] = 255
     assert K.h_maxima(image, 0.01)[2, 2] and K.h_maxima(image / 255, 0.01)[2, 2]
+
+
+def test_distances_rows_and_footprint():
+    rng = np.random.default_rng(21)
+    for h, w, n in ((1, 1, 1), (7, 31, 3), (40, 65, 9), (30, 17, 60), (12, 200, 1)):
+        mask = np.zeros((h, w), bool)
+        mask[rng.integers(0, h, n), rng.integers(0, w, n)] = True
+        y, x = np.indices((h, w))
+        want = np.min([(y - a) ** 2 + (x - b) ** 2 for a, b in zip(*np.nonzero(mask), strict=True)], axis=0)
+        assert np.array_equal(K.squared_distances(mask), want)
+    a = rng.integers(0, 30, (25, 30))
+    for size in (1, 3, 5):
+        p = np.pad(a, size // 2, mode="edge")
+        want = np.array([[p[y : y + size, x : x + size].max() for x in range(30)] for y in range(25)])
+        assert np.array_equal(K._window_max(a, size), want)
+        now = np.minimum(a - 4, a)  # reconstruction, pixel by pixel
+        while True:
+            q = np.pad(now, size // 2, mode="edge")
+            new = np.array([[min(q[y : y + size, x : x + size].max(), a[y, x]) for x in range(30)] for y in range(25)])
+            if np.array_equal(new, now):
+                break
+            now = new
+        assert np.array_equal(K.h_maxima(a, 4, size), a - now >= 4)
+    with pytest.raises(ValueError):
+        K._window_max(a, 4)
+
+
+def test_no_seed_on_the_border():
+    peaks = np.zeros((9, 9), np.int8)
+    peaks[0, 4] = peaks[4, 8] = peaks[5, 5] = 1
+    assert np.argwhere(K.window_peaks(peaks)).tolist() == [[5, 5]]

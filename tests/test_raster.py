@@ -195,3 +195,27 @@ def test_puncta_and_areas(spark):
     stack = frames.stack(px, px)
     areas = {r["c"]: r["area"] for r in segment.pixel_areas(px, stack, px.select("y", "x"), image.shape, limit=50).collect()}
     assert areas[-1] == (image > 0.8 * image.max()).sum() and set(areas) == {-1, 0, 1}
+
+
+def test_distances_and_medians(spark):
+    rng = np.random.default_rng(8)
+    mask = np.zeros((150, 90), bool)
+    mask[rng.integers(0, 150, 40), rng.integers(0, 90, 40)] = True
+    rows = spark.createDataFrame([(int(y), int(x)) for y, x in np.argwhere(mask)], "y int, x int")
+    assert np.array_equal(array(shapes.squared_distance(rows, mask.shape), mask.shape, "d2"), kernels.squared_distances(mask))
+    assert shapes.squared_distance(rows.limit(0), mask.shape).count() == 0
+    for n in (1, 2, 501, 1000):
+        v = rng.integers(-(10**9), 10**9, n)
+        r = threshold.median_mad(spark.createDataFrame([(int(x),) for x in v], "v bigint").repartition(5)).first()
+        assert r["med"] == np.median(v) and r["mad"] == np.median(np.abs(v - np.median(v)))
+
+
+def test_large_chain_tiles(spark, cells):
+    """Basins and seeds don't change with the tile."""
+    _, pmap = cells
+    one, many = (segment.LargeSegmentor(pmap, (60, 60), LargeConfig(overlap_size=16, mean_intensity_min=5, area_max=5000, footprint_size=5), t) for t in (60, 20))
+    assert np.array_equal(array(one.segmented(), (60, 60), "label"), array(many.segmented(), (60, 60), "label"))
+    assert sorted(map(tuple, one.seeds().collect())) == sorted(map(tuple, many.seeds().collect()))
+    row_form, scale = neighbourhood.gaussian(pmap.select("y", "x", (255 - F.col("contour")).alias("v")), 1.0, (60, 60))
+    unit = array(row_form, (60, 60)) / (float(scale) * 255)
+    assert sorted(map(tuple, np.argwhere(kernels.h_maxima(unit, 0.01, 5)).tolist())) == sorted(map(tuple, one.seeds().collect()))

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import registry
-from tessera.plans import config
+from tessera.operators import frames
+from tessera.plans import config, segment
+from tessera.plans.config import LargeConfig
 from tessera.sources import store, tiff
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +54,105 @@ def test_command_lines():
     assert config.output_paths("/o/", "/d/img.ome.tif", 3)["cyto"] == "/o/img/cytoRing.ome.tif"
 
 
+def test_tissue_channels():
+    chans = lambda *a: config.parse_segment(list(a))[1].tissue_chans
+    assert chans() == (2, 1) and chans("--CytoMaskChan", "3", "4") == (3, 4, 1)
+    assert chans("--TissueMaskChan", "3", "--probMapChan", "2") == (3, 2)
+
+
+def disc_image():
+    """Twelve discs: centre map, contour map and two markers."""
+    center = np.zeros((80, 100), int)
+    for k in range(12):
+        cy, cx = 13 + 25 * (k // 4), 13 + 24 * (k % 4)
+        y, x = np.indices(center.shape)
+        d = (y - cy) ** 2 + (x - cx) ** 2
+        center[d < 49] = (250 - 4 * d - (60 if k == 5 else 0))[d < 49]
+    return np.stack([center, 255 - center]).astype(np.uint16), np.stack([center // 2 + 9, (center > 0) * 80 + 5]).astype(np.uint16)
+
+
+def test_whole_run_from_files(spark, tmp_path):
+    from tessera.plans import run
+
+    maps, image = disc_image()
+    image[1, 38, 37] = 240
+    (tmp_path / "maps.tif").write_bytes(tiff.encode(maps, tile=64))
+    (tmp_path / "img.ome.tif").write_bytes(tiff.encode(image, tile=64, pixel_sizes=(0.5, 0.5)))
+    out = f"file://{tmp_path}/out"
+    run.main_segment(["--imagePath", f"file://{tmp_path}/img.ome.tif", "--stackProbPath", f"file://{tmp_path}/maps.tif", "--outputPath", out, "--logSigma", "3", "30", "--nucleiFilter", "none", "--segmentCytoplasm", "segmentCytoplasm", "--cytoDilation", "3", "--detectPuncta", "2", "--punctaSigma", "1"])
+    masks = {n: store.read_pyramid(spark, f"{out}/img/{n}") for n in ("nuclei", "cyto", "cell", "nucleiRing", "cytoRing", "cellRing")}
+    assert masks["nucleiRing"].select("v").distinct().count() == 2 == masks["cellRing"].select("v").distinct().count()  # the others' basins reach the border
+    assert masks["cytoRing"].join(masks["nucleiRing"], ["y", "x"]).count() == 0
+    assert store.read_meta(spark, f"{out}/img/nuclei").first()["pixel_size_x"] == 0.5
+    lines = "".join(open(f).read() for f in glob.glob(f"{tmp_path}/out/numSpots_chan2.csv/part-*")).split()
+    assert len(lines) >= 11 and sum(float(x.strip('"')) for x in lines) >= 1
+    assert store.read_pyramid(spark, f"{out}/img/punctaChan2Outlines").select("c").distinct().count() == 2
+    cut = run.whole_image(spark, f"file://{tmp_path}/img.ome.tif", [f"file://{tmp_path}/maps.tif"], f"file://{tmp_path}/crop", config.SegmentConfig(crop="interactiveCrop", rectangle=(0, 0, 40, 100), log_sigma=(3, 30), nuclei_filter="none"))
+    assert cut["nuclei"].agg(F.max("y")).first()[0] < 40
+
+
+@pytest.mark.parametrize("suffix", [".zarr", ""])
+def test_large_run_from_files(spark, tmp_path, suffix):
+    from tessera.plans import run
+
+    maps, image = disc_image()
+    (tmp_path / "maps.tif").write_bytes(tiff.encode(maps, tile=64))
+    out = f"file://{tmp_path}/r/nucleiRing{suffix}"
+    run.main_large(["-i", f"file://{tmp_path}/maps.tif", "-o", out, "--overlap-size", "16", "--mean-intensity-min", "5", "--area-max", "5000", "--expand-size", "2", "--mcmicro", "--crop", "noCrop"])
+    nuclei, cell, cyto = (store.load(spark, f"file://{tmp_path}/r/{n}Ring{suffix}").where("v > 0") for n in ("nuclei", "cell", "cyto"))
+    assert nuclei.select("v").distinct().count() >= 12 and cell.count() == nuclei.count() + cyto.count()
+    strict = LargeConfig(overlap_size=16, mean_intensity_min=5, area_max=5000)
+    px = store.load(spark, f"file://{tmp_path}/maps.tif", numbers=[1, 2])
+    chain = segment.LargeSegmentor(frames.pair(px.where("c = 0"), px.where("c = 1")), (80, 100), strict, 40)
+    plain = chain.run().count()
+    assert chain.configure(area_max=100) == 1 and chain.trial(chain.run, lambda: chain.run().count()) < plain
+    assert chain.use(0).area_max == 5000 and chain.trial(lambda: 1 / 0) is None and len(chain.history.trials) == 2
+    other = chain.pmap.where("x < 50")
+    assert chain.trial(lambda: chain.pmap.count(), pmap=other) == other.count() and chain.pmap.count() == 8000
+
+
+def test_wrapper_run(spark, tmp_path):
+    from tessera.plans import run
+
+    maps, image = disc_image()
+    for name, a in (("maps.zarr", maps), ("img.zarr", image)):
+        rows = [(c, y, x, int(a[c, y, x])) for c in range(2) for y in range(80) for x in range(100)]
+        store.save(spark.createDataFrame(rows, "c int, y int, x int, v int"), f"file://{tmp_path}/{name}", (80, 100), pixel_sizes=(0.3, 0.3))
+    run.main_wrapper(["--imagePath", f"file://{tmp_path}/img.zarr", "--stackProbPath", f"file://{tmp_path}/maps.zarr", "--probMapChan", "1", "2", "--outputPath", f"file://{tmp_path}/o", "--pixelSize", "0.7", "--overlap-size", "16", "--mean-intensity-min", "5", "--area-max", "5000"])
+    qc = store.load(spark, f"file://{tmp_path}/o/img/qc/nucleiRing-qc.ome.tif")
+    assert qc.select("c").distinct().count() == 4 and store.described(spark, f"file://{tmp_path}/o/img/qc/nucleiRing-qc.ome.tif")["pixel_sizes"] == (0.7, 0.7)
+
+
+def test_zarr(spark, tmp_path):
+    import json
+    import zlib
+
+    a = np.random.default_rng(0).integers(0, 60000, (2, 1100, 40))
+    px = spark.createDataFrame([(c, int(y), int(x), int(a[c, y, x])) for c in range(2) for y in range(0, 1100, 7) for x in range(40)], "c int, y int, x int, v int")
+    store.save(px, f"file://{tmp_path}/a.zarr", (1100, 40), pixel_sizes=(2.0, 3.0), channel_names=["p", "q"])
+    back = store.load(spark, f"file://{tmp_path}/a.zarr", numbers=[2])
+    want = np.zeros((1100, 40), int)
+    want[::7] = a[1, ::7]
+    got = np.zeros((1100, 40), int)
+    for r in back.collect():
+        assert r["c"] == 1
+        got[r["y"], r["x"]] = r["v"]
+    assert np.array_equal(got, want)
+    assert store.described(spark, f"file://{tmp_path}/a.zarr") == {"pixel_sizes": (2.0, 3.0), "channel_names": ["p", "q"]}
+    assert store.load(spark, f"file://{tmp_path}/a.zarr", level=1).count() == 2 * 550 * 20
+    for compressor, pack in (({"id": "gzip"}, lambda b: __import__("gzip").compress(b)), (None, bytes), ({"id": "zlib"}, zlib.compress), ({"id": "zstd"}, lambda b: __import__("zstandard").compress(b))):
+        other = tmp_path / f"b{(compressor or {}).get('id')}.zarr"
+        other.mkdir()
+        (other / ".zarray").write_text(json.dumps({"zarr_format": 2, "shape": [5, 7], "chunks": [4, 4], "dtype": ">f4", "order": "C", "fill_value": 0, "filters": None, "compressor": compressor}))
+        whole = np.arange(64, dtype=">f4").reshape(8, 8)
+        for i in (0, 1):
+            for j in (0, 1):
+                (other / f"{i}.{j}").write_bytes(pack(whole[4 * i : 4 * i + 4, 4 * j : 4 * j + 4].tobytes()))
+        assert {(r["y"], r["x"]): r["v"] for r in store.load(spark, f"file://{other}").collect()} == {(y, x): float(8 * y + x) for y in range(5) for x in range(7)}
+    with pytest.raises(ValueError):
+        store.load(spark, f"file://{tmp_path}/none.zarr")
+
+
 def test_tiff_file(spark, tmp_path):
     a = (np.arange(3 * 90 * 70).reshape(3, 90, 70) % 4001).astype(np.uint16)
     data = tiff.encode(a, tile=32, pixel_sizes=(0.5, 0.65), channel_names=["x", "y", "z"], software="s")

@@ -65,6 +65,10 @@ def encode(text: str | None, path: str, end_id: int = 1) -> np.ndarray:
     return np.array(own, "<u4")
 
 
+def _short(ids: np.ndarray) -> bytes:
+    return ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else ids.tobytes()
+
+
 def combinations(window: int, depth: int = 3) -> np.ndarray:
     """All sorted combinations of up to ``depth`` (2 or 3) positive lengths that sum to the window; zero fills a place."""
     a = np.arange(1, window // 2 + 1)
@@ -183,7 +187,7 @@ def measured(docs: DataFrame, path: str, id_col: str, text_col: str, window: int
     """Lengths and CRCs of each document, with its ranks within the task that read it.
 
     part: the task's number; rank: earlier rests of this length in it; before: earlier whole pieces in it; ids, with
-    ``keep`` only: the ids, four bytes each.
+    ``keep`` only: the ids, two bytes each if that is enough for all of a document's, else four.
     """
     base = picked(docs, id=id_col, text=text_col)
     names = ["id", "part", "rank", "before", "tokens", "full", "rest", "rest_crc", "ids"]
@@ -200,7 +204,7 @@ def measured(docs: DataFrame, path: str, id_col: str, text_col: str, window: int
                     rest = len(ids) % window
                     cut = len(ids) - rest
                     full = [zlib.crc32(ids[i : i + window]) for i in range(0, cut, window)]
-                    rows.append((seen[rest], before, len(ids), full, rest, zlib.crc32(ids[cut:]) if rest else None, ids.tobytes() if keep else None))
+                    rows.append((seen[rest], before, len(ids), full, rest, zlib.crc32(ids[cut:]) if rest else None, _short(ids) if keep else None))
                     seen[rest] += 1
                     before += len(full)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.binary())
@@ -254,8 +258,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             cols = [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6
             if keep_ids:  # a document's pieces follow each other, so its ids are theirs one after the other
                 ends = np.cumsum([0, *(r[1] for r in rows)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(x.as_py() for x in b.column(7)), "<i4")
-                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                flat = [np.frombuffer(x.as_py(), "<u2" if len(x.as_py()) == 2 * n.as_py() else "<u4") for x, n in zip(b.column(7), b.column(1), strict=True)]
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype("<i4") if flat else np.empty(0, "<i4"))))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *cols], names=names)
 
     kind = placed.schema["id"].dataType.simpleString()

@@ -670,6 +670,12 @@ def test_packing(spark, docs, rows, empty):
     assert Counter((r["doc_id"], r["start"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in kept) == Counter((i, s, c) for i, s, _, c, _ in want.elements())
 
 
+def test_short_ids():
+    for x in ([1, 5, 65535], [1, 65536], []):
+        raw = packing._short(np.array(x, "<u4"))
+        assert len(raw) == len(x) * (2 if max(x, default=0) < 65536 else 4) and np.frombuffer(raw, "<u2" if len(raw) == 2 * len(x) else "<u4").tolist() == x
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=400, deadline=None)
 def test_ids_are_those_of_tokenizers(text):

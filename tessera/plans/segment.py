@@ -215,6 +215,7 @@ def puncta(spot: DataFrame, mask: DataFrame, sigma: float, sd: float, size: tupl
     peaks = neighbourhood.local_maxima(response, size)
     if foreground:
         peaks = join_pixels(peaks, spot.where("v > 0").select(*YX), "left_semi")
+    peaks = _held(peaks)  # few rows, read by two medians and the filter
     stats = threshold.median_mad(peaks)
     bright = peaks.join(F.broadcast(stats)).where(F.col("v") > F.col("med") + F.lit(1.4826 * sd) * F.col("mad"))  # one row
     return frames.intersect(bright.select(*YX), mask)

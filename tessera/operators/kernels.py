@@ -51,12 +51,13 @@ def _window_max(a: np.ndarray, size: int = 3) -> np.ndarray:
     """Maximum over windows of an odd ``size``, the image's edge repeated."""
     if size % 2 == 0:
         raise ValueError("a window has a middle pixel, so its size is odd")
-    for axis in (0, 1):
-        p = np.pad(a, [(size // 2, size // 2) if k == axis else (0, 0) for k in (0, 1)], mode="edge")
-        parts = [p[k : k + a.shape[0]] if axis == 0 else p[:, k : k + a.shape[1]] for k in range(size)]
-        a = parts[0].copy()
-        for x in parts[1:]:
-            np.maximum(a, x, out=a)
+    for flip in (False, True):  # down the columns, then along the rows; beyond the edge there is nothing new
+        a = a.T if flip else a
+        out = a.copy()
+        for k in range(1, min(size // 2, len(a) - 1) + 1):
+            np.maximum(out[k:], a[:-k], out=out[k:])
+            np.maximum(out[:-k], a[k:], out=out[:-k])
+        a = out.T if flip else out
     return a
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, langid, license_scan, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
+from . import chroma, filter_audit, langid, license_scan, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
 from .support import bucket, load, tune, written
 
 
@@ -86,8 +86,14 @@ def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_warc_dictionary, op2_byte_cnn_language, op3_chroma_alignment, op4_secret_forest, op5_license_templates, op6_pivot_topk, op7_source_mix, op8_simhash_popcount, op9_lexicon_toxicity, op10_nnls_packing)}
+    own = (op1_warc_dictionary, op2_byte_cnn_language, op3_chroma_alignment, op4_secret_forest, op5_license_templates, op6_pivot_topk, op7_source_mix, op8_simhash_popcount, op9_lexicon_toxicity, op10_nnls_packing)
+    return {f.__name__: f for f in (*own, op13_filter_audit)}
 
 
 OP1_SQL = """
@@ -109,4 +115,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_dictionary": OP1_SQL, "op6_pivot_topk": OP6_SQL}
+    return {"op1_warc_dictionary": OP1_SQL, "op6_pivot_topk": OP6_SQL, "op13_filter_audit": filter_audit.SQL}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, filter_audit, langid, license_scan, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
-from .support import bucket, load, tune, written
+from . import chroma, filter_audit, langid, license_scan, merkle, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
+from .support import bucket, load, picked, tune, written
 
 
 def tokenizer_path() -> str:
@@ -86,6 +86,19 @@ def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's leaf, roots and proof, and what its path says of the document as a careless copy would have it."""
+    tune(spark)
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = picked(load(spark, sf_dir, "documents"), **{n: n for n in names})
+    whole = merkle.leaf(*map(F.col, names))
+    careless = merkle.leaf(*map(F.col, names[:-1]), F.replace("text", F.lit("\n"), F.lit("")))
+    seen = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, careless)
+    found = merkle.manifest(docs.select(F.col("source").alias("group_by"), F.col("doc_id").alias("id"), whole.alias("leaf"), seen.alias("carried")))
+    found = found.withColumn("folded_root", merkle.folded(F.coalesce("carried", "leaf"), F.col("path")))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -93,7 +106,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     own = (op1_warc_dictionary, op2_byte_cnn_language, op3_chroma_alignment, op4_secret_forest, op5_license_templates, op6_pivot_topk, op7_source_mix, op8_simhash_popcount, op9_lexicon_toxicity, op10_nnls_packing)
-    return {f.__name__: f for f in (*own, op13_filter_audit)}
+    return {f.__name__: f for f in (*own, op12_merkle_manifest, op13_filter_audit)}
 
 
 OP1_SQL = """
@@ -115,4 +128,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_dictionary": OP1_SQL, "op6_pivot_topk": OP6_SQL, "op13_filter_audit": filter_audit.SQL}
+    return {"op1_warc_dictionary": OP1_SQL, "op6_pivot_topk": OP6_SQL, "op12_merkle_manifest": merkle.SQL, "op13_filter_audit": filter_audit.SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, filter_audit, langid, license_scan, merkle, mixing, packing, pivot_topk, secret_scan, simhash, toxicity, warc
+from . import chroma, filter_audit, langid, license_scan, merkle, mixing, packing, pivot_topk, secret_scan, simhash, text_sketch, toxicity, warc
 from .support import bucket, load, picked, tune, written
 
 
@@ -86,6 +86,11 @@ def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_text_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return text_sketch.edited_versions(load(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's leaf, roots and proof, and what its path says of the document as a careless copy would have it."""
     tune(spark)
@@ -106,7 +111,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     own = (op1_warc_dictionary, op2_byte_cnn_language, op3_chroma_alignment, op4_secret_forest, op5_license_templates, op6_pivot_topk, op7_source_mix, op8_simhash_popcount, op9_lexicon_toxicity, op10_nnls_packing)
-    return {f.__name__: f for f in (*own, op12_merkle_manifest, op13_filter_audit)}
+    return {f.__name__: f for f in (*own, op11_text_sketch, op12_merkle_manifest, op13_filter_audit)}
 
 
 OP1_SQL = """

@@ -34,8 +34,6 @@ MOST_WAVES = 100_000
 
 PARAGRAPH = r"[^.!?\n]{0,160}[.!?\n]+|[^.!?\n]{1,160}"
 
-_CHECK = np.uint64(0xFFFFFFFF)
-
 
 def digests(text: Column) -> Column:
     """The digests of a text's paragraphs in order; of a null text none."""
@@ -60,6 +58,10 @@ def _cells(keys: np.ndarray, cells: int) -> np.ndarray:
     return np.stack([((m >> np.uint64(21 * k)) % np.uint64(third)).astype(np.int64) + k * third for k in range(3)])
 
 
+def _checks(keys: np.ndarray) -> np.ndarray:
+    return _mixed(keys, 2).astype(np.uint32)
+
+
 def told_apart(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Digests that are distinct within an owner: a repeated one is mixed with the number of times it came before."""
     order = np.lexsort((keys, owner))
@@ -80,15 +82,14 @@ class Sketches:
         self.n, self.cells = n, cells
         self.count = np.zeros(n * cells, np.int64)
         self.total = np.zeros(n * cells, np.uint64)
-        self.check = np.zeros(n * cells, np.uint64)
+        self.check = np.zeros(n * cells, np.uint32)
 
     def add(self, owner: np.ndarray, keys: np.ndarray, sign: np.ndarray | int = 1) -> None:
         at = (owner * self.cells + _cells(keys, self.cells)).ravel()
         sign = np.tile(np.broadcast_to(np.asarray(sign, np.int64), keys.shape), 3)
-        turn = sign.astype(np.uint64)  # -1 wraps, as sums do
         np.add.at(self.count, at, sign)
-        np.add.at(self.total, at, np.tile(keys, 3) * turn)
-        np.add.at(self.check, at, np.tile(_mixed(keys, 2) & _CHECK, 3) * turn)
+        np.add.at(self.total, at, np.tile(keys, 3) * sign.astype(np.uint64))  # -1 wraps, as sums do
+        np.add.at(self.check, at, np.tile(_checks(keys), 3) * sign.astype(np.uint32))
 
     def minus(self, other: Sketches) -> Sketches:
         out = Sketches(self.n, self.cells)
@@ -106,7 +107,7 @@ class Sketches:
             one = np.abs(sign) == 1
             at, sign = live[one], sign[one]
             key = self.total[at] * sign.astype(np.uint64)
-            pure = ((_mixed(key, 2) & _CHECK) * sign.astype(np.uint64)) == self.check[at]
+            pure = _checks(key) * sign.astype(np.uint32) == self.check[at]
             owner, key, sign = at[pure] // self.cells, key[pure], sign[pure]
             if not len(owner):
                 break
@@ -139,7 +140,7 @@ def parsed(fingerprints: list[str]) -> Sketches:
         raise ValueError(f"fingerprints of sizes {sorted(cells)}")
     packed = np.frombuffer(b"".join(raw), [("count", "<i4"), ("total", "<u8"), ("check", "<u4")])
     out = Sketches(len(raw), cells.pop())
-    out.count, out.total, out.check = packed["count"].astype(np.int64), packed["total"].copy(), packed["check"].astype(np.uint64)
+    out.count, out.total, out.check = packed["count"].astype(np.int64), packed["total"].copy(), packed["check"].copy()
     return out
 
 

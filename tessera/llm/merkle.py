@@ -164,7 +164,8 @@ def manifest(rows: DataFrame) -> DataFrame:
     carried = F.unhex("carried") if carries else F.lit(None).cast("binary")
     # the name of a group can be long; beyond the sort its digest tells it apart
     flat = rows.select(F.col("group_by").cast("string").alias("g"), "id", F.unhex("leaf").alias("leaf"), carried.alias("carried"), F.monotonically_increasing_id().alias("row"))
-    flat = flat.orderBy(F.col("g").asc_nulls_first(), F.col("id").asc_nulls_last(), "leaf", "row")
+    # digests are computed once, and the sort reads them instead of texts
+    flat = written(flat, "leaves").orderBy(F.col("g").asc_nulls_first(), F.col("id").asc_nulls_last(), "leaf", "row")
     nodes, trees, most = _numbered(flat.select(F.unhex(F.sha2("g", 256)), "leaf", "id", "carried").rdd.map(lambda r: (r[0] and bytes(r[0]), bytes(r[1]), (r[2], r[3] and bytes(r[3])))))
     if not trees:
         return spark.createDataFrame([], schema)

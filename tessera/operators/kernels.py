@@ -62,13 +62,35 @@ def _window_max(a: np.ndarray, size: int = 3) -> np.ndarray:
 
 
 def reconstruct(seed: np.ndarray, limit: np.ndarray, size: int = 3) -> np.ndarray:
-    """Grey reconstruction by dilation over square windows."""
+    """Grey reconstruction by dilation over square windows.
+
+    Whole passes as long as much changes, then a queue: only pixels that see one which rose are looked at again.
+    """
     now = np.minimum(seed, limit)
     while True:
         grown = np.minimum(_window_max(now, size), limit)
-        if np.array_equal(grown, now):
-            return now
+        rose = grown != now
         now = grown
+        n = np.count_nonzero(rose)
+        if not n:
+            return now
+        if n * 16 * size * size < now.size:
+            break
+    r = size // 2
+    h, w = now.shape
+    wide = w + 2 * r
+    least = now.min()
+    flat, most = (np.pad(a, r, constant_values=least).ravel() for a in (now, limit))
+    steps = np.array([dy * wide + dx for dy in range(-r, r + 1) for dx in range(-r, r + 1) if dy or dx])
+    at = np.flatnonzero(np.pad(rose, r).ravel())
+    while len(at):
+        near = (at[:, None] + steps).ravel()
+        near = np.unique(near[most[near] > flat[near]])
+        value = np.minimum(flat[near[:, None] + steps].max(axis=1, initial=least), most[near])
+        up = value > flat[near]
+        at = near[up]
+        flat[at] = value[up]
+    return flat.reshape(h + 2 * r, wide)[r : r + h, r : r + w]
 
 
 def h_maxima(image: np.ndarray, h: float, size: int = 3) -> np.ndarray:
@@ -204,6 +226,109 @@ def _pixels(out: np.ndarray, level: np.ndarray, done: np.ndarray, steps: np.ndar
     out[:] = labels
 
 
+def flood_open(surface: np.ndarray, markers: np.ndarray, heard: dict[tuple[int, int], np.ndarray], mask: np.ndarray | None = None, line: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``flood`` of a part of an image: (basins, level, wave), given when the pixels around it were flooded.
+
+    ``heard`` holds, for the sides (-1, 0), (1, 0), (0, -1), (0, 1), records of level, wave and label of the pixels beyond; label 0
+    is not flooded, or a line. Wave k of a level is what the level's wave k - 1 reached; markers are there before all,
+    with wave -1. A pixel beyond takes part at its time like any other, but is not decided here.
+    """
+    h, w = surface.shape
+    wide = w + 2
+    padded = (h + 4, wide)  # a row more above and below, so that what lies beyond has neighbours
+    here = (slice(2, -2), slice(1, -1))
+    out, closed, level = np.zeros(padded, np.int64), np.ones(padded, bool), np.zeros(padded, np.int64)
+    closed[here] = False if mask is None else ~mask
+    out[here] = np.where(closed[here], 0, markers)
+    index = np.arange(out.size).reshape(padded)
+    beyond = {(-1, 0): index[1, 1:-1], (1, 0): index[-2, 1:-1], (0, -1): index[2:-2, 0], (0, 1): index[2:-2, -1]}
+    known = [(beyond[side][on], edge["level"][on], edge["wave"][on], edge["label"][on]) for side, edge in heard.items() for on in (edge["label"] > 0,)]
+    e_at, e_level, e_wave, e_label = (np.concatenate(a) for a in zip(*known, strict=True)) if known else (np.empty(0, np.int64),) * 4
+    values, rank = np.unique(np.concatenate([surface.ravel(), e_level[e_wave >= 0]]), return_inverse=True)
+    level[here] = rank[: h * w].reshape(h, w)
+    out, level, done = out.ravel(), level.ravel(), (closed | (out > 0)).ravel()
+    first = e_wave < 0
+    out[e_at[first]] = e_label[first]
+    e_at, e_wave, e_label, e_level = e_at[~first], e_wave[~first], e_label[~first], rank[h * w :]
+    order = np.lexsort((e_at, e_wave, e_level))
+    e_at, e_wave, e_label, e_level = e_at[order], e_wave[order], e_label[order], e_level[order]
+    steps = np.array([-wide, -1, 1, wide])
+    waiting: dict[int, list[np.ndarray]] = {}
+    turns: list[int] = np.unique(e_level).tolist()
+    heapq.heapify(turns)
+    when, turn = np.zeros(len(out), np.int64), np.full(len(out), -1, np.int32)
+
+    def reach(kept: np.ndarray, now: int) -> np.ndarray:
+        near = (kept[:, None] + steps).ravel()
+        near = np.unique(near[~done[near]])
+        done[near] = True
+        due = level[near] <= now
+        later = near[~due]
+        if len(later):
+            sort = np.argsort(level[later], kind="stable")
+            at, start = np.unique(level[later][sort], return_index=True)
+            for k, part in zip(at.tolist(), np.split(later[sort], start[1:]), strict=True):
+                if k not in waiting:
+                    waiting[k] = []
+                    heapq.heappush(turns, k)
+                waiting[k].append(part)
+        return near[due]
+
+    reach(np.flatnonzero(out), -1)
+    place = np.full(len(out), -1)
+    cursor = 0
+    while turns:
+        now = heapq.heappop(turns)
+        if turns and turns[0] == now:
+            continue
+        wave, k = (np.sort(np.concatenate(waiting.pop(now))) if now in waiting else np.empty(0, np.int64)), 0
+        while True:
+            more = cursor < len(e_at) and e_level[cursor] == now
+            if not len(wave):
+                if not more:
+                    break
+                k = int(e_wave[cursor])
+            end = cursor
+            while end < len(e_at) and e_level[end] == now and e_wave[end] == k:
+                end += 1
+            theirs, names, cursor = e_at[cursor:end], e_label[cursor:end], end
+            when[wave], turn[wave] = now, k
+            kept = _decided(out, place, wave, theirs, names, steps, line)
+            wave, k = reach(np.concatenate([kept, theirs]), now), k + 1
+    basins, when, turn = (a.reshape(padded)[here] for a in (out, when, turn))
+    return basins, np.where(turn < 0, 0, values[when] if len(values) else 0), turn
+
+
+def _decided(out: np.ndarray, place: np.ndarray, wave: np.ndarray, theirs: np.ndarray, names: np.ndarray, steps: np.ndarray, line: bool) -> np.ndarray:
+    """Label one wave, beside the pixels beyond that have their labels at the same time; returns what keeps one."""
+    seen = out[wave[:, None] + steps]
+    high = seen.max(axis=1, initial=0)
+    if not line:
+        out[wave] = seen[np.arange(len(wave)), np.argmax(seen > 0, axis=1)]
+        out[theirs] = names
+        return wave
+    alive = np.flatnonzero(np.where(seen > 0, seen, high[:, None]).min(axis=1, initial=np.iinfo(np.int64).max) == high)
+    pixel, label = np.concatenate([wave[alive], theirs]), np.concatenate([high[alive], names])
+    order = np.argsort(pixel)
+    pixel, label, settled = pixel[order], label[order], (order >= len(alive))
+    place[pixel] = np.arange(len(pixel))
+    other = place[pixel[:, None] + steps]
+    rival = (other >= 0) & (label[other] != label[:, None])
+    state = np.zeros(len(pixel), np.int8)  # 0 open, 1 kept, 2 line
+    state[settled | ~rival.any(axis=1)] = 1
+    earlier = rival & (other < np.arange(len(pixel))[:, None])
+    while True:
+        open_ = np.flatnonzero(state == 0)
+        if not len(open_):
+            break
+        before = np.where(earlier[open_], state[other[open_]], 2)
+        state[open_[(before == 1).any(axis=1)]] = 2
+        state[open_[(before == 2).all(axis=1)]] = 1
+    place[pixel] = -1
+    out[pixel[state == 1]] = label[state == 1]
+    return pixel[(state == 1) & ~settled]
+
+
 def column_distances(mask: np.ndarray, far: int) -> np.ndarray:
     """Squared distance of each pixel to the nearest member of its column; ``far`` where there is none."""
     y = np.arange(len(mask))[:, None]

@@ -51,28 +51,68 @@ NEAR_AGAINST = frozenset(("example", "sample", "dummy", "placeholder", "fake", "
 PATH_AGAINST = ("test", "example", "sample", "doc", "mock", "fixture", "spec", "lock", "vendor", "readme", "demo")
 PATH_FOR = ("config", ".env", "secret", "deploy", "settings", "credential", "prod")
 
-_VALUE = r"""["'`]?([^\s"'`,;<>|)]{6,})"""
-_ASSIGNED = re.compile(r"[\w.\-]*[\"'\]]{0,2}\s{0,4}(?::=|=>|==?|:)\s{0,4}" + _VALUE)
+_LEAD = re.compile(r"[\w.\-]*[\"'\]]{0,2}\s{0,4}(?::=|=>|==?|:)\s{0,4}(?:(?:bearer|basic|token)\s{1,4})?", re.I)
+_QUOTED = {q: re.compile(rf"{q}((?:\\.|[^{q}\\\n]){{6,}}){q}") for q in "\"'`"}
+_BARE = re.compile(r"[^\s\"'`<>|]{6,}")
+_IN_URL = re.compile(r"(?<=://)[^\s:/@\"'<>]*:([^\s@\"'<>]{3,})@")
 _RUN = re.compile(r"[\w.\-]*")
 _PREFIXED = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"{re.escape(p)}[A-Za-z0-9_\\-]{{{n},}}" for p, n in PREFIXES.items()) + ")")
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,}+-----END [A-Z ]{0,30}PRIVATE KEY-----")
+_BEGIN, _END = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}-----"), re.compile(r"-----END [A-Z0-9 ]{0,40}-----")
+#: A line of a key block: encoded bytes, a header, or nothing.
+_KEY_LINE = re.compile(r"[ \t]*(?:[A-Za-z0-9+/=]+|[A-Za-z][A-Za-z0-9\-]*:[^\n]*)?[ \t\r]*(?:\n|\Z)")
 _MIXED = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
 _WORD = re.compile(r"[^\W_]+")
 _NAMED = re.compile("|".join(map(re.escape, NAMES)), re.I)
 
 
+def _blocks(text: str) -> list[tuple[int, int, str]]:
+    """Key blocks: from a BEGIN line to its END line, or over all lines that look like a key's if it is cut off."""
+    found, at = [], 0
+    while m := _BEGIN.search(text, at):
+        at = m.end()
+        if "PRIVATE KEY" not in m.group():
+            continue
+        end, following = _END.search(text, at), _BEGIN.search(text, at)
+        if end and not (following and following.start() < end.start()):
+            at = end.end()
+        else:
+            stop = following.start() if following else len(text)
+            while at < stop and (line := _KEY_LINE.match(text, at)) and line.end() > at:
+                at = min(line.end(), stop)
+        if text[m.end() : at].strip():  # a BEGIN line alone is none
+            found.append((m.start(), m.start() + len(text[m.start() : at].rstrip()), "block"))
+    return found
+
+
+def _value(text: str, at: int) -> tuple[int, int] | None:
+    """The span of the value that begins at ``at``: to the closing quote of a quoted one, else to the end of its run of characters."""
+    quote = text[at : at + 1]
+    if quote in _QUOTED:
+        if m := _QUOTED[quote].match(text, at):
+            return m.span(1)
+        at += 1
+    m = _BARE.match(text, at)
+    if not m:
+        return None
+    value = m.group().rstrip(",;.:)]}")  # what ends a list or a sentence isn't the value's
+    return (at, at + len(value)) if len(value) >= 6 else None
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind), in order, without overlaps; of overlapping ones the earlier kind in the list below stays."""
     found: list[tuple[int, int, str]] = []
     if "-----BEGIN" in text:
-        found += [(*m.span(), "block") for m in _BLOCK.finditer(text)]
+        found += _blocks(text)
+    if "://" in text:
+        found += [(*m.span(1), "assigned") for m in _IN_URL.finditer(text)]
     found += [(*m.span(), "prefix") for m in _PREFIXED.finditer(text)] if any(p in text for p in PREFIXES) else []
     at = 0
     while m := _NAMED.search(text, at):  # what follows a name, to the end of its run of characters if nothing is assigned
-        hit = _ASSIGNED.match(text, m.end())
+        lead = _LEAD.match(text, m.end())
+        hit = lead and _value(text, lead.end())
         if hit:
-            found.append((*hit.span(1), "assigned"))
-        at = (hit or _RUN.match(text, m.end())).end()
+            found.append((*hit, "assigned"))
+        at = hit[1] if hit else _RUN.match(text, m.end()).end()
     found += [(*m.span(), "mixed") for m in _MIXED.finditer(text)]
     kept: list[tuple[int, int, str]] = []
     rank = {"block": 0, "prefix": 1, "assigned": 2, "mixed": 3}

@@ -248,14 +248,15 @@ def gaussian(blocks: Blocks, sigma: float, edge: str = "reflect", truncate: floa
 Rim = dict[tuple[int, int], bytes]
 #: A time: level and wave. Given one, a step leaves out what it hears of that time and later.
 Time = tuple[float, int]
-Step = Callable[[dict[str, np.ndarray], Box, Rim, Time | None], tuple[dict[str, np.ndarray], Rim]]
+#: ``step(arrays, box, rim, until, before)``; ``before`` are the bands that it found when the tile ran last.
+Step = Callable[[dict[str, np.ndarray], Box, Rim, Time | None, dict[str, np.ndarray] | None], tuple[dict[str, np.ndarray], Rim]]
 
 #: Rounds after which what is not settled yet is forgotten, see ``relaxed``.
 PATIENCE = 8
 
 
 def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callable[[bytes, bytes], Time] | None = None, most_rounds: int = 10_000) -> Blocks:
-    """The fixed point of ``step(arrays, box, rim, until)``, which returns a tile's result and what each neighbour must know of it.
+    """The fixed point of a step, which returns a tile's result and what each neighbour must know of it.
 
     ``rim`` holds what the neighbours, by direction, said last; empty messages are as none. Each round runs the tiles to which a
     neighbour said something new. Messages of a tile are eight at most; blocks are read again only where a tile runs again.
@@ -278,7 +279,8 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
                 ty, tx = row["ty"], row["tx"]
                 box = plan.box(ty, tx)
                 rim = {(m["dy"], m["dx"]): m["data"] for m in row["rim"] or () if m["data"]}
-                found, said = step({n: unpack(row[n], k, _shape(box)) for n, k in plan.bands.items()}, box, rim, until)
+                before = {n: unpack(row[f"was_{n}"], k, _shape(box)) for n, k in out.bands.items()} if row["rim"] is not None and until is None else None
+                found, said = step({n: unpack(row[n], k, _shape(box)) for n, k in plan.bands.items()}, box, rim, until, before)
                 sent = [{"ty": ty + dy, "tx": tx + dx, "dy": -dy, "dx": -dx, "data": said.get((dy, dx), b"")} for dy, dx in AROUND if 0 <= ty + dy < ny and 0 <= tx + dx < nx]
                 made = _row(ty, tx, found, out)
                 yield pa.RecordBatch.from_arrays([*made.columns, pa.array([sent], arrow_sent)], [*made.schema.names, "sent"])
@@ -293,10 +295,15 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
 
     _tune(blocks.frame)
     way = [*KEY, "dy", "dx"]
-    source, said, rounds, until = blocks.frame.select(*KEY, *own, F.lit(None).cast(rims).alias("rim")), None, [], None
+    was = [F.lit(None).cast("binary").alias(f"was_{n}") for n in out.bands]
+    source, said, latest, until = blocks.frame.select(*KEY, *own, *was, F.lit(None).cast(rims).alias("rim")), None, None, None
     for k in range(1, most_rounds):
         made = held(Blocks(source.mapInArrow(run(until), schema), blocks.size, blocks.tile, bands), "relaxed").frame
-        rounds.append(made)
+        # each tile as it ran last
+        results = made.drop("sent")
+        latest = results if latest is None else latest.join(made.select(*KEY), KEY, "left_anti").unionByName(results)
+        if k % PATIENCE == 0:
+            latest = held(replace(out, frame=latest), "latest").frame
         now = made.select(F.explode("sent").alias("s")).select("s.*")
         if said is None:
             said = now.withColumns({"was": F.lit(b""), "new": F.length("data") > 0})
@@ -315,13 +322,10 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
         else:
             until = None
         again = said.join(due, KEY, "left_semi").groupBy(*KEY).agg(F.collect_list(F.struct("dy", "dx", "data")).alias("rim"))
-        source = blocks.frame.join(again, KEY).select(*KEY, *own, "rim")
+        source = blocks.frame.join(again, KEY).join(latest.select(*KEY, *(F.col(n).alias(f"was_{n}") for n in out.bands)), KEY)
     else:
         raise RuntimeError(f"tiles did not settle in {most_rounds} rounds")
-    # each tile as it ran last
-    last = reduce(DataFrame.unionByName, (t.select(*KEY, F.lit(k).alias("round")) for k, t in enumerate(rounds))).groupBy(*KEY).agg(F.max("round").alias("round"))
-    parts = [t.drop("sent").join(last.where(F.col("round") == k).select(*KEY), KEY, "left_semi") if len(rounds) > 1 else t.drop("sent") for k, t in enumerate(rounds)]
-    return replace(out, frame=reduce(DataFrame.unionByName, parts))
+    return replace(out, frame=latest)
 
 
 def rising(seed: Callable[[np.ndarray], np.ndarray], band: str, side: int = 3) -> Step:
@@ -337,16 +341,21 @@ def rising(seed: Callable[[np.ndarray], np.ndarray], band: str, side: int = 3) -
         """Where a neighbour's strip of shape ``there`` lies around a tile of ``shape``, r pixels wide on every side."""
         return tuple(slice(r, r + n) if not d else slice(r - m, r) if d < 0 else slice(r + n, r + n + m) for d, n, m in zip((dy, dx), shape, there, strict=True))
 
-    def step(arrays: dict[str, np.ndarray], box: Box, rim: Rim, until: Time | None = None) -> tuple[dict[str, np.ndarray], Rim]:
+    def step(arrays: dict[str, np.ndarray], box: Box, rim: Rim, until: Time | None = None, before: dict[str, np.ndarray] | None = None) -> tuple[dict[str, np.ndarray], Rim]:
         image = arrays[band].astype(np.int64)
         shape = image.shape
-        low, limit = (np.pad(a, r, constant_values=least) for a in (seed(image), image))
+        # messages only rise, so that what was found holds, and more where they have
+        low, limit = (np.pad(a, r, constant_values=least) for a in (seed(image) if before is None else before["low"], image))
         for (dy, dx), data in rim.items():
             n = np.frombuffer(data[:8], "<i4")
             said = unpack(data[8:], "<i8", tuple(n))
             at = around(dy, dx, shape, said.shape)
             low[at] = limit[at] = said
-        now = kernels.reconstruct(low, limit, side)[r : r + shape[0], r : r + shape[1]]
+        rose = None
+        if before is not None:
+            rose = np.ones(low.shape, bool)
+            rose[r : r + shape[0], r : r + shape[1]] = False
+        now = kernels.reconstruct(low, limit, side, rose)[r : r + shape[0], r : r + shape[1]]
         said = {}
         for dy, dx in AROUND:
             cut = now[strip(dy, dx, shape)]
@@ -367,13 +376,10 @@ def reconstructed(blocks: Blocks, seed: Callable[[np.ndarray], np.ndarray], band
     return relaxed(blocks, rising(seed, band, side), {**blocks.bands, "low": "<i8"})
 
 
-_EVENT = np.dtype([("level", "<f8"), ("wave", "<i4"), ("label", "<i8")])
-
-
 def _events(data: bytes) -> np.ndarray:
     """A border as it was said: the number of its pixels, then a record for each."""
     n = int.from_bytes(data[:4], "little")
-    return unpack(data[4:], _EVENT, (n, 1))[:, 0]
+    return unpack(data[4:], kernels.EVENT, (n, 1))[:, 0]
 
 
 def first_difference(old: bytes, new: bytes) -> Time:
@@ -388,32 +394,91 @@ def first_difference(old: bytes, new: bytes) -> Time:
 
 
 def flooding(surface: str = "v", markers: str = "label", mask: str | None = None, line: bool = True) -> Step:
-    """The step of ``flooded``: borders say when each pixel was flooded, and with which label."""
+    """The step of ``flooded``: borders say when each pixel was flooded, and with which label. Bands level and wave are kept for the
+    next run."""
     sides = {(-1, 0): np.s_[0, :], (1, 0): np.s_[-1, :], (0, -1): np.s_[:, 0], (0, 1): np.s_[:, -1]}
 
-    def step(arrays: dict[str, np.ndarray], box: Box, rim: Rim, until: Time | None = None) -> tuple[dict[str, np.ndarray], Rim]:
+    def step(arrays: dict[str, np.ndarray], box: Box, rim: Rim, until: Time | None = None, before: dict[str, np.ndarray] | None = None) -> tuple[dict[str, np.ndarray], Rim]:
         heard = {side: _events(data).copy() for side, data in rim.items()}
         if until is not None:
             for edge in heard.values():
                 late = (edge["wave"] >= 0) & ((edge["level"] > until[0]) | ((edge["level"] == until[0]) & (edge["wave"] >= until[1])))
                 edge[late] = 0
-        basins, level, wave = kernels.flood_open(arrays[surface], arrays[markers].astype(np.int64), heard, None if mask is None else arrays[mask].astype(bool), line)
+        last = None
+        if before is not None:
+            last = np.empty(_shape(box), kernels.EVENT)
+            for name, band in (("level", "level"), ("wave", "wave"), ("label", markers)):
+                last[name] = before[band]
+        found = kernels.flood_open(arrays[surface], arrays[markers].astype(np.int64), heard, None if mask is None else arrays[mask].astype(bool), line, last)
         said = {}
         for side, at in sides.items():
-            edge = np.zeros(len(basins[at]), _EVENT)
-            on = basins[at] > 0
-            for name, a in (("level", level), ("wave", wave), ("label", basins)):
-                edge[name] = np.where(on, a[at], 0)
-            said[side] = len(edge).to_bytes(4, "little") + pack(edge, _EVENT) if on.any() else b""
-        return {**{n: a for n, a in arrays.items() if n != markers}, markers: basins}, said
+            edge = found[at]
+            said[side] = len(edge).to_bytes(4, "little") + pack(edge, kernels.EVENT) if edge["label"].any() else b""
+        return {**{n: a for n, a in arrays.items() if n != markers}, markers: found["label"], "level": found["level"], "wave": found["wave"]}, said
 
     return step
 
 
 def flooded(blocks: Blocks, surface: str = "v", markers: str = "label", mask: str | None = None, line: bool = True) -> Blocks:
-    """Marker-controlled watershed of the whole image, as ``kernels.flood`` does it, for any tile; band ``markers`` becomes the basins.
+    """Marker-controlled watershed of the whole image, as ``kernels.flood`` does it, for any tile; band ``markers`` becomes the basins,
+    and surface and mask are left out.
 
     A tile's border pixels tell their neighbours when they were flooded, as level and wave, and with which label. As a pixel
     depends on what came before it only, tiles that run until no border says anything new have flooded in the one right order.
     """
-    return relaxed(blocks, flooding(surface, markers, mask, line), {**blocks.bands, markers: "<i8"}, first_difference)
+    rest = {n: k for n, k in blocks.bands.items() if n not in (surface, markers, mask)}
+    found = relaxed(blocks, flooding(surface, markers, mask, line), {**rest, markers: "<i8", "level": "<f8", "wave": "<i4"}, first_difference)
+    return Blocks(found.frame.drop("level", "wave"), found.size, found.tile, {**rest, markers: "<i8"})
+
+
+# -- objects ------------------------------------------------------------------------------------------
+
+
+def joined(one: Blocks, other: Blocks) -> Blocks:
+    """The bands of two tilings of the same image in one."""
+    if (one.size, one.tile) != (other.size, other.tile):
+        raise ValueError("the tiles differ")
+    return Blocks(one.frame.join(other.frame, KEY), one.size, one.tile, {**one.bands, **other.bands})
+
+
+def measured(blocks: Blocks, label: str = "label", value: str | None = None) -> DataFrame:
+    """(ty, tx, label, area, total, first): what each tile has of each object, ``first`` being its least linear index."""
+    plan = blocks.plan
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            box = plan.box(row["ty"], row["tx"])
+            at = np.flatnonzero(labels := unpack(row[label], plan.bands[label], _shape(box)))
+            names, first, which = np.unique(labels.ravel()[at], return_index=True, return_inverse=True)
+            y, x = np.divmod(at[first], _shape(box)[1])
+            total = np.zeros(len(names), np.int64)
+            if value:
+                np.add.at(total, which, unpack(row[value], plan.bands[value], _shape(box)).ravel()[at].astype(np.int64))
+            columns = [np.full(len(names), row["ty"], np.int32), np.full(len(names), row["tx"], np.int32), names.astype(np.int64), np.bincount(which, minlength=len(names)), total, (y + box[0]).astype(np.int64) * plan.size[1] + x + box[2]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*KEY, "label", "area", "total", "first"])
+
+    return blocks.frame.select(*KEY, *filter(None, (label, value))).mapInArrow(run, "ty int, tx int, label long, area long, total long, first long")
+
+
+def renamed(blocks: Blocks, parts: DataFrame, names: DataFrame, label: str = "label") -> DataFrame:
+    """(y, x, label) with the labels that ``names(label, number)`` has, by their numbers; ``parts`` says which tiles have which labels."""
+    plan = blocks.plan
+    theirs = parts.select(*KEY, "label").join(names, "label").groupBy(*KEY).agg(F.collect_list(F.struct("label", "number")).alias("names"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                box = plan.box(batch["ty"][i].as_py(), batch["tx"][i].as_py())
+                labels = unpack(batch[label][i].as_py(), plan.bands[label], _shape(box))
+                pairs = batch["names"][i].values
+                old, new = (pairs.field(n).to_numpy() for n in ("label", "number"))
+                order = np.argsort(old)
+                old, new = old[order], new[order]
+                y, x = np.nonzero(labels)
+                at = np.minimum(np.searchsorted(old, labels[y, x]), len(old) - 1)
+                on = old[at] == labels[y, x]
+                y, x, number = (y + box[0]).astype(np.int32)[on], (x + box[2]).astype(np.int32)[on], new[at][on]
+                for k in range(0, len(y), 1 << 18):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[k : k + (1 << 18)]) for a in (y, x, number)], ["y", "x", "label"])
+
+    return blocks.frame.select(*KEY, label).join(theirs, KEY).mapInArrow(run, "y int, x int, label long")

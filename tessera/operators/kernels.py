@@ -61,21 +61,22 @@ def _window_max(a: np.ndarray, size: int = 3) -> np.ndarray:
     return a
 
 
-def reconstruct(seed: np.ndarray, limit: np.ndarray, size: int = 3) -> np.ndarray:
+def reconstruct(seed: np.ndarray, limit: np.ndarray, size: int = 3, rose: np.ndarray | None = None) -> np.ndarray:
     """Grey reconstruction by dilation over square windows.
 
-    Whole passes as long as much changes, then a queue: only pixels that see one which rose are looked at again.
+    Whole passes as long as much changes, then a queue: only pixels that see one which rose are looked at again. Where ``seed``
+    is a reconstruction but for some pixels that ``rose``, the queue begins with these.
     """
     now = np.minimum(seed, limit)
-    while True:
+    while rose is None:
         grown = np.minimum(_window_max(now, size), limit)
-        rose = grown != now
+        changed = grown != now
         now = grown
-        n = np.count_nonzero(rose)
+        n = np.count_nonzero(changed)
         if not n:
             return now
         if n * 16 * size * size < now.size:
-            break
+            rose = changed
     r = size // 2
     h, w = now.shape
     wide = w + 2 * r
@@ -226,41 +227,95 @@ def _pixels(out: np.ndarray, level: np.ndarray, done: np.ndarray, steps: np.ndar
     out[:] = labels
 
 
-def flood_open(surface: np.ndarray, markers: np.ndarray, heard: dict[tuple[int, int], np.ndarray], mask: np.ndarray | None = None, line: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``flood`` of a part of an image: (basins, level, wave), given when the pixels around it were flooded.
+#: A pixel's flooding: level and wave, and its label; label 0 is not flooded, or a line. Markers have wave -1.
+EVENT = np.dtype([("level", "<f8"), ("wave", "<i4"), ("label", "<i8")])
+
+
+def _ringed(a: np.ndarray) -> np.ndarray:
+    return np.pad(a, ((2, 2), (1, 1)))
+
 
-    ``heard`` holds, for the sides (-1, 0), (1, 0), (0, -1), (0, 1), records of level, wave and label of the pixels beyond; label 0
-    is not flooded, or a line. Wave k of a level is what the level's wave k - 1 reached; markers are there before all,
-    with wave -1. A pixel beyond takes part at its time like any other, but is not decided here.
+def flood_open(surface: np.ndarray, markers: np.ndarray, heard: dict[tuple[int, int], np.ndarray], mask: np.ndarray | None = None, line: bool = True, before: np.ndarray | None = None) -> np.ndarray:
+    """``flood`` of a part of an image as ``EVENT`` of each pixel, given when the pixels around it were flooded.
+
+    ``heard`` holds, for the sides (-1, 0), (1, 0), (0, -1), (0, 1), the events of the pixels beyond. Wave k of a level is what
+    the level's wave k - 1 reached; markers are there before all. A pixel beyond takes part at its time like any other,
+    but is not decided here.
+
+    ``before`` is the result with other events around. Then only basins at the border flood anew, among the events of the others; where
+    that changes what others have seen, they flood anew as well, until nothing that others see has changed.
     """
     h, w = surface.shape
-    wide = w + 2
-    padded = (h + 4, wide)  # a row more above and below, so that what lies beyond has neighbours
     here = (slice(2, -2), slice(1, -1))
-    out, closed, level = np.zeros(padded, np.int64), np.ones(padded, bool), np.zeros(padded, np.int64)
-    closed[here] = False if mask is None else ~mask
-    out[here] = np.where(closed[here], 0, markers)
-    index = np.arange(out.size).reshape(padded)
-    beyond = {(-1, 0): index[1, 1:-1], (1, 0): index[-2, 1:-1], (0, -1): index[2:-2, 0], (0, 1): index[2:-2, -1]}
-    known = [(beyond[side][on], edge["level"][on], edge["wave"][on], edge["label"][on]) for side, edge in heard.items() for on in (edge["label"] > 0,)]
-    e_at, e_level, e_wave, e_label = (np.concatenate(a) for a in zip(*known, strict=True)) if known else (np.empty(0, np.int64),) * 4
-    values, rank = np.unique(np.concatenate([surface.ravel(), e_level[e_wave >= 0]]), return_inverse=True)
-    level[here] = rank[: h * w].reshape(h, w)
-    out, level, done = out.ravel(), level.ravel(), (closed | (out > 0)).ravel()
-    first = e_wave < 0
-    out[e_at[first]] = e_label[first]
-    e_at, e_wave, e_label, e_level = e_at[~first], e_wave[~first], e_label[~first], rank[h * w :]
-    order = np.lexsort((e_at, e_wave, e_level))
+    state = np.zeros((h + 4, w + 2), EVENT)  # a row more above and below, so that what lies beyond has neighbours
+    beyond = {(-1, 0): np.s_[1, 1:-1], (1, 0): np.s_[-2, 1:-1], (0, -1): np.s_[2:-2, 0], (0, 1): np.s_[2:-2, -1]}
+    for side, events in heard.items():
+        state[beyond[side]] = events
+    open_ = _ringed(np.ones((h, w), bool) if mask is None else mask)
+    marks = np.where(open_, _ringed(markers), 0)
+    heights = _ringed(surface)
+    if before is None:
+        _flood_among(state, open_, heights, marks, line)
+        return state[here]
+    state[here] = before
+    label = state["label"]
+    ring = np.zeros_like(open_)
+    ring[1:-1] = True
+    ring[3:-3, 2:-2] = False
+    again = np.zeros_like(open_)
+    touched = ring
+    while True:
+        again |= _spread(np.isin(label, np.unique(label[touched])) & (label > 0) | touched) & open_
+        new = state.copy()
+        _flood_among(new, again, heights, marks, line)
+        changed = new != state
+        # pixels that flood anew, beside one that doesn't
+        seen = changed & again & _spread(open_ & ~again)
+        if not seen.any():
+            return new[here]
+        touched = _spread(_spread(seen)) & open_
+
+
+def _spread(mask: np.ndarray) -> np.ndarray:
+    """A mask with its neighbours across edges."""
+    out = mask.copy()
+    out[1:] |= mask[:-1]
+    out[:-1] |= mask[1:]
+    out[:, 1:] |= mask[:, :-1]
+    out[:, :-1] |= mask[:, 1:]
+    return out
+
+
+def _flood_among(state: np.ndarray, open_: np.ndarray, heights: np.ndarray, marks: np.ndarray, line: bool) -> None:
+    """Flood the open pixels in ``state``; the events of the others beside them stand."""
+    wide = state.shape[1]
+    beside = _spread(open_) & ~open_ & (state["label"] > 0)
+    e_at = np.flatnonzero(beside)
+    events = state.ravel()[e_at]
+    inside = np.flatnonzero(open_)
+    values, rank = np.unique(np.concatenate([heights.ravel()[inside], events["level"][events["wave"] >= 0]]), return_inverse=True)
+    level = np.zeros(state.size, np.int64)
+    level[inside] = rank[: len(inside)]
+    out, done = np.where(open_, marks, 0).ravel(), (~open_ | (marks > 0)).ravel()
+    first = events["wave"] < 0
+    out[e_at[first]] = events["label"][first]
+    e_at, e_wave, e_label, e_level = e_at[~first], events["wave"][~first], events["label"][~first], rank[len(inside) :]
+    order = np.lexsort((e_wave, e_level))
     e_at, e_wave, e_label, e_level = e_at[order], e_wave[order], e_label[order], e_level[order]
+    bounds = np.flatnonzero(np.r_[True, (e_level[1:] != e_level[:-1]) | (e_wave[1:] != e_wave[:-1]), True]) if len(e_at) else np.zeros(1, np.int64)
+    groups = [(int(e_level[i]), int(e_wave[i]), i, j) for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)][::-1]
     steps = np.array([-wide, -1, 1, wide])
     waiting: dict[int, list[np.ndarray]] = {}
-    turns: list[int] = np.unique(e_level).tolist()
-    heapq.heapify(turns)
+    turns = sorted({g[0] for g in groups})
     when, turn = np.zeros(len(out), np.int64), np.full(len(out), -1, np.int32)
+    place = np.full(len(out), -1)
 
     def reach(kept: np.ndarray, now: int) -> np.ndarray:
         near = (kept[:, None] + steps).ravel()
-        near = np.unique(near[~done[near]])
+        near = near[~done[near]]
+        place[near] = np.arange(len(near))
+        near = near[place[near] == np.arange(len(near))]  # each once
+        place[near] = -1
         done[near] = True
         due = level[near] <= now
         later = near[~due]
@@ -275,28 +330,32 @@ def flood_open(surface: np.ndarray, markers: np.ndarray, heard: dict[tuple[int,
         return near[due]
 
     reach(np.flatnonzero(out), -1)
-    place = np.full(len(out), -1)
-    cursor = 0
+    none = np.empty(0, np.int64)
     while turns:
         now = heapq.heappop(turns)
         if turns and turns[0] == now:
             continue
-        wave, k = (np.sort(np.concatenate(waiting.pop(now))) if now in waiting else np.empty(0, np.int64)), 0
+        wave, k = (np.concatenate(waiting.pop(now)) if now in waiting else none), 0
         while True:
-            more = cursor < len(e_at) and e_level[cursor] == now
-            if not len(wave):
-                if not more:
-                    break
-                k = int(e_wave[cursor])
-            end = cursor
-            while end < len(e_at) and e_level[end] == now and e_wave[end] == k:
-                end += 1
-            theirs, names, cursor = e_at[cursor:end], e_label[cursor:end], end
+            theirs = names = none
+            if groups and groups[-1][0] == now:
+                if not len(wave):
+                    k = groups[-1][1]
+                if groups[-1][1] == k:
+                    _, _, i, j = groups.pop()
+                    theirs, names = e_at[i:j], e_label[i:j]
+            elif not len(wave):
+                break
             when[wave], turn[wave] = now, k
             kept = _decided(out, place, wave, theirs, names, steps, line)
-            wave, k = reach(np.concatenate([kept, theirs]), now), k + 1
-    basins, when, turn = (a.reshape(padded)[here] for a in (out, when, turn))
-    return basins, np.where(turn < 0, 0, values[when] if len(values) else 0), turn
+            wave, k = reach(np.concatenate([kept, theirs]) if len(theirs) else kept, now), k + 1
+    flat = state.reshape(-1)
+    found = np.zeros(len(inside), EVENT)
+    found["label"] = out[inside]
+    on = found["label"] > 0
+    found["wave"] = np.where(on, turn[inside], 0)
+    found["level"] = np.where(on & (turn[inside] >= 0), values[when[inside]] if len(values) else 0, 0)
+    flat[inside] = found
 
 
 def _decided(out: np.ndarray, place: np.ndarray, wave: np.ndarray, theirs: np.ndarray, names: np.ndarray, steps: np.ndarray, line: bool) -> np.ndarray:
@@ -307,26 +366,27 @@ def _decided(out: np.ndarray, place: np.ndarray, wave: np.ndarray, theirs: np.nd
         out[wave] = seen[np.arange(len(wave)), np.argmax(seen > 0, axis=1)]
         out[theirs] = names
         return wave
-    alive = np.flatnonzero(np.where(seen > 0, seen, high[:, None]).min(axis=1, initial=np.iinfo(np.int64).max) == high)
-    pixel, label = np.concatenate([wave[alive], theirs]), np.concatenate([high[alive], names])
-    order = np.argsort(pixel)
-    pixel, label, settled = pixel[order], label[order], (order >= len(alive))
+    alive = ((seen == 0) | (seen == high[:, None])).all(axis=1)
+    pixel, label = wave[alive], high[alive]
+    n = len(pixel)
+    if len(theirs):
+        pixel, label = np.concatenate([pixel, theirs]), np.concatenate([label, names])
     place[pixel] = np.arange(len(pixel))
     other = place[pixel[:, None] + steps]
+    place[pixel] = -1
     rival = (other >= 0) & (label[other] != label[:, None])
-    state = np.zeros(len(pixel), np.int8)  # 0 open, 1 kept, 2 line
-    state[settled | ~rival.any(axis=1)] = 1
-    earlier = rival & (other < np.arange(len(pixel))[:, None])
+    state = np.ones(len(pixel), np.int8)  # 0 open, 1 kept, 2 line
+    state[:n][rival[:n].any(axis=1)] = 0
+    rival[:, 2:] = False  # of rivals only those above and to the left come first
     while True:
         open_ = np.flatnonzero(state == 0)
         if not len(open_):
             break
-        before = np.where(earlier[open_], state[other[open_]], 2)
+        before = np.where(rival[open_], state[other[open_]], 2)
         state[open_[(before == 1).any(axis=1)]] = 2
         state[open_[(before == 2).all(axis=1)]] = 1
-    place[pixel] = -1
     out[pixel[state == 1]] = label[state == 1]
-    return pixel[(state == 1) & ~settled]
+    return pixel[:n][state[:n] == 1]
 
 
 def column_distances(mask: np.ndarray, far: int) -> np.ndarray:

@@ -6,17 +6,17 @@ bound in rows; everything else is relational. Labels are dense numbers in the or
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pixel
-from ..operators import components, frames, kernels, neighbourhood, regions, shapes, threshold, tiles
+from ..operators import blocks, components, frames, kernels, neighbourhood, regions, shapes, threshold, tiles
 from ..operators.frames import YX, join_pixels
 from .config import FLOODING, LOCAL, History, LargeConfig, SegmentConfig
 
@@ -253,19 +253,6 @@ def qc_stack(labels: DataFrame, contour: DataFrame, image: DataFrame, numbers: l
 # -- the tiled chain ----------------------------------------------------------------------------------
 
 
-def seed_peaks(contour: np.ndarray, config: LargeConfig, top: int) -> np.ndarray:
-    """h-maxima of the smoothed complement of a box; sums are integers, so they don't depend on the box."""
-    smooth, scale = top - contour, 1
-    if config.sigma:
-        w = neighbourhood.gaussian_weights(config.sigma)
-        scale = sum(w) ** 2
-        for axis in (0, 1):
-            p = np.pad(smooth, [(len(w) // 2, len(w) // 2) if k == axis else (0, 0) for k in (0, 1)], mode="symmetric")
-            n = smooth.shape[axis]
-            smooth = sum(k * (p[i : i + n] if axis == 0 else p[:, i : i + n]) for i, k in enumerate(w))
-    return kernels.h_maxima(smooth / (float(scale) * top), config.h, config.footprint_size)
-
-
 class LargeSegmentor:
     """Smooth, find seeds, flood, filter by area and intensity, number: a lazy chain over ``pmap(y, x, center, contour)``.
 
@@ -302,64 +289,52 @@ class LargeSegmentor:
         finally:
             self.pmap = own
 
-    def _tiles(self, kernel, schema: str, halo: int) -> DataFrame:
-        """Run ``kernel(center, contour, outer box, inner box)`` on each tile: the outer box has the halo twice, the inner once."""
-        tile, size, top = self.tile, self.size, self.top
-
-        def one(key: tuple, rows: pa.Table) -> pa.Table:
-            ty, tx = (int(k.as_py()) for k in key)
-            outer, inner = tiles.box(ty, tx, tile, 2 * halo, size), tiles.box(ty, tx, tile, halo, size)
-            y, x = (rows[k].to_numpy() for k in YX)
-            maps = []
-            for name, fill in (("center", 0), ("contour", top)):
-                a = np.full((outer[1] - outer[0], outer[3] - outer[2]), fill, np.int64)
-                a[y - outer[0], x - outer[2]] = rows[name].to_numpy()
-                maps.append(a)
-            out = kernel(*maps, outer, inner)
-            own = (out[0] // tile == ty) & (out[1] // tile == tx)
-            return pa.table({f"{n}": pa.array(a[own]) for n, a in zip((f.split()[0] for f in schema.split(", ")), out, strict=True)})
-
-        px = self.pmap.select(*(F.col(k).cast("int").alias(k) for k in YX), *(F.col(k).cast("int").alias(k) for k in ("center", "contour")))
-        return tiles.with_halo(px, tile, 2 * halo, size).drop("is_core").groupBy("ty", "tx").applyInArrow(one, schema)
+    def _maps(self) -> blocks.Blocks:
+        """Both maps as array tiles, in one shuffle of the pixels."""
+        px = self.pmap.select(*YX, "center", "contour")
+        return blocks.held(blocks.from_pixels(px, self.size, {"center": "<i4", "contour": "<i4"}, self.tile, {"contour": self.top}), "maps")
+
+    def _seeds(self, maps: blocks.Blocks) -> blocks.Blocks:
+        """h-maxima of the smoothed complement, in integers, so that they are those of the whole image."""
+        top = self.top
+        contour = replace(maps, frame=maps.frame.select(*blocks.KEY, "contour"), bands={"contour": "<i4"})
+        ridge = blocks.mapped(contour, lambda arrays, box: {"v": top - arrays["contour"].astype(np.int64)}, {"v": "<i8"})
+        smooth, scale = blocks.gaussian(ridge, self.config.sigma)
+        # a difference of integers is h or more if it is the next integer or more
+        h = max(1, math.ceil(self.config.h * scale * top * (1 - 1e-12)))
+        low = blocks.reconstructed(blocks.held(smooth, "smooth"), lambda v: v - h, "v", self.config.footprint_size)
+        return blocks.mapped(low, lambda arrays, box: {"seed": arrays["v"] - arrays["low"] >= h}, {"seed": "|b1"})
 
     def seeds(self) -> DataFrame:
-        config, top = self.config, self.top
-
-        def kernel(center: np.ndarray, contour: np.ndarray, outer: tuple, inner: tuple) -> tuple[np.ndarray, ...]:
-            y, x = np.nonzero(seed_peaks(contour, config, top))
-            return (y + outer[0]).astype(np.int32), (x + outer[2]).astype(np.int32)
-
-        return self._tiles(kernel, "y int, x int", self.config.overlap_size)
+        return blocks.to_pixels(self._seeds(self._maps()), "seed").select(*YX)
 
-    def _basins(self) -> DataFrame:
-        """(y, x, label, v): basins with the centre map, from one shuffle to tiles. A basin is named by its seed's least linear
-        index, so that tiles that see the same seed name it alike."""
-        width, config, top = self.size[1], self.config, self.top
-
-        def kernel(center: np.ndarray, contour: np.ndarray, outer: tuple, inner: tuple) -> tuple[np.ndarray, ...]:
-            seeds = kernels.components(seed_peaks(contour, config, top), 1)
-            y, x = np.nonzero(seeds)
-            names = np.full(int(seeds.max(initial=0)) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(names, seeds[y, x], (y + outer[0]).astype(np.int64) * width + x + outer[2] + 1)
-            names[0] = 0
-            cut = (slice(inner[0] - outer[0], inner[1] - outer[0]), slice(inner[2] - outer[2], inner[3] - outer[2]))
-            found = kernels.flood(contour[cut], names[seeds[cut]])
-            y, x = np.nonzero(found)
-            return (y + inner[0]).astype(np.int32), (x + inner[2]).astype(np.int32), found[y, x], center[cut][y, x].astype(np.int32)
-
-        return self._tiles(kernel, "y int, x int, label bigint, v int", self.config.overlap_size)
+    def _basins(self) -> blocks.Blocks:
+        """Basins with the centre map; a basin is named by its seed's least linear index, plus one."""
+        maps = self._maps()
+        seeds = blocks.to_pixels(self._seeds(maps), "seed").select(*YX)
+        names = components.label(seeds, self.size[1], tile=self.tile).withColumn("label", F.col("label") + 1)
+        markers = blocks.from_pixels(names, self.size, {"label": "<i8"}, self.tile)
+        return blocks.flooded(blocks.held(blocks.joined(maps, markers), "marked"), "contour")
 
     def segmented(self) -> DataFrame:
-        return self._basins().drop("v")
+        return blocks.to_pixels(self._basins(), "label").select(*YX, "label")
+
+    def _kept(self) -> tuple[blocks.Blocks, DataFrame, DataFrame]:
+        """Basins, what each tile has of them, and those of the right size and brightness."""
+        basins = blocks.held(self._basins(), "basins")
+        parts = _held(blocks.measured(basins, value="center"))
+        objects = parts.groupBy("label").agg(F.sum("area").alias("area"), (F.sum("total") / F.sum("area")).alias("mean_intensity"), F.min("first").alias("first"))
+        return basins, parts, objects.where(regions.area_from(self.config.area_min, self.config.area_max) & (F.col("mean_intensity") >= self.config.mean_intensity_min))
 
     def filtered(self) -> DataFrame:
-        basins = _held(self._basins())
-        objects = basins.groupBy("label").agg(F.count("*").alias("area"), F.avg("v").alias("mean_intensity"))
-        kept = objects.where(regions.area_from(self.config.area_min, self.config.area_max) & (F.col("mean_intensity") >= self.config.mean_intensity_min))
-        return regions.keep(basins.drop("v"), kept)
+        basins, parts, kept = self._kept()
+        return blocks.renamed(basins, parts, kept.select("label", F.col("label").alias("number")))
 
     def run(self) -> DataFrame:
-        return components.relabelled(self.filtered(), self.size[1])
+        """Basins part by lines and hang together, so that each is a component of what is kept; they are numbered as such, by first pixels."""
+        basins, parts, kept = self._kept()
+        numbers = regions.numbered(kept.select("label", "first"), "first")
+        return blocks.renamed(basins, parts, numbers.withColumnRenamed("to", "number"))
 
     def expanded(self, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(cells, cytoplasm): labels grown by the configured distance, and what growing added."""

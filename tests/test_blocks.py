@@ -76,12 +76,13 @@ def settled(step, arrays, tile, earliest=None):
     plan = blocks.Blocks(None, shape, tile, {})
     ny, nx = plan.grid
     heard = {(ty, tx): {} for ty in range(ny) for tx in range(nx)}
-    dirty, out, until = set(heard), {}, None
+    dirty, out, until, ran = set(heard), {}, None, {}
     for k in range(1, 2000):
         said = {}
         for ty, tx in dirty:
             b = plan.box(ty, tx)
-            found, sent = step({n: a[b[0] : b[1], b[2] : b[3]] for n, a in arrays.items()}, b, {k: v for k, v in heard[ty, tx].items() if v}, until)
+            found, sent = step({n: a[b[0] : b[1], b[2] : b[3]] for n, a in arrays.items()}, b, {k: v for k, v in heard[ty, tx].items() if v}, until, None if until else ran.get((ty, tx)))
+            ran[ty, tx] = found
             for n, a in found.items():
                 out.setdefault(n, np.zeros(shape, np.int64))[b[0] : b[1], b[2] : b[3]] = a
             said[ty, tx] = sent

@@ -219,3 +219,10 @@ def test_large_chain_tiles(spark, cells):
     row_form, scale = neighbourhood.gaussian(pmap.select("y", "x", (255 - F.col("contour")).alias("v")), 1.0, (60, 60))
     unit = array(row_form, (60, 60)) / (float(scale) * 255)
     assert sorted(map(tuple, np.argwhere(kernels.h_maxima(unit, 0.01, 5)).tolist())) == sorted(map(tuple, one.seeds().collect()))
+    # the whole chain in plain arrays: basins are larger than these tiles, whose overlap is nothing
+    contour, seeds = array(pmap.select("y", "x", F.col("contour").alias("v")), (60, 60)), kernels.components(kernels.h_maxima(unit, 0.01, 5), 1)
+    basins = kernels.flood(contour, seeds)
+    small = segment.LargeSegmentor(pmap, (60, 60), LargeConfig(overlap_size=0, mean_intensity_min=5, area_max=5000, footprint_size=5), 9)
+    found = array(small.segmented(), (60, 60), "label")
+    pairs = set(zip(basins.ravel().tolist(), found.ravel().tolist(), strict=True))
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})

@@ -47,12 +47,12 @@ def whole_image(spark: SparkSession, image_path: str, map_paths: list[str], out:
     ``map_paths`` is a stack of two channels, centres and contours, or a file for each; for ``bypass`` a label image.
     """
     image = _pixels(spark, image_path)
-    size = frames.shape(image)
-    top = 65535 if (image.agg(F.max("v")).first()[0] or 0) > 255 else 255
+    said = store.described(spark, image_path)
+    size, top = said["size"], 2 ** said["bits"] - 1
     box = rectangle(config, size)
     image, size = _cut(image, box), box[2:]
     maps = [_cut(_pixels(spark, p), box) for p in map_paths]
-    meta = {"pixel_sizes": store.described(spark, image_path)["pixel_sizes"]}
+    meta = {"pixel_sizes": said["pixel_sizes"]}
     center, contour = (maps[0].where("c = 0"), maps[1].where("c = 0")) if len(maps) == 2 else (maps[0].where("c = 0"), maps[0].where("c = 1"))
     nuclear = frames.channel(image, max(config.prob_map_chan, 1)).drop("c")
     target = f"{out.rstrip('/')}/{_stem(image_path)}"
@@ -97,10 +97,9 @@ def large_image(spark: SparkSession, source: str, out: str, config: LargeConfig
     """Segment a two-channel probability map tile by tile and write the mask; with ``expand_size`` the grown mask and the
     difference as well. Returns where they went."""
     px = store.load(spark, source, numbers=[1, 2]).select("c", *YX, "v")
-    said = store.described(spark, source)["pixel_sizes"]
-    size = frames.shape(px)
-    top = 65535 if (px.agg(F.max("v")).first()[0] or 0) > 255 else 255
-    pixel = settings.pixel_size(config.pixel_size, said[0])
+    said = store.described(spark, source)
+    size, top = said["size"], 2 ** said["bits"] - 1
+    pixel = settings.pixel_size(config.pixel_size, said["pixel_sizes"][0])
     chain = segment.LargeSegmentor(frames.pair(px.where("c = 0"), px.where("c = 1")), size, config, tile, top)
     labels = segment._held(chain.run())
     meta = {"pixel_sizes": (pixel, pixel)}
@@ -149,7 +148,7 @@ def main_wrapper(argv: list[str]) -> None:
     written = large_image(spark, source, out, LargeConfig(**given), mcmicro)
     labels = store.load(spark, written.get("cell", written["nuclei"])).where("v > 0").select(*YX, F.col("v").alias("label"))
     contour = store.load(spark, source, numbers=[2]).select(*YX, "v")
-    size = frames.shape(contour)
+    size = store.described(spark, source)["size"]
     pixel = settings.pixel_size(a.pixelSize, store.described(spark, a.imagePath)["pixel_sizes"][0])
     qc = segment.qc_stack(labels, contour, _pixels(spark, a.imagePath), a.probMapChan, size)
     store.save(qc, paths["qc"], size, pixel_sizes=(pixel, pixel))

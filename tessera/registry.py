@@ -824,9 +824,10 @@ def l9_window_kernel(spark, d):
     return tiles.run(wide, segment.seed_kernel(size, 1.0, 1.0), "y int, x int", size, 256, 64)
 
 
-@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM range({LI_SHAPE[0]}) a(y), range({LI_SHAPE[1]}) b(x)")
+@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM (SELECT unnest(range(max(y)+1)) AS y FROM {EMB}), (SELECT unnest(range(max(x)+1)) AS x FROM {EMB})")
 def l20_plate_mask(spark, d):
-    return segment.plate_mask(LI_SHAPE, raster(spark, d, "li_px"))
+    px, size = _emb(spark, d)
+    return segment.plate_mask(size, px)
 
 
 @query(f"""SELECT CAST(ty AS INT) AS ty, CAST(tx AS INT) AS tx, CAST((least((ty+1)*48+12, h) - greatest(ty*48-12, 0)) * (least((tx+1)*48+12, 64) - greatest(tx*48-12, 0)) AS BIGINT) AS inside

@@ -1,7 +1,8 @@
 """TIFF by byte ranges: a data source whose partitions are runs of strips or tiles, found from a file's directories.
 
-Only directories are read to plan, and only the segments that the filters on channel and place leave are fetched, each
-range of neighbouring ones in one read. No task holds more than a run of segments, so files may have any size. Paths are those
+Only directories are read to plan, and only the segments of the wanted channels and rectangle are fetched, neighbouring ones in
+one read. Both are options of the source: filters that Spark pushes into a Python source are kept with the relation, so that two
+branches of a query with different ones would read the same segments. No task holds more than a run of segments, so files may have any size. Paths are those
 that pyarrow opens: local ones, s3, gs, hdfs.
 """
 
@@ -17,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.frames import crop
 from .tiff import BITS, COMPRESSION, DESCRIPTION, HEIGHT, KINDS, ROWS, SAMPLES, SOFTWARE, STRIP_BYTES, STRIPS, SUB_PAGES, TILE_BYTES, TILE_HEIGHT, TILE_WIDTH, TILES, WIDTH, X_RES, Y_RES
 
 # Fixed values of the format: two further tags, and the codes of the codings.
@@ -229,24 +231,10 @@ class Run(InputPartition):
 
 
 class TiffReader(DataSourceReader):
-    def __init__(self, path: str, level: int) -> None:
-        self.path, self.level = path, level
-        self.channels: set[int] | None = None
-        self.low, self.high = {"y": 0, "x": 0}, {"y": 1 << 62, "x": 1 << 62}
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
-        """Filters on c, y and x choose segments; Spark applies them to the rows again."""
-        for f in filters:
-            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if name == "c" and isinstance(f, (EqualTo, In)):
-                found = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.channels = found if self.channels is None else self.channels & found
-            elif name in self.low:
-                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
-                    self.low[name] = max(self.low[name], f.value + isinstance(f, GreaterThan))
-                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
-                    self.high[name] = min(self.high[name], f.value - isinstance(f, LessThan))
-            yield f
+    """``channels`` are numbers from 0, None for all; ``box`` is (y0, y1, x0, x1), ends exclusive, None for all."""
+
+    def __init__(self, path: str, level: int = 0, channels: set[int] | None = None, box: tuple[int, int, int, int] | None = None) -> None:
+        self.path, self.level, self.channels, self.box = path, level, channels, box
 
     def partitions(self) -> list[Run]:
         runs = []
@@ -257,9 +245,10 @@ class TiffReader(DataSourceReader):
                     continue
                 page = reduced(page, self.level)
                 lay = layout(page)
+                y0, y1, x0, x1 = self.box or (0, lay.height, 0, lay.width)
                 parts, size = [], 0
                 for y, x, at, n in segments(page, lay):
-                    if y > self.high["y"] or y + lay.rows <= self.low["y"] or x > self.high["x"] or x + lay.columns <= self.low["x"]:
+                    if y >= y1 or y + lay.rows <= y0 or x >= x1 or x + lay.columns <= x0:
                         continue
                     if parts and size + n > RUN:
                         runs.append(Run(path, path.rsplit("/", 1)[-1], c, lay, parts))
@@ -309,7 +298,8 @@ def fetched(read: Reader | None, parts: list[tuple[int, int, int, int]]) -> Iter
 
 
 class TiffRanges(DataSource):
-    """Options: ``path``, a file or a folder of files, and ``level`` of the pyramid (0: full resolution)."""
+    """Options: ``path``, a file or a folder of files, ``level`` of the pyramid (0: full resolution), ``channels`` and ``box`` as numbers
+    with commas between."""
 
     @classmethod
     def name(cls) -> str:
@@ -319,16 +309,23 @@ class TiffRanges(DataSource):
         return "image_id string, c int, y int, x int, v bigint"
 
     def reader(self, schema: object) -> TiffReader:
-        return TiffReader(self.options["path"], int(self.options.get("level", "0")))
+        channels, box = (tuple(map(int, self.options[k].split(","))) if self.options.get(k) else None for k in ("channels", "box"))
+        return TiffReader(self.options["path"], int(self.options.get("level", "0")), channels and set(channels), box)
 
 
-def read(spark: SparkSession, path: str, numbers: list[int] | None = None, level: int = 0) -> DataFrame:
-    """(image_id, c, y, x, v) of all pages or those numbered from 1, of a level of the pyramid. Filters on c, y and x that follow are
-    pushed down to the segments."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read(spark: SparkSession, path: str, numbers: list[int] | None = None, level: int = 0, rectangle: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """(image_id, c, y, x, v) of all pages or those numbered from 1, of a level of the pyramid, whole or within ``rectangle`` (y, x, height,
+    width), for which only the segments that touch it are fetched."""
     spark.dataSource.register(TiffRanges)
-    px = spark.read.format("tiff_ranges").option("path", path).option("level", level).load()
-    return px if numbers is None else px.where(px.c.isin([n - 1 for n in numbers]))
+    source = spark.read.format("tiff_ranges").option("path", path).option("level", level)
+    if numbers is not None:
+        if not numbers or min(numbers) < 1:
+            raise ValueError("channels are numbered from 1")
+        source = source.option("channels", ",".join(str(n - 1) for n in numbers))
+    if rectangle is None:
+        return source.load()
+    y, x, height, width = rectangle
+    return crop(source.option("box", f"{y},{y + height},{x},{x + width}").load(), y, x, height, width)
 
 
 def metadata(path: str) -> dict[str, object]:

@@ -28,8 +28,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
 
 
-def write_pyramid(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, pixel_sizes: tuple[float | None, float | None] = (1.0, 1.0), units: tuple[str, str] = ("µm", "µm"), channel_names: list[str] | None = None, software: str = "") -> None:
-    """Write all levels and, beside them, a row of metadata. pixel_sizes and units are (y, x); sizes may be unknown."""
+def write_pyramid(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False, pixel_sizes: tuple[float | None, float | None] = (1.0, 1.0), units: tuple[str, str] = ("µm", "µm"), channel_names: list[str] | None = None, software: str = "", bits: int = 16) -> None:
+    """Write all levels and, beside them, a row of metadata. pixel_sizes and units are (y, x); sizes may be unknown; bits are those of the
+    pixels' scale."""
     for u in units:
         if u not in UNITS:
             raise ValueError(f"{u} is no known unit")
@@ -39,8 +40,8 @@ def write_pyramid(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool
     px = px.select(*(F.col(k).cast("int").alias(k) for k in ("c", "y", "x")), "v")
     tiled = tiles.tile_of(frames.pyramid(px, levels, is_mask), TILE)
     tiled.repartition("level", "c", "ty", "tx").sortWithinPartitions("y", "x").write.mode("overwrite").partitionBy("level", "c", "ty").parquet(f"{path}/tiles")
-    row = [(path.rstrip("/").rsplit("/", 1)[-1], size[1], size[0], *(None if p is None else float(p) for p in pixel_sizes[::-1]), units[1], channel_names, software, tiled.schema["v"].dataType.simpleString())]
-    schema = "image_id string, width int, height int, pixel_size_x double, pixel_size_y double, unit string, channel_names array<string>, software string, kind string"
+    row = [(path.rstrip("/").rsplit("/", 1)[-1], size[1], size[0], *(None if p is None else float(p) for p in pixel_sizes[::-1]), units[1], channel_names, software, tiled.schema["v"].dataType.simpleString(), bits)]
+    schema = "image_id string, width int, height int, pixel_size_x double, pixel_size_y double, unit string, channel_names array<string>, software string, kind string, bits int"
     px.sparkSession.createDataFrame(row, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
 
@@ -113,9 +114,9 @@ def save(px: DataFrame, path: str, size: tuple[int, int], is_mask: bool = False,
 def load(spark: SparkSession, path: str, **options: object) -> DataFrame:
     """Dispatch by suffix: TIFF files (a folder that ``save`` wrote, too), a Zarr group, or a tile store. All are lazy."""
     if path.endswith((".tif", ".tiff")):
-        from . import tiff
+        from . import ranges, tiff
 
-        return tiff.read(spark, path, **options)
+        return ranges.read(spark, path, **options) if _ranged(path) else tiff.read(spark, path, **options)
     if path.endswith(".zarr"):
         from . import zarr
 
@@ -123,16 +124,27 @@ def load(spark: SparkSession, path: str, **options: object) -> DataFrame:
     return read_pyramid(spark, path, **options)
 
 
+def _ranged(path: str) -> bool:
+    """Whether the file can be read by ranges: file systems that only Spark knows, and patterns, are read whole."""
+    from . import ranges
+
+    try:
+        return bool(ranges.files(path))
+    except (OSError, ValueError):
+        return False
+
+
 def described(spark: SparkSession, path: str) -> dict:
-    """Pixel sizes (y, x) of what ``load`` reads, as the file says, and channel names; None where it says nothing."""
+    """Of what ``load`` reads, as the file says: pixel sizes (y, x), channel names (None where it says nothing), size (height, width)
+    and bits of a pixel."""
     if path.endswith(".zarr"):
         from . import zarr
 
         return zarr.meta(spark, path)
     if path.endswith((".tif", ".tiff")):
-        from . import tiff
+        from . import ranges, tiff
 
-        found = tiff.described(spark, path)
-        return {"pixel_sizes": (found["pixel_size_y"], found["pixel_size_x"]), "channel_names": found["channel_names"]}
+        found = ranges.metadata(path) if _ranged(path) else tiff.described(spark, path)
+        return {"pixel_sizes": (found["pixel_size_y"], found["pixel_size_x"]), "channel_names": found["channel_names"], "size": (found["height"], found["width"]), "bits": found["bits"]}
     row = read_meta(spark, path).first()
-    return {"pixel_sizes": (row["pixel_size_y"], row["pixel_size_x"]), "channel_names": row["channel_names"]}
+    return {"pixel_sizes": (row["pixel_size_y"], row["pixel_size_x"]), "channel_names": row["channel_names"], "size": (row["height"], row["width"]), "bits": row["bits"] if "bits" in row else 16}

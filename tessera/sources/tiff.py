@@ -78,7 +78,7 @@ def metadata(data: bytes) -> dict[str, object]:
     """width, height, pixel sizes and unit, channel names, software; sizes are 1 where the file has none."""
     first = next(pages(data))
     text = first.get(DESCRIPTION, "") or ""
-    out: dict[str, object] = {"width": first[WIDTH][0], "height": first[HEIGHT][0], "unit": "µm", "software": first.get(SOFTWARE, ""), "channel_names": re.findall(r'<Channel\b[^>]*\bName="([^"]*)"', text)}
+    out: dict[str, object] = {"width": first[WIDTH][0], "height": first[HEIGHT][0], "bits": first[BITS][0], "unit": "µm", "software": first.get(SOFTWARE, ""), "channel_names": re.findall(r'<Channel\b[^>]*\bName="([^"]*)"', text)}
     for name, key, tag in (("pixel_size_x", "PhysicalSizeX", X_RES), ("pixel_size_y", "PhysicalSizeY", Y_RES)):
         m = re.search(rf'\b{key}="([^"]+)"', text)
         ratio = first.get(tag)

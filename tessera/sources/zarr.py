@@ -77,6 +77,9 @@ def write(px: DataFrame, path: str, size: tuple[int, int], bits: int = 16, is_ma
     found.select("level", "chunk", F.col("value").cast("string").alias("value")).write.mode("overwrite").partitionBy("level", "chunk").text(parts)
     _put(spark, f"{path}/.zgroup", {"zarr_format": 2})
     top, fs = _path(spark, path)
+    for old in fs.listStatus(top):  # levels of what was there; the new chunks are all in the parts by now
+        if old.isDirectory() and old.getPath().getName().isdigit():
+            fs.delete(old.getPath(), True)
     for k in range(levels + 1):
         shape = [channels, *(-(-d // 2**k) for d in size)]
         _put(spark, f"{path}/{k}/.zarray", {"zarr_format": 2, "shape": shape, "chunks": [1, CHUNK, CHUNK], "dtype": kind.str, "order": "C", "fill_value": 0, "filters": None, "compressor": {"id": "zlib", "level": 1}})
@@ -92,13 +95,14 @@ def write(px: DataFrame, path: str, size: tuple[int, int], bits: int = 16, is_ma
 
 
 def meta(spark: SparkSession, path: str) -> dict:
-    """Pixel sizes (y, x) and channel names; one micrometre where nothing is said."""
+    """Pixel sizes (y, x), channel names, size and bits of a pixel; one micrometre where nothing is said."""
+    spec = json.loads(_text(spark, f"{path.rstrip('/')}/.zarray") or _text(spark, f"{path.rstrip('/')}/0/.zarray") or "{}")
     found = json.loads(_text(spark, f"{path}/.zattrs") or "{}")
     scale = [1.0, 1.0]
     for m in found.get("multiscales", ()):
         for t in m["datasets"][0].get("coordinateTransformations", ()):
             scale = t.get("scale", scale)[-2:]
-    return {"pixel_sizes": tuple(scale), "channel_names": found.get("channel_names")}
+    return {"pixel_sizes": tuple(scale), "channel_names": found.get("channel_names"), "size": tuple(spec.get("shape", ())[-2:]), "bits": 8 * np.dtype(spec.get("dtype", "<u2")).itemsize}
 
 
 def read(spark: SparkSession, path: str, level: int = 0, numbers: list[int] | None = None) -> DataFrame:

@@ -68,7 +68,7 @@ def disc_image():
         y, x = np.indices(center.shape)
         d = (y - cy) ** 2 + (x - cx) ** 2
         center[d < 49] = (250 - 4 * d - (60 if k == 5 else 0))[d < 49]
-    return np.stack([center, 255 - center]).astype(np.uint16), np.stack([center // 2 + 9, (center > 0) * 80 + 5]).astype(np.uint16)
+    return np.stack([center, 255 - center]).astype(np.uint8), np.stack([center // 2 + 9, (center > 0) * 80 + 5]).astype(np.uint8)
 
 
 def test_whole_run_from_files(spark, tmp_path):
@@ -138,7 +138,7 @@ def test_zarr(spark, tmp_path):
         assert r["c"] == 1
         got[r["y"], r["x"]] = r["v"]
     assert np.array_equal(got, want)
-    assert store.described(spark, f"file://{tmp_path}/a.zarr") == {"pixel_sizes": (2.0, 3.0), "channel_names": ["p", "q"]}
+    assert store.described(spark, f"file://{tmp_path}/a.zarr") == {"pixel_sizes": (2.0, 3.0), "channel_names": ["p", "q"], "size": (1100, 40), "bits": 16}
     assert store.load(spark, f"file://{tmp_path}/a.zarr", level=1).count() == 2 * 550 * 20
     for compressor, pack in (({"id": "gzip"}, lambda b: __import__("gzip").compress(b)), (None, bytes), ({"id": "zlib"}, zlib.compress), ({"id": "zstd"}, lambda b: __import__("zstandard").compress(b))):
         other = tmp_path / f"b{(compressor or {}).get('id')}.zarr"
@@ -157,7 +157,7 @@ def test_tiff_file(spark, tmp_path):
     a = (np.arange(3 * 90 * 70).reshape(3, 90, 70) % 4001).astype(np.uint16)
     data = tiff.encode(a, tile=32, pixel_sizes=(0.5, 0.65), channel_names=["x", "y", "z"], software="s")
     assert all(np.array_equal(tiff.page_array(data, p), a[i]) for i, p in enumerate(tiff.pages(data)))
-    assert tiff.metadata(data) == {"width": 70, "height": 90, "unit": "µm", "software": "s", "channel_names": ["x", "y", "z"], "pixel_size_x": 0.65, "pixel_size_y": 0.5}
+    assert tiff.metadata(data) == {"width": 70, "height": 90, "bits": 8 * a.itemsize, "unit": "µm", "software": "s", "channel_names": ["x", "y", "z"], "pixel_size_x": 0.65, "pixel_size_y": 0.5}
     (tmp_path / "a.tif").write_bytes(data)
     px = store.load(spark, f"file://{tmp_path}/a.tif", numbers=[2])
     assert px.count() == 90 * 70 and px.agg(F.sum("v")).first()[0] == int(a[1].sum()) and px.select("c").distinct().first()[0] == 1
@@ -238,3 +238,28 @@ def test_against_sql(spark, name):
     relation = con.execute(f"select {', '.join(got.columns)} from ({registry.oracle_sql()[name]})").fetchall()
     clean = lambda row: tuple(round(float(v), 6) if isinstance(v, (int, float)) or hasattr(v, "as_integer_ratio") else v for v in row)
     assert sorted(map(clean, got.collect())) == sorted(map(clean, relation))
+
+
+@pytest.mark.parametrize("suffix", [".zarr", ""])
+def test_overwriting_leaves_nothing_behind_and_sizes_are_those_of_the_image(spark, tmp_path, suffix):
+    path, schema = f"file://{tmp_path}/mask{suffix}", "y int, x int, v bigint"
+    store.save(spark.createDataFrame([(5, 5, 1), (1500, 1500, 2)], schema), path, (2000, 1900), True)
+    assert store.load(spark, path).where("v > 0").count() == 2
+    store.save(spark.createDataFrame([(5, 5, 1)], schema), path, (2000, 1900), True)
+    assert [(r["y"], r["x"], r["v"]) for r in store.load(spark, path).where("v > 0").collect()] == [(5, 5, 1)]
+    assert store.described(spark, path)["size"] == (2000, 1900)
+
+
+def test_a_dark_image_is_on_the_scale_of_its_file(spark, tmp_path):
+    from tessera.plans import run
+
+    maps, _ = disc_image()
+    dark = np.clip(maps.astype(np.int64), 0, 255) * [[[100]], [[200]]]
+    found = []
+    for name, top in (("a", 0), ("b", 65_535)):  # one bright pixel in a corner makes no difference
+        dark[0, 0, 0] = top
+        (tmp_path / f"{name}.tif").write_bytes(tiff.encode(dark.astype(np.uint16), tile=64))
+        assert store.described(spark, f"file://{tmp_path}/{name}.tif")["bits"] == 16
+        run.main_large(["-i", f"file://{tmp_path}/{name}.tif", "-o", f"file://{tmp_path}/{name}", "--mean-intensity-min", "5", "--area-max", "5000"])
+        found.append({(r["y"], r["x"]) for r in store.load(spark, f"file://{tmp_path}/{name}").where("v > 0 and y > 20").collect()})
+    assert found[0] == found[1] and found[0]

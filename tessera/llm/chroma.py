@@ -45,7 +45,7 @@ FILTERS = (
     (0, 2, 8, 32),
     (1, 4, 8, 8),
     (2, 0, 12, 24),
-    (3, 0, 12, 32),
+    (3, 0, 12, 16),
 )
 #: Thresholds that cut a filter's answer, a log ratio, into four ranges.
 LEVELS = (-0.3, 0.0, 0.3)
@@ -54,7 +54,9 @@ GAP = 4
 #: Votes, at least, of two recordings that agree over ``GAP + WINNOW`` steps.
 WINNOW = 4
 LEAST_VOTES = 2
-MAX_BIT_ERROR = 0.35
+MAX_BIT_ERROR = 0.25
+#: Steps that two recordings share, at least, or all of the shorter one; what fewer steps say is chance.
+LEAST_OVERLAP = 20
 SALTS = 16
 #: Deviation of an excerpt's noise, full scale being 1.
 NOISE = 0.02
@@ -197,6 +199,10 @@ def matched(asked: list[np.ndarray], others: list[np.ndarray], least_votes: int,
         cell, votes = np.unique(vote // span, return_counts=True)
         cell, votes = cell[votes >= least_votes], votes[votes >= least_votes]
         q, offset = cell // width, cell % width - len(prints)
+        long = np.array([len(asked[k]) for k in q.tolist()], np.int64)
+        shared = np.minimum(long, len(prints) + offset) - np.maximum(offset, 0)
+        enough = shared >= np.minimum(LEAST_OVERLAP, np.minimum(long, len(prints)))
+        q, offset, votes = q[enough], offset[enough], votes[enough]
         best = np.lexsort((offset, -np.abs(offset), votes, q))
         for i in best[np.append(np.diff(q[best]) != 0, True)] if len(best) else ():
             d, bits = bit_error(asked[q[i]], prints, int(offset[i]))
@@ -230,7 +236,8 @@ def align(prints: DataFrame, queries: DataFrame, id_col: str = "id", least_votes
 
     ``prints`` and ``queries``: (id_col, prints). Both go by their classes as ``classes`` gives them, a query's among
     the queries; a class with the query's very fingerprint is no match. Step i of the query stands on step i - offset
-    of the match. Of offsets with as many votes the one nearest to zero counts. Empty fingerprints align with nothing;
+    of the match. Offsets at which fewer than ``LEAST_OVERLAP`` steps, or all of the shorter
+    recording, stand on each other don't count; of those with as many votes the one nearest to zero does. Empty fingerprints align with nothing;
     zeros, that is silence, don't vote. Classes of null ids only are left out. Repeated rows are one class, extra
     columns are ignored. Long recordings count whole. No rows: no rows.
     """

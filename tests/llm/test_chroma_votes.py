@@ -23,3 +23,14 @@ def test_noisy_shifted_copies_are_aligned(spark):
     got = chroma.align(prints, prints.where("id < 100")).collect()
     best = {r["query_class"]: r for r in got if r["match_class"] == r["query_class"] + 100}
     assert len(best) == 20 and all(r["offset"] in (7, 8) for r in best.values())
+    wrong = [r for r in got if r["match_class"] != r["query_class"] + 100]
+    assert len(wrong) < 0.01 * 20 * 38  # pairs of unrelated recordings
+
+
+def test_a_few_steps_in_common_are_no_alignment():
+    rng = np.random.default_rng(7)
+    a, b = (rng.integers(1, 2**32, 80).astype(np.uint64) for _ in range(2))
+    for shared, found in ((chroma.LEAST_OVERLAP - 1, 0), (chroma.LEAST_OVERLAP, 1)):
+        other = np.concatenate([a[-shared:], b])
+        assert len(list(chroma.matched([a], [other], chroma.LEAST_VOTES, chroma.MAX_BIT_ERROR))) == found
+    assert len(set(chroma.FILTERS)) == 16

@@ -251,7 +251,7 @@ Time = tuple[float, int]
 #: ``step(arrays, box, rim, until, before)``; ``before`` are the bands that it found when the tile ran last.
 Step = Callable[[dict[str, np.ndarray], Box, Rim, Time | None, dict[str, np.ndarray] | None], tuple[dict[str, np.ndarray], Rim]]
 
-#: Rounds after which what is not settled yet is forgotten, see ``relaxed``.
+#: Rounds that must lessen the news, or what is not settled yet is forgotten, see ``relaxed``.
 PATIENCE = 8
 
 
@@ -263,8 +263,8 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
 
     Where messages can be taken back, two tiles can go on telling each other, ever later, what both have from the other only.
     ``earliest(old, new)`` is the time of the first difference of two messages: what is before the earliest of a round is settled.
-    Every ``PATIENCE`` rounds all tiles run with what they heard before that time, and then as usual, so that nothing is left but what
-    follows from what is settled.
+    If ``PATIENCE`` rounds don't lessen the news, all tiles run with what they heard before that time, and then as usual, so that nothing
+    is left but what follows from what is settled.
     """
     plan, (ny, nx), own = blocks.plan, blocks.grid, list(blocks.bands)
     out = replace(plan, bands=dict(bands))
@@ -297,6 +297,7 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
     way = [*KEY, "dy", "dx"]
     was = [F.lit(None).cast("binary").alias(f"was_{n}") for n in out.bands]
     source, said, latest, until = blocks.frame.select(*KEY, *own, *was, F.lit(None).cast(rims).alias("rim")), None, None, None
+    fewest = float("inf")
     for k in range(1, most_rounds):
         made = held(Blocks(source.mapInArrow(run(until), schema), blocks.size, blocks.tile, bands), "relaxed").frame
         # each tile as it ran last
@@ -313,10 +314,14 @@ def relaxed(blocks: Blocks, step: Step, bands: dict[str, str], earliest: Callabl
             said = both.select(*way, F.coalesce("data", "was").alias("data"), "was", (new if until is None else F.length(F.coalesce("data", "was")) > 0).alias("new"))
             said = held(Blocks(said, blocks.size, blocks.tile, {}), "said").frame
         news = said.where("new")
-        if news.isEmpty():
+        n = news.count()
+        if not n:
             break
         due = news.select(*KEY).distinct()
-        if until is None and earliest and k % PATIENCE == 0:
+        check = until is None and earliest and k % PATIENCE == 0
+        stuck, fewest = check and n >= fewest, min(fewest, n) if check else fewest
+        if stuck:
+            fewest = float("inf")
             until = min((tuple(t) for t in news.select("was", "data").mapInArrow(first_change, "level double, wave int").groupBy().agg(F.min(F.struct("level", "wave")).alias("t")).select("t.*").collect()))
             due = said.where(F.length("data") > 0).select(*KEY).distinct()
         else:

@@ -76,7 +76,7 @@ def settled(step, arrays, tile, earliest=None):
     plan = blocks.Blocks(None, shape, tile, {})
     ny, nx = plan.grid
     heard = {(ty, tx): {} for ty in range(ny) for tx in range(nx)}
-    dirty, out, until, ran = set(heard), {}, None, {}
+    dirty, out, until, ran, fewest = set(heard), {}, None, {}, float("inf")
     for k in range(1, 2000):
         said = {}
         for ty, tx in dirty:
@@ -96,7 +96,10 @@ def settled(step, arrays, tile, earliest=None):
         dirty = set(news)
         if until is not None:
             dirty, until = {t for t, rim in heard.items() if any(rim.values())}, None
+        elif earliest and news and k % blocks.PATIENCE == 0 and (n := sum(map(len, news.values()))) < fewest:
+            fewest = n
         elif earliest and news and k % blocks.PATIENCE == 0:
+            fewest = float("inf")
             until = min(earliest(*m) for ms in news.values() for m in ms)
             dirty = {t for t, rim in heard.items() if any(rim.values())}
         if not dirty:

@@ -51,3 +51,19 @@ def test_nearest_label(spark, labels, small_tiles):
                 want.add((y, x, min(labels[py, px_][d2 == d2.min()]), d2.min()))
     assert places(got) == want and got.count() == len(want)
     assert not rows_for_each_offset(got)
+
+
+def test_boundary_with_repeated_pixels(spark, labels, small_tiles):
+    px = rows(spark, labels)
+    once = neighbourhood.outer_boundary(px, labels.shape)
+    assert places(once) == places(neighbourhood.outer_boundary(px.union(px), labels.shape))
+    p = np.pad(labels, 1, constant_values=-1)
+    want = set()
+    for y in range(labels.shape[0]):
+        for x in range(labels.shape[1]):
+            near = [v for v in (p[y, x + 1], p[y + 1, x], p[y + 1, x + 2], p[y + 2, x + 1]) if v >= 0]
+            own, window = labels[y, x], p[y : y + 3, x : x + 3]
+            if any(v != own for v in near) and (((window > 0) & (window != own)).any() if own else True):
+                want.add((y, x))
+    assert places(once) == want
+    assert not rows_for_each_offset(once)

@@ -67,3 +67,14 @@ def test_boundary_with_repeated_pixels(spark, labels, small_tiles):
                 want.add((y, x))
     assert places(once) == want
     assert not rows_for_each_offset(once)
+
+
+def test_erosion_with_repeated_pixels(spark, small_tiles):
+    mask = np.random.default_rng(5).random((25, 25)) > 0.04
+    want = {(y, x) for y in range(2, 23) for x in range(2, 23) if all(mask[y + a, x + b] for a, b in neighbourhood.disk(2))}
+    px = rows(spark, mask, False)
+    got = neighbourhood.erode(px.union(px), 2)
+    assert places(got) == want and want
+    assert not rows_for_each_offset(got)
+    moved = neighbourhood.erode(px.selectExpr("y - 40 AS y", "x - 9 AS x"), 2)
+    assert places(moved) == {(y - 40, x - 9) for y, x in want}

@@ -1,6 +1,7 @@
 """Pixels are neither broadcast nor gathered in few tasks, however few Spark takes them for."""
 
-from tessera.operators import blocks, regions
+from tessera.operators import blocks, regions, tiles
+from tessera.operators.frames import join_pixels
 
 
 def plan(df):
@@ -19,3 +20,12 @@ def test_tiles_are_not_broadcast(spark):
     one, other = (blocks.from_pixels(px.withColumnRenamed("v", n), (4, 4), {n: "<i8"}, 2) for n in "ab")
     assert "Broadcast" not in plan(blocks.joined(one, other).frame)
     assert blocks.to_pixels(blocks.joined(one, other)).where("a = 5 and b = 5").count() == 1
+
+
+def test_partitions_grow_with_the_image(spark):
+    assert tiles.tasks(spark, (100, 100), 50) == 4
+    assert tiles.tasks(spark, (768, 270_000), 256, 64) > 6 * tiles.tasks(spark, (768, 40_000), 256, 64) > 100
+    px = spark.createDataFrame([(0, 0), (1, 1)], "y int, x int")
+    both = join_pixels(px, px, size=(1 << 12, 1 << 12))
+    assert sorted(map(tuple, both.collect())) == [(0, 0), (1, 1)]
+    assert "hashpartitioning(y" in plan(both) and ", 16)" in plan(both)

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tessera import registry
 from tessera.operators import blocks, components, kernels, neighbourhood
 from tessera.plans import segment
 from tessera.plans.config import SegmentConfig
@@ -92,3 +93,31 @@ def test_cells_do_not_depend_on_the_tile(spark):
     px = rows(spark, nuclei > 0, label=nuclei)
     found = [array(segment.cytoplasm(px, rows(spark, image > 0, v=image), rows(spark, tissue), size, SegmentConfig(cyto_dilation=3), "hybrid", tile, 1).cell, size, "label") for tile in (9, 48)]
     assert found[1].max() > 0 and (found[0] == found[1]).all()
+
+
+def test_background_reaches_the_border(spark):
+    """Beyond the image is no tissue: a nucleus beside the border keeps its cell, as the background has the border itself."""
+    size, nuclei = (40, 40), np.zeros((40, 40), np.int64)
+    nuclei[6:9, 18:21] = 1
+    tissue = kernels.squared_distances(nuclei > 0) < 4
+    image = np.where(tissue, 100, 0)
+    px = rows(spark, nuclei > 0, label=nuclei)
+    marks = blocks.from_pixels(rows(spark, tissue | (nuclei > 0), within=tissue.astype(int), nucleus=(nuclei > 0).astype(int)), size, {"within": "?", "nucleus": "?"}, 16)
+    got = array(blocks.to_pixels(segment._with_background(marks, 3), "label"), size, "label")
+    far = kernels.squared_distances(tissue) > 9
+    assert ((got > 0) == (far | (nuclei > 0))).all() and len(np.unique(got)) == 3
+    cells = segment.cytoplasm(px, rows(spark, image > 0, v=image), rows(spark, tissue), size, SegmentConfig(cyto_dilation=3), "hybrid", 16).cell
+    assert cells.select("label").distinct().count() == 1
+
+
+def test_cells_of_the_probability_map_touch(spark, tmp_path):
+    spark.range(40).selectExpr("id AS s_suppkey", "CAST(id % 25 AS INT) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    blobs, _ = registry._blobs(spark, str(tmp_path))
+    pmap, cells, size = registry._pmap(spark, str(tmp_path))
+    got, own = array(cells, size, "label"), array(blobs, size, "label")
+    near = kernels.squared_distances(own > 0)
+    assert ((got > 0) == (near <= 16)).all() and cells.count() == np.count_nonzero(got)
+    assert (got[own > 0] == own[own > 0]).all()
+    assert any(((a != b) & (a > 0) & (b > 0)).any() for a, b in ((got[1:], got[:-1]), (got[:, 1:], got[:, :-1])))
+    v = array(blobs, size, "v")
+    assert (array(cells, size, "v") == v).all() and (array(pmap, size, "center") == v).all()
